@@ -32,8 +32,12 @@ def silver_orders(df: DataFrame, as_of: str, on_bad: str = "error") -> DataFrame
     })
 
 
-def silver_order_items(df: DataFrame, batch_date: str, as_of: str) -> DataFrame:
-    """Typed order items with ``net_amount``; partitioned by the batch date."""
+def silver_order_items(df: DataFrame, batch_date, as_of: str) -> DataFrame:
+    """Typed order items with ``net_amount``; partitioned by the batch date.
+
+    ``batch_date`` is a ``yyyyMMdd`` string or a Column (e.g. taken from the file name).
+    """
+    batch = F.lit(batch_date) if isinstance(batch_date, str) else batch_date
     quantity = F.col("quantity").cast("int")
     unit_price = to_money("unit_price")
     discount = to_pct("discount_pct")
@@ -47,5 +51,5 @@ def silver_order_items(df: DataFrame, batch_date: str, as_of: str) -> DataFrame:
         to_money("subtotal").alias("subtotal"),
         net_amount(unit_price, quantity, discount).alias("net_amount"),
         _ts(as_of).alias("processing_timestamp"),
-        F.lit(batch_date).alias("partition_date"),
+        batch.alias("partition_date"),
     )

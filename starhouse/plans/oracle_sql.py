@@ -206,6 +206,12 @@ SELECT order_item_id, product_id,
 FROM si"""
 
 
+def load_roundtrip_sql() -> str:
+    cols = ", ".join(c if c != "order_date_key" else "date_partition AS order_date_key"
+                     for c, _ in FACT_SALES.columns)
+    return _cte(**_fact_ctes()) + f"\nSELECT {cols} FROM fact"
+
+
 def _failed(rules: dict[str, str]) -> str:
     return "concat_ws(',', " + ", ".join(
         f"CASE WHEN NOT coalesce({cond}, false) THEN '{name}' END" for name, cond in rules.items()) + ")"
@@ -294,5 +300,13 @@ def oracles() -> dict[str, str]:
         "quality_gate_orders": quality_orders_sql(),
         "audit_fact": audit_fact_sql(),
         "audit_dims": audit_dims_sql(),
+        "bronze_csv_customers": standardize_sql(CUSTOMERS),
+        "scd2_store_customers": merge_sql(CUSTOMERS),
+        "scd2_store_products": merge_sql(PRODUCTS),
+        "append_idempotent": orders_silver_sql(),
+        "stream_ingest_orders": orders_silver_sql(),
+        "stream_ingest_order_items": items_silver_sql(),
+        "fact_published": fact_sales_sql(),
+        "load_roundtrip": load_roundtrip_sql(),
     })
     return q

@@ -130,4 +130,6 @@ def registry() -> dict[str, Query]:
         "audit_fact": q_audit_fact,
         "audit_dims": q_audit_dims,
     })
+    from .io_queries import registry as io_registry
+    q.update(io_registry())
     return q
