@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import scratch_path
 
 MAX_KEY_PARTITIONS = 100_000
 
@@ -33,7 +33,6 @@ def assign_dense_key(df: DataFrame, order_by: Sequence[Column | str], key_col: s
     give a unique ordering when the key must be reproducible per row.
     """
     spark = df.sparkSession
-    shared_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if not 0 < n <= MAX_KEY_PARTITIONS:
         raise ValueError(f"num_partitions must be in 1..{MAX_KEY_PARTITIONS}, got {n}")
@@ -42,8 +41,10 @@ def assign_dense_key(df: DataFrame, order_by: Sequence[Column | str], key_col: s
                   .sortWithinPartitions(*cols)
                   .withColumn("_k_part", F.spark_partition_id())
                   .withColumn("_k_pos", F.monotonically_increasing_id()))
-    # Cut lineage: a recomputed range shuffle could resample different bounds.
-    fixed = positioned.checkpoint(eager=True)
+    # Cut lineage with a written table in the shared folder (columnar, compressed).
+    path = scratch_path(spark, "dense-key")
+    positioned.write.mode("overwrite").parquet(path)
+    fixed = spark.read.parquet(path)
     counts = fixed.groupBy("_k_part").agg(F.count(F.lit(1)).alias("_k_n"))
     before = Window.orderBy("_k_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_k_part", F.coalesce(F.sum("_k_n").over(before), F.lit(0)).alias("_k_off"))
