@@ -77,7 +77,17 @@ class VersionedTable:
         return reader.parquet(self.version_path(n))
 
     def publish(self, df: DataFrame, partition_by: list[str] | None = None,
-                options: dict | None = None, as_of: str | None = None) -> int:
+                options: dict | None = None, as_of: str | None = None,
+                single_file_max_rows: int | None = None) -> int:
+        """Write ``df`` as the next version, then commit it.
+
+        ``single_file_max_rows``: write one file when the frame is provably at
+        most that many rows (``limit(max + 1).count()`` bounds the check);
+        larger frames keep their partitions.
+        """
+        if single_file_max_rows is not None and \
+                df.limit(single_file_max_rows + 1).count() <= single_file_max_rows:
+            df = df.coalesce(1)
         n = (self.version() or 0) + 1
         writer = df.write.mode("overwrite").format("parquet").options(**{**PARQUET_OPTIONS, **(options or {})})
         if partition_by:
