@@ -91,25 +91,34 @@ def initial(batch: DataFrame, spec: EntitySpec, as_of: str) -> DataFrame:
 @dataclass
 class MergeResult:
     classified: DataFrame   # batch rows with change_type
-    closed: DataFrame       # current rows expired by this batch
-    current: DataFrame      # the current rows after the batch (kept + inserted)
+    rows: DataFrame         # every row the run writes: prior current rows (some closed) + inserted versions
+
+    @property
+    def closed(self) -> DataFrame:
+        return self.rows.filter(F.col("is_current") == False)  # noqa: E712
+
+    @property
+    def current(self) -> DataFrame:
+        return self.rows.filter(F.col("is_current") == True)  # noqa: E712
 
 
 def changes(current: DataFrame, batch: DataFrame, spec: EntitySpec, as_of: str,
             max_sk: int) -> MergeResult:
-    """The rows a batch adds: versions it closes and the new current set."""
+    """The rows a batch produces from the current rows: closed, kept and inserted versions.
+
+    Expiry is a projection over one left join of the current rows to the
+    distinct changed keys, so closed and kept rows come out of one pass.
+    """
     classified = classify(batch, current, spec)
     cols = entity_columns(spec, batch)
     changed_keys = (classified.filter(F.col("change_type") == "changed")
                     .select(spec.key).distinct()
                     .withColumn("_expire", F.lit(True)))
-    flagged = current.join(changed_keys, spec.key, "left")
     expire = F.coalesce(F.col("_expire"), F.lit(False))
-    closed = (flagged.filter(expire)
-              .withColumn("is_current", F.lit(False))
-              .withColumn("valid_to", _ts(as_of))
-              .select(*cols, spec.sk, *VERSION_COLS))
-    kept = flagged.filter(~expire).select(*cols, spec.sk, *VERSION_COLS)
+    prior = (current.join(changed_keys, spec.key, "left")
+             .withColumn("is_current", F.when(expire, F.lit(False)).otherwise(F.col("is_current")))
+             .withColumn("valid_to", F.when(expire, _ts(as_of)).otherwise(F.col("valid_to")))
+             .select(*cols, spec.sk, *VERSION_COLS))
     inserts = (classified.filter(F.col("change_type") != "unchanged")
                .withColumns({
                    "_is_new": (F.col("change_type") == "new").cast("int"),
@@ -119,7 +128,7 @@ def changes(current: DataFrame, batch: DataFrame, spec: EntitySpec, as_of: str,
                }))
     keyed = assign_dense_key(inserts, ["_is_new", spec.key, "hash_key"], spec.sk, start=max_sk)
     inserted = keyed.select(*cols, spec.sk, *VERSION_COLS)
-    return MergeResult(classified=classified, closed=closed, current=kept.unionByName(inserted))
+    return MergeResult(classified=classified, rows=prior.unionByName(inserted))
 
 
 def max_key(existing: DataFrame, spec: EntitySpec) -> int:
@@ -139,6 +148,4 @@ def merge(existing: DataFrame, batch: DataFrame, spec: EntitySpec, as_of: str,
     history = existing.filter(F.col("is_current") == False)  # noqa: E712
     result = changes(current, batch, spec, as_of, max_sk)
     cols = entity_columns(spec, batch)
-    return (history.select(*cols, spec.sk, *VERSION_COLS)
-            .unionByName(result.closed)
-            .unionByName(result.current))
+    return history.select(*cols, spec.sk, *VERSION_COLS).unionByName(result.rows)

@@ -2,16 +2,17 @@
 
 Layout under ``root``::
 
-    history/run=<n>/   versions closed by run n (written once, never rewritten)
-    current/v=<n>/     the current rows after run n
-    _commits/          one row per committed run (run, max surrogate key, as_of)
-
-A run writes its two directories, then commits. The table is history of
-runs <= n (partition-pruned) plus current/v=<n> for the last committed n, so
-an uncommitted run is invisible and a retried run overwrites its own
-directories. History is never rewritten, so a run costs the current rows
-plus the rows it closes, not the whole history. Only a missing target means
-first load; any other read failure propagates.
+    runs/run=<n>/is_current=false/   versions closed by run n (written once, never rewritten)
+    runs/run=<n>/is_current=true/    the current rows after run n
+    _commits/                        one row per committed run (run, max surrogate key, as_of)
+
+A run writes its output in one job (one pass over the merge), then commits.
+The table is the closed rows of runs <= n plus the current rows of run n,
+for the last committed n; both are partition filters, so only those
+directories are listed and read. An uncommitted run is invisible, and a
+retried run overwrites its own directory. History is never rewritten: a run
+costs the current rows plus the rows it closes, not the whole history. Only
+a missing target means first load; any other read failure propagates.
 """
 
 from __future__ import annotations
@@ -40,52 +41,55 @@ class Scd2Store:
         self.spec = spec
         self.log = CommitLog(spark, self.root)
 
-    def _history_path(self, n: int) -> str:
-        return f"{self.root}/history/run={n:06d}"
+    @property
+    def _runs(self) -> str:
+        return f"{self.root}/runs"
 
-    def _current_path(self, n: int) -> str:
-        return f"{self.root}/current/v={n:06d}"
+    def _run_path(self, n: int) -> str:
+        return f"{self._runs}/run={n:06d}"
 
     def last_run(self):
         return self.log.last()
 
-    def current(self) -> DataFrame:
+    def _committed(self) -> int:
         last = self.last_run()
         if last is None:
             raise FileNotFoundError(f"no committed run under {self.root}")
-        return self.spark.read.parquet(self._current_path(last["version"]))
+        return last["version"]
+
+    def _all(self) -> DataFrame:
+        return self.spark.read.option("basePath", self._runs).parquet(self._runs)
+
+    def _columns(self, df: DataFrame) -> list:
+        # partition values are discovered as strings: is_current is cast back
+        order = [c for c in df.columns if c not in ("run", "is_current", "valid_from", "valid_to")]
+        return order + [F.col("is_current").cast("boolean").alias("is_current"), "valid_from", "valid_to"]
+
+    def current(self) -> DataFrame:
+        n = self._committed()
+        rows = self._all().filter((F.col("run") == n) & (F.col("is_current") == "true"))
+        return rows.select(*self._columns(rows))
 
     def read(self) -> DataFrame:
         """The full history table (closed versions and current rows)."""
-        last = self.last_run()
-        if last is None:
-            raise FileNotFoundError(f"no committed run under {self.root}")
-        cur = self.spark.read.parquet(self._current_path(last["version"]))
-        hist = (self.spark.read.option("basePath", f"{self.root}/history")
-                .parquet(f"{self.root}/history")
-                .filter(F.col("run") <= last["version"])
-                .drop("run"))
-        return hist.unionByName(cur)
-
-    def _write(self, df: DataFrame, path: str) -> None:
-        df.write.mode("overwrite").options(**PARQUET_OPTIONS).parquet(path)
+        n = self._committed()
+        cur = F.col("is_current") == "true"
+        rows = self._all().filter(((F.col("run") == n) & cur) | ((F.col("run") <= n) & ~cur))
+        return rows.select(*self._columns(rows))
 
     def apply(self, batch: DataFrame, as_of: str) -> RunStats:
         """Merge one standardised batch (with ``hash_key``) and commit it."""
         last = self.last_run()
         if last is None:
-            run, first = 1, True
+            run, first, prev_max = 1, True, 0
             rows = scd2.initial(batch, self.spec, as_of)
-            self._write(rows.limit(0), self._history_path(run))
-            self._write(rows, self._current_path(run))
         else:
-            run, first = last["version"] + 1, False
-            current = self.spark.read.parquet(self._current_path(last["version"]))
-            result = scd2.changes(current, batch, self.spec, as_of, last["max_key"] or 0)
-            self._write(result.closed, self._history_path(run))
-            self._write(result.current, self._current_path(run))
-        written = self.spark.read.parquet(self._current_path(run))
-        top = written.agg(F.max(self.spec.sk)).first()[0] or 0
-        max_key = max(top, (last["max_key"] or 0) if last is not None else 0)
+            run, first, prev_max = last["version"] + 1, False, last["max_key"] or 0
+            current = self.current()
+            rows = scd2.changes(current, batch, self.spec, as_of, prev_max).rows
+        (rows.write.mode("overwrite").partitionBy("is_current")
+         .options(**PARQUET_OPTIONS).parquet(self._run_path(run)))
+        written = self.spark.read.parquet(f"{self._run_path(run)}/is_current=true")
+        max_key = max(written.agg(F.max(self.spec.sk)).first()[0] or 0, prev_max)
         self.log.append(run, max_key=max_key, as_of=as_of)
         return RunStats(run=run, first_load=first, max_key=max_key)
