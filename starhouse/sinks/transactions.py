@@ -27,12 +27,7 @@ def _target_keys(df: DataFrame, path: str, key: str) -> DataFrame | None:
 
 
 def unseen(df: DataFrame, path: str, key: str) -> DataFrame:
-    """Rows of ``df`` whose key is not yet in the table at ``path``.
-
-    Exact duplicate rows inside the batch (a file delivered twice) collapse to
-    one; rows that share a key but differ are all kept for the audit to report.
-    """
-    df = df.distinct()
+    """Rows of ``df`` whose key is not yet in the table at ``path``."""
     existing = _target_keys(df, path, key)
     if existing is None:
         return df
@@ -42,11 +37,18 @@ def unseen(df: DataFrame, path: str, key: str) -> DataFrame:
 
 def append_new(df: DataFrame, path: str, key: str, partition_by: str = "partition_date",
                dedupe: bool = True) -> None:
-    """Append ``df`` partitioned by ``partition_by``; with ``dedupe`` skip keys already loaded."""
+    """Append ``df`` partitioned by ``partition_by``; with ``dedupe`` skip keys already loaded.
+
+    Rows are range-partitioned on (partition value, key): each task writes a
+    contiguous run of partition directories (few files), and a hot partition
+    value still spreads over tasks by key. The same exchange clusters equal
+    rows, so dropping exact in-batch duplicates (a file delivered twice) adds
+    no shuffle; rows that share a key but differ are kept for the audit.
+    """
     rows = unseen(df, path, key) if dedupe else df
-    # Contiguous (partition, key) ranges per task: few files per partition
-    # directory, and a hot partition value still spreads over tasks by key.
     rows = rows.repartitionByRange(F.col(partition_by), F.col(key))
+    if dedupe:
+        rows = rows.distinct()
     (rows.write.mode("append").partitionBy(partition_by)
      .options(**PARQUET_OPTIONS).parquet(path))
 
