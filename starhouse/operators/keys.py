@@ -37,7 +37,10 @@ def assign_dense_key(df: DataFrame, order_by: Sequence[Column | str], key_col: s
     if not 0 < n <= MAX_KEY_PARTITIONS:
         raise ValueError(f"num_partitions must be in 1..{MAX_KEY_PARTITIONS}, got {n}")
     cols = [_as_col(c) for c in order_by]
-    positioned = (df.repartitionByRange(n, *cols)
+    # Without an explicit count AQE may coalesce neighbouring range partitions
+    # at runtime; ids stay in range order because positions are taken after the read.
+    ranged = df.repartitionByRange(*cols) if num_partitions is None else df.repartitionByRange(n, *cols)
+    positioned = (ranged
                   .sortWithinPartitions(*cols)
                   .withColumn("_k_part", F.spark_partition_id())
                   .withColumn("_k_pos", F.monotonically_increasing_id()))
