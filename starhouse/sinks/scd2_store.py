@@ -81,6 +81,8 @@ class Scd2Store:
         """Merge one standardised batch (with ``hash_key``) and commit it."""
         last = self.last_run()
         if last is None:
+            if batch.limit(1).count() == 0:
+                raise ValueError(f"empty first batch for {self.spec.name}: nothing to load")
             run, first, prev_max = 1, True, 0
             rows = scd2.initial(batch, self.spec, as_of)
         else:
