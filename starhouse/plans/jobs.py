@@ -16,7 +16,7 @@ from ..operators import gold, scd2
 from ..operators.quality import item_rules, order_rules, quality_gate
 from ..operators.silver import silver_order_items, silver_orders
 from ..sinks.scd2_store import RunStats, Scd2Store
-from ..sinks.star import create_star, load_table
+from ..sinks.star import create_star, load_table, verify_load
 from ..sinks.transactions import append_new, read_transactions
 from ..sinks.versioned import VersionedTable
 from ..sources.bronze import read_bronze
@@ -84,11 +84,14 @@ def silver(spark: SparkSession, lake: Lake, entity: str) -> DataFrame:
 
 
 def build_gold(spark: SparkSession, lake: Lake, as_of: str,
-               date_range: tuple[str, str] | None = None) -> dict[str, int]:
+               date_range: tuple[str, str] | None = None, verify: bool = False) -> dict:
     """Publish dim_customer, dim_product, dim_date and fact_sales as new versions.
 
     ``date_range=None`` sizes the date spine to whole years covering the
     orders (so every fact date has a dimension row); otherwise (start, end).
+    Returns the version of each table; with ``verify`` also a read-back report
+    (rows, columns, schema). The fact comes back with 17 columns: its 16 file
+    columns plus the discovered ``order_date_key`` last.
     """
     cust = Scd2Store(spark, lake.path("silver", "customers"), ENTITIES["customers"]).current()
     prod = Scd2Store(spark, lake.path("silver", "products"), ENTITIES["products"]).current()
@@ -107,6 +110,9 @@ def build_gold(spark: SparkSession, lake: Lake, as_of: str,
     fact = gold.fact_sales(items, orders, as_of)
     versions["fact_sales"] = VersionedTable(spark, lake.path("gold", "fact_sales")).publish(
         fact, partition_by=["order_date_key"], as_of=as_of)
+    if verify:
+        return {name: {"version": v, **verify_load(spark, VersionedTable(spark, lake.path("gold", name)).version_path(v))}
+                for name, v in versions.items()}
     return versions
 
 

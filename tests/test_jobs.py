@@ -33,7 +33,9 @@ def test_pipeline_end_to_end(spark):
     assert silver(spark, lake, "products").count() == 240       # 1.2 n, n = 200
     assert silver(spark, lake, "orders").count() == 1500
 
-    build_gold(spark, lake, T2)
+    report = build_gold(spark, lake, T2, verify=True)
+    assert report["fact_sales"]["rows"] == 6000 and report["fact_sales"]["columns"] == 17
+    assert report["dim_customer"]["rows"] == 150
     db = "t_lake_" + lake.root.rsplit("-", 1)[-1]
     load_star(spark, lake, db)
     assert spark.table(f"{db}.dim_customer").count() == 150
