@@ -2,9 +2,14 @@
 
 Appending the same batch twice must not duplicate orders (a duplicated order
 multiplies fact rows). Before appending, the batch's keys are semi-joined
-against the key column of the target (a one-column scan; the batch keys are
-the build side, broadcast by Spark/AQE only when their measured size allows,
-else sort-merge), and only unseen keys are written.
+against the key column of the target, and only unseen keys are written.
+
+By default the check is scoped to the partitions the batch writes into
+(``scope='partition'``): the batch's distinct partition values (bounded by
+the calendar, checked) become a static partition filter on the target scan,
+so a re-run reads only those directories, never the whole history. Orders
+are partitioned by order date and items by batch date, so a re-delivered
+batch lands in the same partitions. ``scope='table'`` checks every partition.
 """
 
 from __future__ import annotations
@@ -15,28 +20,55 @@ from pyspark.sql import functions as F
 
 from .versioned import PARQUET_OPTIONS, path_missing
 
+MAX_PARTITION_VALUES = 100_000
+
 
-def _target_keys(df: DataFrame, path: str, key: str) -> DataFrame | None:
+def _target(df: DataFrame, path: str) -> DataFrame | None:
     try:
         # declared schema: partition values keep their string type on read
-        return df.sparkSession.read.schema(df.schema).parquet(path).select(key)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
     except AnalysisException as e:
         if path_missing(e):
             return None
         raise
 
 
-def unseen(df: DataFrame, path: str, key: str) -> DataFrame:
+def batch_partitions(df: DataFrame, partition_by: str) -> list | None:
+    """Distinct partition values of a batch, or None when there are more than the bound."""
+    rows = df.select(partition_by).distinct().limit(MAX_PARTITION_VALUES + 1).collect()
+    return None if len(rows) > MAX_PARTITION_VALUES else [r[0] for r in rows]
+
+
+def unseen(df: DataFrame, path: str, key: str, partition_by: str | None = None,
+           scope: str = "partition") -> DataFrame:
     """Rows of ``df`` whose key is not yet in the table at ``path``."""
-    existing = _target_keys(df, path, key)
+    existing = _target(df, path)
     if existing is None:
         return df
-    present = existing.join(df.select(key).distinct(), key, "left_semi")
-    return df.join(present, key, "left_anti")
+    cols = [key]
+    if partition_by is not None and scope == "partition":
+        values = batch_partitions(df, partition_by)
+        if values is not None:
+            p = F.col(partition_by)
+            known = [v for v in values if v is not None]
+            keep = p.isin(known) if known else F.lit(False)
+            if len(known) < len(values):
+                keep = keep | p.isNull()
+            existing = existing.filter(keep)
+            cols = [key, partition_by]
+    batch_keys = df.select(*cols).distinct()
+    t, b = existing.select(*cols).alias("t"), batch_keys.alias("b")
+    same = [F.col(f"t.{c}").eqNullSafe(F.col(f"b.{c}")) if c == partition_by else F.col(f"t.{c}") == F.col(f"b.{c}")
+            for c in cols]
+    present = t.join(b, same, "left_semi")
+    d, q = df.alias("d"), present.alias("q")
+    hit = [F.col(f"d.{c}").eqNullSafe(F.col(f"q.{c}")) if c == partition_by else F.col(f"d.{c}") == F.col(f"q.{c}")
+           for c in cols]
+    return d.join(q, hit, "left_anti")
 
 
 def append_new(df: DataFrame, path: str, key: str, partition_by: str = "partition_date",
-               dedupe: bool = True) -> None:
+               dedupe: bool = True, scope: str = "partition") -> None:
     """Append ``df`` partitioned by ``partition_by``; with ``dedupe`` skip keys already loaded.
 
     Rows are range-partitioned on (partition value, key): each task writes a
@@ -45,7 +77,7 @@ def append_new(df: DataFrame, path: str, key: str, partition_by: str = "partitio
     rows, so dropping exact in-batch duplicates (a file delivered twice) adds
     no shuffle; rows that share a key but differ are kept for the audit.
     """
-    rows = unseen(df, path, key) if dedupe else df
+    rows = unseen(df, path, key, partition_by, scope) if dedupe else df
     rows = rows.repartitionByRange(F.col(partition_by), F.col(key))
     if dedupe:
         rows = rows.distinct()

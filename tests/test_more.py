@@ -48,10 +48,10 @@ def test_stream_ingest_restart_and_new_drop(spark):
         return spark.createDataFrame([(f"i{i}", i, 1, 2, Decimal("1.00"), Decimal("5.00"), Decimal("2.00"))
                                       for i in ids], schema)
     write_bronze(items(range(10)), root, "order_items", "20250301")
-    ingest(spark, root, "order_items", target, ckpt, AS_OF)
-    ingest(spark, root, "order_items", target, ckpt, AS_OF)          # restart: no new file, nothing added
-    write_bronze(items(range(5, 15)), root, "order_items", "20250302")   # overlaps 5..9
-    ingest(spark, root, "order_items", target, ckpt, AS_OF)
+    ingest(spark, root, "order_items", target, ckpt, AS_OF, scope="table")
+    ingest(spark, root, "order_items", target, ckpt, AS_OF, scope="table")   # restart: no new file
+    write_bronze(items(range(5, 15)), root, "order_items", "20250302")   # re-sends 5..9 in a later drop
+    ingest(spark, root, "order_items", target, ckpt, AS_OF, scope="table")
     empty = spark.createDataFrame([], schema)
     from starhouse.operators.silver import silver_order_items
     out = read_transactions(spark, target, silver_order_items(empty, "x", AS_OF).schema)

@@ -53,3 +53,16 @@ def test_fact_plan_has_no_single_partition_over_rows(spark):
     assert "RangePartitioning" not in plan           # keys come from the written positions
     assert plan.count("SinglePartition") <= 1         # only the per-partition offsets table
     assert "NestedLoopJoin" not in plan
+
+
+def test_append_dedupe_reads_only_batch_partitions(spark):
+    from starhouse.sinks.transactions import unseen
+    path = scratch_path(spark, "t-plan-scope")
+    df = spark.createDataFrame([(i, f"2025030{i % 5}") for i in range(50)], "order_id bigint, partition_date string")
+    append_new(df, path, "order_id")
+    batch = df.filter(F.col("partition_date") == "20250302")
+    plan = plan_of(unseen(batch, path, "order_id", "partition_date"))
+    assert "PartitionFilters: [" in plan and "20250302" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert unseen(batch, path, "order_id", "partition_date").count() == 0
+    assert unseen(batch.withColumn("order_id", F.col("order_id") + 1000), path, "order_id",
+                  "partition_date").count() == 10
