@@ -66,8 +66,10 @@ class Scd2Store:
         return order + [F.col("is_current").cast("boolean").alias("is_current"), "valid_from", "valid_to"]
 
     def current(self) -> DataFrame:
+        """The current rows of the last committed run, read from its one directory (no listing of other runs)."""
         n = self._committed()
-        rows = self._all().filter((F.col("run") == n) & (F.col("is_current") == "true"))
+        rows = (self.spark.read.parquet(f"{self._run_path(n)}/is_current=true")
+                .withColumn("is_current", F.lit("true")))
         return rows.select(*self._columns(rows))
 
     def read(self) -> DataFrame:
