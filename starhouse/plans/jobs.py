@@ -116,9 +116,9 @@ def build_gold(spark: SparkSession, lake: Lake, as_of: str,
     return versions
 
 
-def load_star(spark: SparkSession, lake: Lake, database: str) -> None:
+def load_star(spark: SparkSession, lake: Lake, database: str, buckets: int | None = None) -> None:
     """Create the star tables if absent and bulk-load the latest gold versions by position."""
-    create_star(spark, database, lake.path("warehouse"))
+    create_star(spark, database, lake.path("warehouse"), buckets)
     for name in ("dim_customer", "dim_product", "dim_date", "fact_sales"):
         table = VersionedTable(spark, lake.path("gold", name))
         parts = ("order_date_key",) if name == "fact_sales" else ()

@@ -100,6 +100,8 @@ class TableRules:
     not_null: tuple[str, ...]
     max_bytes: dict
     columns: tuple[tuple[str, str], ...]
+    cluster_by: tuple[str, ...] = ()     # distribution key, re-aimed as buckets
+    sort_by: tuple[str, ...] = ()        # sort key, re-aimed as sorted buckets
 
 
 # Gold star tables, column order, warehouse types and constraints.
@@ -128,6 +130,8 @@ DIM_PRODUCT = TableRules(
              ("stock_quantity", "INT"), ("category", "VARCHAR(255)"),
              ("row_effective_date", "TIMESTAMP_NTZ"), ("row_expiration_date", "TIMESTAMP_NTZ"),
              ("current_row_flag", "BOOLEAN"), ("etl_processed_date", "TIMESTAMP_NTZ")),
+    cluster_by=("product_natural_key",),
+    sort_by=("product_natural_key",),
 )
 DIM_DATE = TableRules(
     table="dim_date",
@@ -157,5 +161,7 @@ FACT_SALES = TableRules(
              ("shipping_cost", "DECIMAL(18,2)"), ("total_amount", "DECIMAL(18,2)"),
              ("order_status", "VARCHAR(50)"), ("payment_method", "VARCHAR(50)"),
              ("etl_processed_date", "TIMESTAMP_NTZ"), ("order_date_key", "INT")),
+    cluster_by=("product_natural_key",),
+    sort_by=("order_date_key", "customer_natural_key"),
 )
 STAR = {t.table: t for t in (DIM_CUSTOMER, DIM_PRODUCT, DIM_DATE, FACT_SALES)}

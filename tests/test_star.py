@@ -46,3 +46,26 @@ def test_audit_reports_violations(spark):
     assert got[("unique", "customer_natural_key")] == 0
     assert got[("max_bytes", "customer_name")] == 1
     assert got[("not_null", "customer_key")] == 0
+
+
+def test_bucketed_fact_and_product_join_without_exchange(spark):
+    root = scratch_path(spark, "t-star3")
+    db = "t_star_" + root.rsplit("-", 1)[-1]
+    create_star(spark, db, root + "/tables", buckets=4)
+    spark.sql(f"""INSERT INTO {db}.fact_sales
+        SELECT id, CAST(id AS STRING), CAST(id AS STRING), CAST(id % 7 AS STRING), CAST(id % 20 AS STRING),
+               1, 1.00, 0.00, 1.00, 1.00, 0.10, 1.00, 'O', 'card', TIMESTAMP_NTZ '2025-03-06 00:00:00',
+               20250101 + CAST(id % 3 AS INT)
+        FROM range(200)""")
+    spark.sql(f"""INSERT INTO {db}.dim_product
+        SELECT CAST(id AS STRING), CAST(id AS STRING), 'p', 1.00, 1, 'c', NULL, NULL, true, NULL
+        FROM range(20)""")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table(f"{db}.fact_sales").join(spark.table(f"{db}.dim_product"), "product_natural_key")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Bucketed: true" in plan
+        assert j.count() == 200
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
