@@ -18,6 +18,7 @@ from ..operators.silver import silver_order_items, silver_orders
 from ..sinks.scd2_store import RunStats, Scd2Store
 from ..sinks.star import create_star, load_table, verify_load
 from ..sinks.transactions import append_new, read_transactions
+from ..session import scratch_scope
 from ..sinks.versioned import VersionedTable
 from ..sources.bronze import read_bronze
 from ..sources.schemas import BRONZE, ENTITIES
@@ -48,7 +49,8 @@ def entity_batch(spark: SparkSession, lake: Lake, entity: str, batch_date: str,
     batch = scd2.standardize(read_bronze(spark, lake.path("bronze"), entity, batch_date, on_bad=on_bad), spec)
     if dedupe_order:
         batch = scd2.dedupe_latest(batch, spec, dedupe_order)
-    return Scd2Store(spark, lake.path("silver", entity), spec).apply(batch, as_of)
+    with scratch_scope(spark):      # key positions are dropped once the run is written
+        return Scd2Store(spark, lake.path("silver", entity), spec).apply(batch, as_of)
 
 
 def _gate(rows: DataFrame, rules, lake: Lake, table: str, key: str) -> DataFrame:
@@ -93,6 +95,11 @@ def build_gold(spark: SparkSession, lake: Lake, as_of: str,
     (rows, columns, schema). The fact comes back with 17 columns: its 16 file
     columns plus the discovered ``order_date_key`` last.
     """
+    with scratch_scope(spark):      # the fact's key positions are dropped once it is published
+        return _build_gold(spark, lake, as_of, date_range, verify)
+
+
+def _build_gold(spark, lake, as_of, date_range, verify):
     cust = Scd2Store(spark, lake.path("silver", "customers"), ENTITIES["customers"]).current()
     prod = Scd2Store(spark, lake.path("silver", "products"), ENTITIES["products"]).current()
     orders = silver(spark, lake, "orders")

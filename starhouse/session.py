@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +55,43 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_scopes = threading.local()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared folder (never a machine-local temp dir on a cluster)."""
-    return f"{shared_dir(spark).rstrip('/')}/starhouse/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared folder (never a machine-local temp dir on a cluster).
+
+    Inside ``scratch_scope`` the path is deleted when the scope ends.
+    """
+    path = f"{shared_dir(spark).rstrip('/')}/starhouse/{name}-{uuid.uuid4().hex[:12]}"
+    stack = getattr(_scopes, "stack", None)
+    if stack:
+        stack[-1].append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete a path on whatever file system it names (HDFS, object store, local)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(hpath, True))
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the scratch tables created inside the block once it has finished.
+
+    Use it around work that fully consumes its scratch tables (a job that
+    writes its result), never around code returning lazy DataFrames that still
+    read them.
+    """
+    stack = getattr(_scopes, "stack", None)
+    if stack is None:
+        stack = _scopes.stack = []
+    stack.append([])
+    try:
+        yield stack[-1]
+    finally:
+        for path in stack.pop():
+            delete_path(spark, path)

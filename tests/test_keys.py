@@ -45,3 +45,12 @@ def test_no_single_partition_exchange_over_rows(spark):
 def test_empty_input(spark):
     df = _frame(spark).limit(0)
     assert assign_dense_key(df, ["k"], "sk").count() == 0
+
+
+def test_scratch_scope_removes_key_positions(spark):
+    import os
+    from starhouse.session import scratch_scope
+    with scratch_scope(spark) as created:
+        assert assign_dense_key(_frame(spark, n=100), ["k", "tie"], "sk").count() == 100
+        assert created and all(os.path.exists(p.replace("file:", "", 1)) for p in created)
+    assert not any(os.path.exists(p.replace("file:", "", 1)) for p in created)
