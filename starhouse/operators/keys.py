@@ -33,7 +33,10 @@ def assign_dense_key(df: DataFrame, order_by: Sequence[Column | str], key_col: s
     give a unique ordering when the key must be reproducible per row.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # without an explicit count the exchange starts from AQE's initial partition
+    # number (falling back to spark.sql.shuffle.partitions) and may coalesce
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(initial or 0))
     if not 0 < n <= MAX_KEY_PARTITIONS:
         raise ValueError(f"num_partitions must be in 1..{MAX_KEY_PARTITIONS}, got {n}")
     cols = [_as_col(c) for c in order_by]

@@ -70,3 +70,22 @@ def test_merge_with_hot_key(spark):
     assert v2.filter(F.col("customer_id") == 7).filter("not is_current").count() == 1
     assert v2.count() == 300 + 200
     assert v2.agg(F.countDistinct("customer_sk")).first()[0] == 500
+
+
+def test_fact_with_hot_order(spark):
+    """One order holds a third of all items: the join and the dense key still produce every row once."""
+    from decimal import Decimal
+    from starhouse.operators.gold import fact_sales
+    from starhouse.operators.silver import silver_order_items, silver_orders
+    orders = silver_orders(spark.createDataFrame(
+        [(o, o % 13, f"2025-01-{1 + o % 28:02d} 10:00:00", "O", "card", Decimal("1.00"), Decimal("9.00"))
+         for o in range(300)], "order_id bigint, customer_id bigint, order_date string, status string, "
+        "payment_method string, shipping_cost decimal(18,2), order_total decimal(18,2)"), AS_OF)
+    rows = [(f"i{i}", 7 if i < 1000 else i % 300, i % 50, 1, Decimal("2.00"), Decimal("0.00"), Decimal("2.00"))
+            for i in range(3000)]
+    items = silver_order_items(spark.createDataFrame(rows, BRONZE["order_items"]), "20250301", AS_OF)
+    fact = fact_sales(items, orders, "2025-03-06 00:00:00", num_partitions=8)
+    s = fact.agg(F.count("*"), F.countDistinct("sales_key"), F.min("sales_key"), F.max("sales_key"),
+                 F.sum((F.col("order_natural_key") == "7").cast("int"))).first()
+    hot = 1000 + sum(1 for i in range(1000, 3000) if i % 300 == 7)
+    assert tuple(s) == (3000, 3000, 1, 3000, hot)
