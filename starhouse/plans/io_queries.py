@@ -3,9 +3,7 @@ folder inside the shared checkpoint directory, then returns the read-back."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from ..operators import gold, scd2
+from ..operators import scd2
 from ..session import scratch_path
 from ..sinks.scd2_store import Scd2Store
 from ..sinks.star import create_star, load_table
@@ -13,7 +11,7 @@ from ..sinks.transactions import append_new, read_transactions
 from ..sinks.versioned import VersionedTable
 from ..sources.bronze import read_bronze, write_bronze
 from ..sources.fixtures import AS_OF_1, AS_OF_2, ITEMS_BATCH_DATE, bronze
-from ..sources.schemas import CUSTOMERS, PRODUCTS, FACT_SALES
+from ..sources.schemas import CUSTOMERS, PRODUCTS
 from ..streaming.ingest import ingest
 from . import pipeline as P
 
@@ -43,7 +41,7 @@ def q_append_idempotent(spark, sf):
     return read_transactions(spark, path, rows.schema)
 
 
-def _stream(entity, key, batch_date, build):
+def _stream(entity, batch_date, build):
     def q(spark, sf):
         root = scratch_path(spark, "bronze")
         frame = bronze(spark, sf, entity)
@@ -80,9 +78,8 @@ def registry():
         "scd2_store_customers": _store(CUSTOMERS),
         "scd2_store_products": _store(PRODUCTS),
         "append_idempotent": q_append_idempotent,
-        "stream_ingest_orders": _stream("orders", "order_id", "20250302", P.orders_silver),
-        "stream_ingest_order_items": _stream("order_items", "order_item_id", ITEMS_BATCH_DATE,
-                                             P.items_silver),
+        "stream_ingest_orders": _stream("orders", "20250302", P.orders_silver),
+        "stream_ingest_order_items": _stream("order_items", ITEMS_BATCH_DATE, P.items_silver),
         "fact_published": q_fact_published,
         "load_roundtrip": q_load_roundtrip,
     }

@@ -1,7 +1,6 @@
 """Star tables: DDL re-runnable, positional load, VARCHAR limits, constraint audit."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from starhouse.operators.audit import audit
 from starhouse.session import scratch_path
