@@ -49,3 +49,18 @@ def test_orders_columns(spark):
     out = silver_orders(_orders(spark, "2024-02-29 10:00:00"), "2025-03-03 00:00:00").first()
     assert (out.partition_date, out.order_year_month, out.order_day_of_week) == ("20240229", "2024-02", "Thursday")
     assert out.order_amount == Decimal("10.00")
+
+
+def test_results_do_not_depend_on_session_zone(spark):
+    """D14: wall-clock timestamps (timestamp_ntz) give the same partition, month and weekday in any zone."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    out = []
+    try:
+        for zone in ("UTC", "Asia/Tokyo", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            r = silver_orders(_orders(spark, "2024-12-31 23:30:00"), "2025-03-03 00:00:00").first()
+            out.append((r.order_date, r.partition_date, r.order_year_month, r.order_day_of_week,
+                        r.processing_timestamp))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert out[0] == out[1] == out[2] and out[0][1] == "20241231"

@@ -75,3 +75,11 @@ def test_bronze_csv_dated_glob(spark):
     write_bronze(df, root, "customers", "20250304", part="0001")
     got = read_bronze(spark, root, "customers", "20250303")
     assert got.count() == 4 and got.filter(F.col("phone").isNull()).count() == 2
+
+
+def test_unreadable_target_is_not_a_first_load(spark):
+    """D2: only a missing target means first load; any other read failure surfaces."""
+    root = scratch_path(spark, "t-bad")
+    spark.range(3).selectExpr("CAST(id AS STRING) AS value").write.text(root + "/_commits")  # not a commit log
+    with pytest.raises(Exception):
+        Scd2Store(spark, root, CUSTOMERS).apply(cust(spark, rows("1")), T1)
