@@ -83,3 +83,16 @@ def test_unreadable_target_is_not_a_first_load(spark):
     spark.range(3).selectExpr("CAST(id AS STRING) AS value").write.text(root + "/_commits")  # not a commit log
     with pytest.raises(Exception):
         Scd2Store(spark, root, CUSTOMERS).apply(cust(spark, rows("1")), T1)
+
+
+def test_inferred_schema_changes_hash_inputs(spark):
+    """Why bronze is read with a declared schema: inference makes 10 an int in one batch and 10.0 a double in another."""
+    from starhouse.sources.schemas import PRODUCTS
+    root = scratch_path(spark, "t-infer")
+    a = spark.createDataFrame([(1, "p", "10", 1, "c")], "product_id bigint, product_name string, price string, stock_quantity int, category string")
+    b = spark.createDataFrame([(1, "p", "10.0", 1, "c")], "product_id bigint, product_name string, price string, stock_quantity int, category string")
+    write_bronze(a, root, "products", "20250303")
+    write_bronze(b, root, "products", "20250306")
+    h = lambda d, infer: scd2.standardize(read_bronze(spark, root, "products", d, infer=infer), PRODUCTS).first().hash_key
+    assert h("20250303", True) != h("20250306", True)        # inferred: int 10 vs double 10.0
+    assert h("20250303", False) == h("20250306", False)      # declared double: no false change
