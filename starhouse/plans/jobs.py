@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import gold, scd2
 from ..operators.quality import item_rules, order_rules, quality_gate
@@ -123,6 +124,25 @@ def _build_gold(spark, lake, as_of, date_range, verify):
     return versions
 
 
+def refresh_fact(spark: SparkSession, lake: Lake, date_range: tuple[str, str], as_of: str) -> int:
+    """Re-run the fact for order dates in ``date_range`` (yyyyMMdd, inclusive), in place.
+
+    Only silver order partitions in the range are read (partition pruning),
+    and only the fact's order_date_key partitions they produce are replaced
+    (dynamic partition overwrite); every other date is untouched. Refreshed
+    rows get keys after the current largest sales_key, so keys stay unique;
+    after a refresh they are no longer dense. Dates in the range that no
+    longer have rows keep their previous partition.
+    """
+    table = VersionedTable(spark, lake.path("gold", "fact_sales"))
+    top = spark.read.parquet(table.version_path(table.version())).agg(F.max("sales_key")).first()[0] or 0
+    orders = silver(spark, lake, "orders")
+    items = silver(spark, lake, "order_items")
+    with scratch_scope(spark):
+        fact = gold.fact_sales(items, orders, as_of, date_range=date_range, key_start=top)
+        return table.replace_partitions(fact, ["order_date_key"])
+
+
 def load_star(spark: SparkSession, lake: Lake, database: str, buckets: int | None = None) -> None:
     """Create the star tables if absent and bulk-load the latest gold versions by position."""
     create_star(spark, database, lake.path("warehouse"), buckets)

@@ -95,3 +95,23 @@ class VersionedTable:
         writer.save(self.version_path(n))
         self.log.append(n, as_of=as_of)
         return n
+
+    def replace_partitions(self, df: DataFrame, partition_by: list[str],
+                           options: dict | None = None) -> int:
+        """Replace, in the committed version, exactly the partitions present in ``df``.
+
+        Dynamic partition overwrite: Spark stages the new files and swaps each
+        touched partition directory at job commit; partitions absent from
+        ``df`` are left as they are. Used for re-runs over a partition range
+        (e.g. late orders for past dates) without rewriting the whole table.
+        """
+        n = self.version()
+        if n is None:
+            raise FileNotFoundError(f"no committed version under {self.root}")
+        (df.write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .options(**{**PARQUET_OPTIONS, **(options or {})})
+         .partitionBy(*partition_by)
+         .parquet(self.version_path(n)))
+        return n
+
