@@ -33,7 +33,8 @@ def create_star(spark: SparkSession, database: str, root: str | None = None,
     key (order date, customer) within buckets, and dim_product is bucketed
     the same way, so joining them needs no exchange on either side.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    db_loc = f" LOCATION '{root.rstrip('/')}/_database'" if root else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{db_loc}")
     for rules in STAR.values():
         loc = f"{root.rstrip('/')}/{rules.table}" if root else None
         spark.sql(table_ddl(database, rules, loc, buckets))
