@@ -44,14 +44,15 @@ def _silver_schema(spark: SparkSession, entity: str):
 
 
 def entity_batch(spark: SparkSession, lake: Lake, entity: str, batch_date: str, as_of: str,
-                 on_bad: str = "error", dedupe_order: str | None = None) -> RunStats:
+                 on_bad: str = "error", dedupe_order: str | None = None,
+                 profile: bool = False) -> RunStats:
     """Merge one dated customers/products drop into its SCD2 history (first run = initial load)."""
     spec = ENTITIES[entity]
     batch = scd2.standardize(read_bronze(spark, lake.path("bronze"), entity, batch_date, on_bad=on_bad), spec)
     if dedupe_order:
         batch = scd2.dedupe_latest(batch, spec, dedupe_order)
     with scratch_scope(spark):      # key positions are dropped once the run is written
-        return Scd2Store(spark, lake.path("silver", entity), spec).apply(batch, as_of)
+        return Scd2Store(spark, lake.path("silver", entity), spec).apply(batch, as_of, profile=profile)
 
 
 def _gate(rows: DataFrame, rules, lake: Lake, table: str, key: str) -> DataFrame:

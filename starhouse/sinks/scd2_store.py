@@ -32,6 +32,7 @@ class RunStats:
     run: int
     first_load: bool
     max_key: int
+    profile: dict | None = None     # change_type -> (rows, distinct keys), when asked for
 
 
 class Scd2Store:
@@ -79,21 +80,33 @@ class Scd2Store:
         rows = self._all().filter(((F.col("run") == n) & cur) | ((F.col("run") <= n) & ~cur))
         return rows.select(*self._columns(rows))
 
-    def apply(self, batch: DataFrame, as_of: str) -> RunStats:
-        """Merge one standardised batch (with ``hash_key``) and commit it."""
+    def apply(self, batch: DataFrame, as_of: str, profile: bool = False) -> RunStats:
+        """Merge one standardised batch (with ``hash_key``) and commit it.
+
+        ``profile=True`` also returns row and distinct-key counts per change
+        type and for the prior current rows (one small aggregate job).
+        """
         last = self.last_run()
+        stats = None
         if last is None:
             if batch.limit(1).count() == 0:
                 raise ValueError(f"empty first batch for {self.spec.name}: nothing to load")
             run, first, prev_max = 1, True, 0
             rows = scd2.initial(batch, self.spec, as_of)
+            if profile:
+                agg = batch.agg(F.count(F.lit(1)), F.countDistinct(self.spec.key)).first()
+                stats = {"new": (agg[0], agg[1])}
         else:
             run, first, prev_max = last["version"] + 1, False, last["max_key"] or 0
             current = self.current()
-            rows = scd2.changes(current, batch, self.spec, as_of, prev_max).rows
+            result = scd2.changes(current, batch, self.spec, as_of, prev_max)
+            rows = result.rows
+            if profile:
+                stats = {r.change_type: (r.n_rows, r.n_keys)
+                         for r in scd2.profile(result.classified, current, self.spec).collect()}
         (rows.write.mode("overwrite").partitionBy("is_current")
          .options(**PARQUET_OPTIONS).parquet(self._run_path(run)))
         written = self.spark.read.parquet(f"{self._run_path(run)}/is_current=true")
         max_key = max(written.agg(F.max(self.spec.sk)).first()[0] or 0, prev_max)
         self.log.append(run, max_key=max_key, as_of=as_of)
-        return RunStats(run=run, first_load=first, max_key=max_key)
+        return RunStats(run=run, first_load=first, max_key=max_key, profile=stats)

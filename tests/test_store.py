@@ -25,10 +25,11 @@ def rows(phone):
 def test_store_first_load_merge_and_rerun(spark):
     store = Scd2Store(spark, scratch_path(spark, "t-store"), CUSTOMERS)
     assert store.last_run() is None
-    s1 = store.apply(cust(spark, rows("1")), T1)
-    assert s1.first_load and s1.max_key == 20
-    s2 = store.apply(cust(spark, rows("2")), T2)
+    s1 = store.apply(cust(spark, rows("1")), T1, profile=True)
+    assert s1.first_load and s1.max_key == 20 and s1.profile == {"new": (20, 20)}
+    s2 = store.apply(cust(spark, rows("2")), T2, profile=True)
     assert not s2.first_load and s2.max_key == 40
+    assert s2.profile == {"changed": (20, 20), "current": (20, 20)}
     full = store.read()
     assert full.count() == 40 and full.filter("is_current").count() == 20
     store.apply(cust(spark, rows("2")), T2)                     # same batch again
