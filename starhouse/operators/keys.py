@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-MAX_KEY_PARTITIONS = 100_000
+MAX_KEY_PARTITIONS = 1_000_000      # offsets table: <= 12 MB (int id + long offset per partition)
 
 
 def _as_col(c: Column | str) -> Column:

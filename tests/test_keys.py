@@ -54,3 +54,17 @@ def test_scratch_scope_removes_key_positions(spark):
         assert assign_dense_key(_frame(spark, n=100), ["k", "tie"], "sk").count() == 100
         assert created and all(os.path.exists(p.replace("file:", "", 1)) for p in created)
     assert not any(os.path.exists(p.replace("file:", "", 1)) for p in created)
+
+
+def test_fact_keys_do_not_depend_on_partitioning(spark):
+    """The same rows get the same sales_key whatever the number of range partitions."""
+    from conftest import SF_SMALL
+    from starhouse.operators.gold import fact_sales
+    from starhouse.plans import pipeline as P
+    items, orders = P.items_silver(spark, SF_SMALL), P.orders_silver(spark, SF_SMALL)
+    runs = []
+    for n in (1, 3, 16):
+        f = fact_sales(items, orders, "2025-03-06 00:00:00", num_partitions=n)
+        runs.append({r.order_item_natural_key: r.sales_key
+                     for r in f.select("order_item_natural_key", "sales_key").collect()})
+    assert runs[0] == runs[1] == runs[2] and len(runs[0]) == 6000
