@@ -3,10 +3,12 @@
 ``row_number()`` over an unpartitioned window moves every row to one task.
 Instead: range-partition on the ordering (the range partitioner splits even a
 hot leading value because the trailing order columns differ), sort within
-partitions, record (partition id, position), checkpoint so every later pass
-sees the same partitions, then add each partition's running offset. The
-offsets table has one row per partition, so its broadcast is bounded by the
-partition count we choose.
+partitions, and record (partition id, position). That is written once as a
+Parquet table in the shared checkpoint folder, so every later pass sees the
+same rows in the same places (a recomputed range exchange could resample
+other bounds). Counting rows per partition then reads only the partition-id
+column. Each partition's running offset comes from a table with one row per
+partition, so its broadcast is bounded by the partition count (checked).
 """
 
 from __future__ import annotations
