@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.schemas import STAR, TableRules
+from .versioned import single_file_if_small
 
 DIM_WRITE_OPTIONS = {"compression": "snappy", "parquet.enable.dictionary": "true",
                      "parquet.page.size": "1048576"}
@@ -65,11 +66,6 @@ def verify_load(spark: SparkSession, path: str, expected_rows: int | None = None
 
 
 def export_dim(df: DataFrame, path: str, single_file_max_rows: int = 5_000_000) -> None:
-    """Write a dimension; a single file only when it is provably small enough.
-
-    ``limit(max + 1).count()`` bounds the check; above it the frame keeps its
-    partitions and Spark writes one file per task.
-    """
-    small = df.limit(single_file_max_rows + 1).count() <= single_file_max_rows
-    out = df.coalesce(1) if small else df
-    out.write.mode("overwrite").options(**DIM_WRITE_OPTIONS).parquet(path)
+    """Write a dimension to ``path``: one file when provably small, else one file per task."""
+    single_file_if_small(df, single_file_max_rows).write.mode("overwrite") \
+        .options(**DIM_WRITE_OPTIONS).parquet(path)

@@ -23,6 +23,15 @@ COMMIT_SCHEMA = T.StructType([
 ])
 
 
+def single_file_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """``coalesce(1)`` when the frame provably has at most ``max_rows`` rows, else unchanged.
+
+    ``limit(max + 1).count()`` bounds the check; larger frames keep their
+    partitions and are written one file per task.
+    """
+    return df.coalesce(1) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def path_missing(exc: AnalysisException) -> bool:
     """True only for 'path does not exist'; any other failure must surface."""
     cond = getattr(exc, "getCondition", None) or getattr(exc, "getErrorClass", None)
@@ -85,9 +94,8 @@ class VersionedTable:
         most that many rows (``limit(max + 1).count()`` bounds the check);
         larger frames keep their partitions.
         """
-        if single_file_max_rows is not None and \
-                df.limit(single_file_max_rows + 1).count() <= single_file_max_rows:
-            df = df.coalesce(1)
+        if single_file_max_rows is not None:
+            df = single_file_if_small(df, single_file_max_rows)
         n = (self.version() or 0) + 1
         writer = df.write.mode("overwrite").format("parquet").options(**{**PARQUET_OPTIONS, **(options or {})})
         if partition_by:

@@ -89,3 +89,12 @@ def test_fact_with_hot_order(spark):
                  F.sum((F.col("order_natural_key") == "7").cast("int"))).first()
     hot = 1000 + sum(1 for i in range(1000, 3000) if i % 300 == 7)
     assert tuple(s) == (3000, 3000, 1, 3000, hot)
+
+
+def test_export_dim_single_file_only_when_small(spark):
+    from starhouse.sinks.star import export_dim
+    small, large = scratch_path(spark, "t-exp1"), scratch_path(spark, "t-exp2")
+    export_dim(spark.range(100).repartition(4), small, single_file_max_rows=1000)
+    export_dim(spark.range(100).repartition(4), large, single_file_max_rows=10)
+    count = lambda p: len([f for f in os.listdir(_local(p)) if f.endswith(".parquet")])
+    assert count(small) == 1 and count(large) == 4
