@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starhouse.llm import chat_format
+from starhouse.llm import chat_format, language_id
 from starhouse.llm.common import table
 
 
@@ -22,7 +22,21 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.read_back(chat_format.render(chat_format.fold(events))))
 
 
+def held_out(divisor: int):
+    """Documents kept from learning: the crc32 of the id as text leaves remainder 2."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(divisor)) == 2
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole document, learned from the rows that aren't held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out(4).alias("held_out"))
+    model = language_id.fit(docs.where(~F.col("held_out")))
+    return language_id.predict(docs.select("doc_id", "held_out", "text"), model) \
+        .select("doc_id", "held_out", "lang_pred", "score")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": op1_chat_format,
+        "op2_language_id": op2_language_id,
     }
