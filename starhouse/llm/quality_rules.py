@@ -26,7 +26,7 @@ from starhouse.llm.common import split_words
 MIN_SHARE = 0.004
 MIN_WORDS, MIN_CHARS, MIN_REFERENCE = 100, 300, 5_000
 #: Largest Jensen-Shannon distance to the language that a kept document may have.
-MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.45, 0.75
+MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.28, 0.36
 CLASSES = ("letter", "upper", "digit", "mark", "other")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starhouse.llm import chat_format, decontam, language_id, line_dedup, quality_rules
+from starhouse.llm import chat_format, decontam, language_id, line_dedup, minhash_dedup, mixing, quality_rules
 from starhouse.llm.common import table
 
 
@@ -35,6 +35,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash_dedup.dedup(docs, k=4, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality_rules.judge(docs).select(
@@ -56,11 +61,19 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       decontam.contaminated().alias("contaminated"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every document in the mixture of sources."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs).select("doc_id", "source", "slot", "phase")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": op1_chat_format,
         "op2_language_id": op2_language_id,
+        "op3_minhash_dedup": op3_minhash_dedup,
         "op5_quality_rules": op5_quality_rules,
         "op6_line_dedup": op6_line_dedup,
         "op9_decontamination": op9_decontamination,
+        "op10_mixing": op10_mixing,
     }
