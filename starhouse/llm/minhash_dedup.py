@@ -115,11 +115,14 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                 sets = shingle_sets(texts[a:b], k)
                 cid = [int(np.int64(xxhash.xxh3_64_intdigest(s.tobytes()) - 2**63)) if len(s) else None for s in sets]
                 yield pd.DataFrame({
-                    "doc_id": batch["doc_id"].iloc[a:b].array, "rk": batch["rk"].iloc[a:b].array, "n": [len(s) for s in sets],
+                    "id": batch["id"].iloc[a:b].array, "no_id": batch["no_id"].iloc[a:b].array, "rk": batch["rk"].iloc[a:b].array, "n": [len(s) for s in sets],
                     "cid": pd.array(cid, dtype="Int64"), "bands": [_band_hashes(signature(s)) if len(s) else None for s in sets]})
 
-    return docs.select(F.col("doc_id").cast("long"), row_key("doc_id", "text").alias("rk"), "text") \
-        .mapInPandas(made, "doc_id long, rk long, n long, cid long, bands array<long>")
+    # a null among longs would make pandas read them as floats
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id"),
+                       row_key("doc_id", "text").alias("rk"), "text")
+    return rows.mapInPandas(made, "id long, no_id boolean, rk long, n long, cid long, bands array<long>") \
+        .select(F.when(~F.col("no_id"), F.col("id")).alias("doc_id"), "rk", "n", "cid", "bands")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -127,10 +130,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     salt the text of a before them, are streamed in order of (a, salt)."""
     sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(SALT_ROWS)).alias("salts"))
     with_text = pairs.join(texts.select(F.col("cid").alias("b"), "text"), "b")
-    others = with_text.join(sizes, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt"), "b", "text")
+    others = with_text.join(sizes, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt"), F.lit(False).alias("first"), "b", "text")
     pivots = sizes.join(texts.select(F.col("cid").alias("a"), "text"), "a") \
-        .select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), "text")
-    rows = pivots.unionByName(others).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+        .select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(True).alias("first"), F.lit(0).cast("long").alias("b"), "text")
+    rows = pivots.unionByName(others).repartition("a", "salt").sortWithinPartitions("a", "salt", F.desc("first"))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pivot, of = None, None
@@ -139,15 +142,15 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
             for x, y in chunks([len(t or "") + 1 for t in texts], CHUNK_CHARS):
                 part = batch.iloc[x:y]
                 links = []
-                for a, b, s in zip(part["a"], part["b"].isna().to_numpy(), shingle_sets(texts[x:y], k), strict=True):
-                    if b:
+                for a, first, s in zip(part["a"], part["first"], shingle_sets(texts[x:y], k), strict=True):
+                    if first:
                         pivot, of = s, a
                         links.append(False)
                         continue
                     assert a == of
                     common = np.intersect1d(pivot, s, assume_unique=True).size
                     links.append(100 * common >= percent * (len(pivot) + len(s) - common))
-                yield part.loc[links, ["a", "b"]].astype("int64")
+                yield part.loc[links, ["a", "b"]]
 
     return rows.mapInPandas(compare, "a long, b long")
 
