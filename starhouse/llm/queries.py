@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starhouse.llm import chat_format, decontam, language_id, line_dedup, minhash_dedup, mixing, quality_rules
+from starhouse.llm import chat_format, decontam, language_id, line_dedup, lm_scoring, minhash_dedup, mixing, quality_rules
 from starhouse.llm.common import table
 
 
@@ -40,6 +40,12 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.dedup(docs, k=4, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out(7).alias("held_out"))
+    return lm_scoring.score(docs.withColumn("train", ~F.col("held_out"))).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality_rules.judge(docs).select(
@@ -72,6 +78,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_chat_format": op1_chat_format,
         "op2_language_id": op2_language_id,
         "op3_minhash_dedup": op3_minhash_dedup,
+        "op4_lm_scoring": op4_lm_scoring,
         "op5_quality_rules": op5_quality_rules,
         "op6_line_dedup": op6_line_dedup,
         "op9_decontamination": op9_decontamination,
