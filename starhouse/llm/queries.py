@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starhouse.llm import chat_format, decontam, language_id, line_dedup, lm_scoring, minhash_dedup, mixing, quality_rules
+from starhouse.llm import (
+    chat_format,
+    decontam,
+    html_extract,
+    language_id,
+    line_dedup,
+    lm_scoring,
+    minhash_dedup,
+    mixing,
+    quality_rules,
+)
 from starhouse.llm.common import table
 
 
@@ -59,6 +69,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages, html_extract.fit(pages)).select("page_id", "url", "text", "n_chars")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -81,6 +96,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_lm_scoring": op4_lm_scoring,
         "op5_quality_rules": op5_quality_rules,
         "op6_line_dedup": op6_line_dedup,
+        "op7_html_extract": op7_html_extract,
         "op9_decontamination": op9_decontamination,
         "op10_mixing": op10_mixing,
     }
