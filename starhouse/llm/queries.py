@@ -12,6 +12,7 @@ from starhouse.llm import (
     decontam,
     html_extract,
     language_id,
+    license_scan,
     line_dedup,
     lm_scoring,
     minhash_dedup,
@@ -74,6 +75,15 @@ def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(pages, html_extract.fit(pages)).select("page_id", "url", "text", "n_chars")
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree: source / language / hundreds of the id / id."""
+    part = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    path = F.concat_ws("/", part("source"), part("lang"), F.coalesce(F.floor(F.col("doc_id") / 100).cast("string"), F.lit("null")),
+                       F.concat(part("doc_id"), F.lit(".txt")))
+    docs = table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
+    return license_scan.scan(docs).select("doc_id", "path", "licence", "cosine", "origin", "licence_dir")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -97,6 +107,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_quality_rules": op5_quality_rules,
         "op6_line_dedup": op6_line_dedup,
         "op7_html_extract": op7_html_extract,
+        "op8_license_scan": op8_license_scan,
         "op9_decontamination": op9_decontamination,
         "op10_mixing": op10_mixing,
     }
