@@ -300,7 +300,8 @@ def fit(pages: DataFrame) -> bytes:
         htmls = [h for b in batches for h in b["html"]]
         yield pd.DataFrame({"model": [pickle.dumps(train(htmls))]})
 
-    return bytes(sample.repartition(1).sortWithinPartitions("h").mapInPandas(trained, "model binary").collect()[0].model)
+    made = sample.repartition(1).sortWithinPartitions("h").mapInPandas(trained, "model binary").collect()
+    return bytes(made[0].model) if made else pickle.dumps(train([]))
 
 
 def extract_one(html: str | None, model: GBT) -> str:

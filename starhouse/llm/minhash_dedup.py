@@ -8,12 +8,13 @@ probability (1 - 0.8^4)^32, about 5e-8.
 
 Texts of equal set are one class. Classes meet in buckets; a bucket is never expanded into all its pairs:
 
-- up to ``SMALL`` classes, pairs of different components are compared (a bounded number for each class);
-- a larger bucket chooses a pivot, compared with all classes outside its component. Links merge
-  components. Afterwards the pivot has met everything and leaves; a bucket ends when all its classes
-  are in one component. After its first round a large bucket that is still open is split by a second band
+- up to ``SMALL`` classes, all of them are compared (a bounded number for each class);
+- a larger bucket chooses some pivots, compared with all classes outside their component. Links merge
+  components. Afterwards a pivot has met everything and leaves; a bucket ends when all its classes
+  are in one component. After the first round a large bucket that is still open is split by a second band
   (a linked pair that shares one of 32 bands shares another with probability 1 - 8e-8), which parts texts
-  that only have a passage in common.
+  that only have a passage in common. Later rounds take six times the pivots of the one before, from
+  outside the bucket's most frequent component, so the rounds are few whatever a bucket's size.
 
 No pair of a bucket is left out: each is compared, or already linked through others, or, by the size of
 the sets, can't reach the threshold. Pairs are confirmed on the full sets, streamed to tasks by (pivot,
@@ -38,7 +39,7 @@ from starhouse.llm.common import chunks, drop_written, row_key, written
 from starhouse.llm.graph import components
 
 BANDS, ROWS = 32, 4
-SMALL = 24
+SMALL = 48
 #: Partners of a pivot that share one copy of its text.
 SALT_ROWS = 128
 CHUNK_CHARS = 1_500_000
@@ -165,58 +166,47 @@ def _one_text(docs: DataFrame, sigs: DataFrame, wanted: DataFrame) -> DataFrame:
 def links(docs: DataFrame, sigs: DataFrame, k: int, percent: int) -> DataFrame:
     """Links (a, b) between classes that span every component of the similarity graph."""
     classes = sigs.where("cid IS NOT NULL").groupBy("cid").agg(F.first("n").alias("n"), F.first("bands").alias("bands"))
-    members = classes.select(F.posexplode("bands").alias("band", "bucket"), "cid", "n", "bands")
+    members = classes.select(F.explode("bands").alias("bucket"), "cid", "n", "bands")
     shared = members.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
-    members = written(members.join(shared, "bucket").select("bucket", "band", "cid", "n", "m", F.when(F.col("m") > SMALL, F.col("bands")).alias("bands")), "minhash-members")
+    members = written(members.join(shared, "bucket").select("bucket", "cid", "n", F.when(F.col("m") > SMALL, F.col("bands")).alias("bands")), "minhash-members")
     texts = written(_one_text(docs, sigs, members.select("cid").distinct()).dropDuplicates(["cid"]), "minhash-texts")
-    near = F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb")
-    active = members.select("bucket", "cid", "n")
-    found, met, comps, first = [], None, None, True
+    near = F.lit(100) * F.least("n", "nb") >= F.lit(percent) * F.greatest("n", "nb")
+    dealt = F.pmod(F.xxhash64("cid"), F.lit(1 << 40)) / F.lit(float(1 << 40))   # the same place in [0, 1) in all buckets
+    active, met, comps, pivots = members.select("bucket", "cid", "n"), None, None, 3
     while True:
         if comps is not None:
-            active = active.join(comps.withColumnsRenamed({"node": "cid", "comp": "k"}), "cid", "left")
-            active = active.withColumn("k", F.coalesce("k", "cid"))
+            active = active.join(comps.withColumnsRenamed({"node": "cid", "comp": "k"}), "cid", "left").withColumn("k", F.coalesce("k", "cid"))
         else:
             active = active.withColumn("k", F.col("cid"))
-        state = active.groupBy("bucket").agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.count("*").alias("m"), F.mode("k", True).alias("most"))
-        # the pivot comes from outside the most frequent component, if there is one
-        pivot = active.join(state, "bucket").where("lo < hi").withColumn("odd", F.col("k") != F.col("most"))
-        pivot = pivot.withColumn("odd", F.when(F.lit(first), F.lit(False)).otherwise(F.col("odd")))
-        chosen = pivot.where("m > %d" % SMALL).groupBy("bucket").agg(F.min(F.struct(~F.col("odd"), "cid", "n", "k")).alias("p"))
-        chosen = written(chosen.select("bucket", F.col("p.cid").alias("pa"), F.col("p.n").alias("na"), F.col("p.k").alias("ka")), "minhash-pivots")
-        open_rows = written(pivot.select("bucket", "cid", "n", "k", "m"), "minhash-open")
-        star = open_rows.join(chosen, "bucket").where("k <> ka").select(F.col("pa").alias("a"), F.col("cid").alias("b"), "na", F.col("n").alias("nb"))
-        few = open_rows.where("m <= %d" % SMALL)
-        left = few.select("bucket", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("k").alias("ka"))
-        right = few.select("bucket", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("k").alias("kb"))
-        small = left.join(right, "bucket").where("a < b AND ka <> kb").select("a", "b", "na", "nb")
-        pairs = star.unionByName(small).where(near).select("a", "b").distinct()
+        state = active.groupBy("bucket", "k").agg(F.count("*").alias("c")).groupBy("bucket").agg(
+            F.max(F.struct("c", "k")).alias("top"), F.sum("c").alias("m"), F.count("*").alias("ks")).where("ks > 1")
+        # pivots: classes outside the bucket's most frequent component, all of them or a share by hash
+        rate = F.when(F.col("m") <= SMALL, 1.0).otherwise(F.lit(float(pivots)) / (F.col("m") - F.col("top.c")))
+        rows = written(active.join(state, "bucket").select(
+            "bucket", "cid", "n", "k", "m", ((F.col("k") != F.col("top.k")) & (dealt < rate)).alias("pivot")), "minhash-open")
+        if comps is not None and not rows.limit(1).count():
+            return comps.select(F.col("node").alias("a"), F.col("comp").alias("b"))
+        others = rows.select("bucket", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("k").alias("kb"), F.col("pivot").alias("pb"))
+        pairs = rows.where("pivot").join(others, "bucket").where("k <> kb AND (NOT pb OR cid < b)").where(near) \
+            .select(F.col("cid").alias("a"), "b", F.least("cid", "b").alias("lo"), F.greatest("cid", "b").alias("hi")).dropDuplicates(["lo", "hi"])
         if met is not None:
-            pairs = pairs.join(met, ["a", "b"], "left_anti").join(met.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
+            pairs = pairs.join(met.select("lo", "hi"), ["lo", "hi"], "left_anti")
         pairs = written(pairs, "minhash-pairs")
-        new = written(_verified(pairs, texts, k, percent), "minhash-links")
-        found.append(new)
-        large = open_rows.where("m > %d" % SMALL).join(chosen.select("bucket", F.col("pa").alias("cid")), ["bucket", "cid"], "left_anti").select("bucket", "cid", "n")
-        if not chosen.limit(1).count():
-            break
-        met = pairs if met is None else written(met.unionByName(pairs), "minhash-met")
-        every = found[0]
-        for x in found[1:]:
-            every = every.unionByName(x)
-        comps = components(every, "minhash-components")
-        if first:                                     # split what is still open by a second band
-            merged = large.join(comps.withColumnsRenamed({"node": "cid", "comp": "k"}), "cid", "left").withColumn("k", F.coalesce("k", "cid"))
-            still = merged.groupBy("bucket").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo < hi").select("bucket")
-            # the pivot's own comparisons are done, so the bucket's other classes go on
-            again = large.join(still, "bucket").join(members.select("bucket", "cid", "bands"), ["bucket", "cid"])
-            large = again.select(F.col("bucket").alias("of"), "cid", "n", F.explode("bands").alias("second")).where("second <> of") \
+        new = written(_verified(pairs.select("a", "b"), texts, k, percent), "minhash-links")
+        found = new if comps is None else new.unionByName(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")))
+        large = rows.where("m > %d AND NOT pivot" % SMALL)
+        if not large.limit(1).count():
+            return found
+        met = pairs if met is None else met.unionByName(pairs)
+        comps = components(found, "minhash-components")
+        active = large.select("bucket", "cid", "n")
+        if pivots == 3:                               # split what is still open by a second band
+            now = active.join(comps.withColumnsRenamed({"node": "cid", "comp": "k"}), "cid", "left").withColumn("k", F.coalesce("k", "cid"))
+            still = now.groupBy("bucket").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo < hi").select("bucket")
+            active = active.join(still, "bucket").join(members.select("bucket", "cid", "bands"), ["bucket", "cid"]) \
+                .select(F.col("bucket").alias("of"), "cid", "n", F.explode("bands").alias("second")).where("second <> of") \
                 .select(F.xxhash64(F.least("of", "second"), F.greatest("of", "second")).alias("bucket"), "cid", "n").distinct()
-            first = False
-        active = written(large, "minhash-active")
-    out = found[0]
-    for x in found[1:]:
-        out = out.unionByName(x)
-    return out
+        pivots *= 6
 
 
 def dedup(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
