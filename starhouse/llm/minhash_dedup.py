@@ -8,17 +8,15 @@ probability (1 - 0.8^4)^32, about 5e-8.
 
 Texts of equal set are one class. Classes meet in buckets; a bucket is never expanded into all its pairs:
 
-- up to ``SMALL`` classes, all of them are compared (a bounded number for each class);
-- a larger bucket chooses some pivots, compared with all classes outside their component. Links merge
-  components. Afterwards a pivot has met everything and leaves; a bucket ends when all its classes
-  are in one component. After the first round a large bucket that is still open is split by a second band
-  (a linked pair that shares one of 32 bands shares another with probability 1 - 8e-8), which parts texts
-  that only have a passage in common. Later rounds take six times the pivots of the one before, from
-  outside the bucket's most frequent component, so the rounds are few whatever a bucket's size.
+- first it chooses one pivot, the class with the largest buckets (an original rather than a copy), which all
+  its classes are compared with. Links merge components, and most buckets then are in one component;
+- the classes of a bucket that is still open are compared with those of other components by their
+  signatures, in blocks of ``BLOCK`` classes, and only pairs that agree in ``SKETCH`` of the 128 coordinates
+  come out (a linked pair fails that with probability 1e-8).
 
 No pair of a bucket is left out: each is compared, or already linked through others, or, by the size of
-the sets, can't reach the threshold. Pairs are confirmed on the full sets, streamed to tasks by (pivot,
-salt), so that a pivot with very many partners is dealt over many tasks.
+the sets or their signatures, can't reach the threshold. Pairs are confirmed on the full sets, streamed to
+tasks by (pivot, salt), so that a pivot with very many partners is dealt over many tasks.
 
 Defined cases: null or blank text has an empty set and is linked with nothing; a null doc_id has no
 component id and is kept; rows of equal doc_id are one node, each row with its own set size; repeated
@@ -39,7 +37,10 @@ from starhouse.llm.common import chunks, drop_written, row_key, written
 from starhouse.llm.graph import components
 
 BANDS, ROWS = 32, 4
-SMALL = 48
+#: Classes of a bucket that are compared with each other in one group of rows; two blocks in another.
+BLOCK = 1024
+#: Share of agreeing coordinates below which an open bucket's pair isn't looked at: 0.8 less 5.7 standard deviations.
+SKETCH = 0.6
 #: Partners of a pivot that share one copy of its text.
 SALT_ROWS = 128
 CHUNK_CHARS = 1_500_000
@@ -108,22 +109,23 @@ def _band_hashes(sig: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, k: int) -> DataFrame:
-    """``(doc_id, rk, n, cid, bands)``; cid is a hash of the whole set, null for an empty one."""
+    """``(doc_id, rk, n, cid, bands, sig)``; cid is a hash of the whole set, null for an empty one."""
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = batch["text"].tolist()
             for a, b in chunks([len(t or "") + 1 for t in texts], CHUNK_CHARS):
                 sets = shingle_sets(texts[a:b], k)
                 cid = [int(np.int64(xxhash.xxh3_64_intdigest(s.tobytes()) - 2**63)) if len(s) else None for s in sets]
+                sig = [signature(s) if len(s) else None for s in sets]
                 yield pd.DataFrame({
                     "id": batch["id"].iloc[a:b].array, "no_id": batch["no_id"].iloc[a:b].array, "rk": batch["rk"].iloc[a:b].array, "n": [len(s) for s in sets],
-                    "cid": pd.array(cid, dtype="Int64"), "bands": [_band_hashes(signature(s)) if len(s) else None for s in sets]})
+                    "cid": pd.array(cid, dtype="Int64"), "bands": [None if g is None else _band_hashes(g) for g in sig], "sig": [None if g is None else g.tobytes() for g in sig]})
 
     # a null among longs would make pandas read them as floats
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id"),
                        row_key("doc_id", "text").alias("rk"), "text")
-    return rows.mapInPandas(made, "id long, no_id boolean, rk long, n long, cid long, bands array<long>") \
-        .select(F.when(~F.col("no_id"), F.col("id")).alias("doc_id"), "rk", "n", "cid", "bands")
+    return rows.mapInPandas(made, "id long, no_id boolean, rk long, n long, cid long, bands array<long>, sig binary") \
+        .select(F.when(~F.col("no_id"), F.col("id")).alias("doc_id"), "rk", "n", "cid", "bands", "sig")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -163,50 +165,51 @@ def _one_text(docs: DataFrame, sigs: DataFrame, wanted: DataFrame) -> DataFrame:
     return keyed.join(rep, "rk").select("cid", "text")
 
 
+def _alike(group: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of different components in one block or between two blocks of a bucket, whose signatures agree
+    in at least ``SKETCH`` of the coordinates and whose sizes allow the threshold."""
+    sig = np.frombuffer(b"".join(group["sig"]), dtype=np.uint32).reshape(len(group), -1)
+    cid, k, n, at = (group[c].to_numpy() for c in ("cid", "k", "n", "at"))
+    one = group["i"].iloc[0] == group["j"].iloc[0]
+    left = np.arange(len(group)) if one else np.flatnonzero(at == group["i"].iloc[0])
+    right = left if one else np.flatnonzero(at == group["j"].iloc[0])
+    out_a, out_b = [], []
+    for pos, x in enumerate(left):
+        others = right[pos + 1:] if one else right
+        others = others[(k[others] != k[x]) & (100 * np.minimum(n[others], n[x]) >= 80 * np.maximum(n[others], n[x]))]
+        others = others[(sig[others] == sig[x]).mean(axis=1) >= SKETCH] if len(others) else others
+        out_a += [cid[x]] * len(others)
+        out_b += cid[others].tolist()
+    return pd.DataFrame({"a": np.array(out_a, dtype=np.int64), "b": np.array(out_b, dtype=np.int64)})
+
+
 def links(docs: DataFrame, sigs: DataFrame, k: int, percent: int) -> DataFrame:
     """Links (a, b) between classes that span every component of the similarity graph."""
     classes = sigs.where("cid IS NOT NULL").groupBy("cid").agg(F.first("n").alias("n"), F.first("bands").alias("bands"))
-    members = classes.select(F.explode("bands").alias("bucket"), "cid", "n", "bands")
+    members = classes.select(F.explode("bands").alias("bucket"), "cid", "n")
     shared = members.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
-    members = written(members.join(shared, "bucket").select("bucket", "cid", "n", F.when(F.col("m") > SMALL, F.col("bands")).alias("bands")), "minhash-members")
+    members = written(members.join(shared, "bucket").select("bucket", "cid", "n", "m"), "minhash-members")
     texts = written(_one_text(docs, sigs, members.select("cid").distinct()).dropDuplicates(["cid"]), "minhash-texts")
-    near = F.lit(100) * F.least("n", "nb") >= F.lit(percent) * F.greatest("n", "nb")
-    dealt = F.pmod(F.xxhash64("cid"), F.lit(1 << 40)) / F.lit(float(1 << 40))   # the same place in [0, 1) in all buckets
-    active, met, comps, pivots = members.select("bucket", "cid", "n"), None, None, 3
-    while True:
-        if comps is not None:
-            active = active.join(comps.withColumnsRenamed({"node": "cid", "comp": "k"}), "cid", "left").withColumn("k", F.coalesce("k", "cid"))
-        else:
-            active = active.withColumn("k", F.col("cid"))
-        state = active.groupBy("bucket", "k").agg(F.count("*").alias("c")).groupBy("bucket").agg(
-            F.max(F.struct("c", "k")).alias("top"), F.sum("c").alias("m"), F.count("*").alias("ks")).where("ks > 1")
-        # pivots: classes outside the bucket's most frequent component, all of them or a share by hash
-        rate = F.when(F.col("m") <= SMALL, 1.0).otherwise(F.lit(float(pivots)) / (F.col("m") - F.col("top.c")))
-        rows = written(active.join(state, "bucket").select(
-            "bucket", "cid", "n", "k", "m", ((F.col("k") != F.col("top.k")) & (dealt < rate)).alias("pivot")), "minhash-open")
-        if comps is not None and not rows.limit(1).count():
-            return comps.select(F.col("node").alias("a"), F.col("comp").alias("b"))
-        others = rows.select("bucket", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("k").alias("kb"), F.col("pivot").alias("pb"))
-        pairs = rows.where("pivot").join(others, "bucket").where("k <> kb AND (NOT pb OR cid < b)").where(near) \
-            .select(F.col("cid").alias("a"), "b", F.least("cid", "b").alias("lo"), F.greatest("cid", "b").alias("hi")).dropDuplicates(["lo", "hi"])
-        if met is not None:
-            pairs = pairs.join(met.select("lo", "hi"), ["lo", "hi"], "left_anti")
-        pairs = written(pairs, "minhash-pairs")
-        new = written(_verified(pairs.select("a", "b"), texts, k, percent), "minhash-links")
-        found = new if comps is None else new.unionByName(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")))
-        large = rows.where("m > %d AND NOT pivot" % SMALL)
-        if not large.limit(1).count():
-            return found
-        met = pairs if met is None else met.unionByName(pairs)
-        comps = components(found, "minhash-components")
-        active = large.select("bucket", "cid", "n")
-        if pivots == 3:                               # split what is still open by a second band
-            now = active.join(comps.withColumnsRenamed({"node": "cid", "comp": "k"}), "cid", "left").withColumn("k", F.coalesce("k", "cid"))
-            still = now.groupBy("bucket").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo < hi").select("bucket")
-            active = active.join(still, "bucket").join(members.select("bucket", "cid", "bands"), ["bucket", "cid"]) \
-                .select(F.col("bucket").alias("of"), "cid", "n", F.explode("bands").alias("second")).where("second <> of") \
-                .select(F.xxhash64(F.least("of", "second"), F.greatest("of", "second")).alias("bucket"), "cid", "n").distinct()
-        pivots *= 6
+    # the text that others were copied from has the largest buckets: the first pivot of its buckets
+    central = members.groupBy("cid").agg(F.sum("m").alias("central"))
+    pivots = members.join(central, "cid").groupBy("bucket").agg(F.max(F.struct("central", "cid", "n")).alias("p"))
+    star = members.join(pivots, "bucket").where("cid <> p.cid AND 100 * least(n, p.n) >= %d * greatest(n, p.n)" % percent)
+    pairs = written(star.select(F.col("p.cid").alias("a"), F.col("cid").alias("b")).distinct(), "minhash-pairs")
+    found = written(_verified(pairs, texts, k, percent), "minhash-links")
+    comps = components(found, "minhash-components")
+    merged = members.where("m > 2").join(comps.withColumnsRenamed({"node": "cid", "comp": "k"}), "cid", "left").withColumn("k", F.coalesce("k", "cid"))
+    still = merged.groupBy("bucket").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo < hi").select("bucket")
+    signed = sigs.where("cid IS NOT NULL").groupBy("cid").agg(F.first("sig").alias("sig"))
+    blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
+    rest = merged.join(still, "bucket").withColumn("at", F.pmod(F.xxhash64("cid"), blocks).cast("int")) \
+        .select("bucket", "cid", "n", "k", "at", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("to")) \
+        .select("bucket", "cid", "n", "k", "at", F.least("at", "to").alias("i"), F.greatest("at", "to").alias("j"))
+    alike = rest.join(signed, "cid").groupBy("bucket", "i", "j").applyInPandas(_alike, "a long, b long")
+    alike = alike.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    met = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = written(alike.join(met, ["a", "b"], "left_anti"), "minhash-more-pairs")
+    new = written(_verified(more, texts, k, percent), "minhash-more-links")
+    return new.unionByName(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")))
 
 
 def dedup(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
