@@ -10,7 +10,7 @@ partition) are reduced to one per hash and joined back. A line goes if its hash'
 `keep_bitmaps` returns, per document row, the number of lines, of dropped lines, and a compressed bitmap
 (zlib; bit i of byte i // 8 is line i, 1: keep) instead of text; `apply_bitmaps` makes the texts.
 
-A line key is identified by two 64-bit hashes. A document row is identified by doc_id and a hash of its
+A line key is identified by a 128-bit hash. A document row is identified by doc_id and a hash of its
 text. Defined cases: null or empty text is one empty line; rows of equal doc_id are one holder of their
 lines; a null doc_id counts as a document after all others; repeated rows get equal results; an empty
 table gives no rows; other columns are not touched.
@@ -23,23 +23,40 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starhouse.llm.common import ascii_lower, row_key, written
+from starhouse.llm.common import chunks, row_key, written
 
 MIN_CHARS = 10
 LAST = 2**63 - 1
+CHUNK_CHARS = 2_000_000
+_BLANKS = " \t\n\v\f\r"
 _MARKED = "h1 long, h2 long, doc long, rk long, pos int, first long, edge boolean"
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    key = ascii_lower(F.regexp_replace("line", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+\z", ""))
-    return docs.select(
-        F.coalesce("doc_id", F.lit(LAST)).cast("long").alias("doc"), row_key("doc_id", "text").alias("rk"),
-        F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "line")) \
-        .select("doc", "rk", "pos", key.alias("key")).where(F.length("key") >= MIN_CHARS) \
-        .select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), "doc", "rk", "pos")
+    """(h1, h2, doc, rk, pos) of the lines with a long enough key."""
+    def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = batch["text"].tolist()
+            for a, b in chunks([len(t or "") + 1 for t in texts], CHUNK_CHARS):
+                digests, owner, pos = [], [], []
+                for i in range(a, b):
+                    for j, line in enumerate((texts[i] or "").split("\n")):
+                        key = line.strip(_BLANKS)
+                        if len(key) >= MIN_CHARS:
+                            digests.append(xxhash.xxh3_128_digest(key.encode().lower()))     # bytes: A-Z only
+                            owner.append(i)
+                            pos.append(j)
+                h = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
+                rows = batch.iloc[owner]
+                yield pd.DataFrame({"h1": h[:, 0], "h2": h[:, 1], "doc": rows["doc"].to_numpy(), "rk": rows["rk"].to_numpy(),
+                                    "pos": np.array(pos, dtype=np.int32)})
+
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), row_key("doc_id", "text").alias("rk"), "text")
+    return rows.mapInPandas(made, "h1 long, h2 long, doc long, rk long, pos int")
 
 
 def _stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -68,7 +85,7 @@ def _stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _marked(docs: DataFrame) -> DataFrame:
     """(rk, pos, dropped) of every line with a long enough key."""
-    lines = _lines(docs)
+    lines = written(_lines(docs), "lines")          # the range partitioner reads its input twice
     spread = lines.repartitionByRange("h1", "h2", "doc", "pos").sortWithinPartitions("h1", "h2", "doc", "pos")
     marked = written(spread.mapInPandas(_stream, _MARKED), "line-marks")
     edges = marked.where("edge").groupBy("h1", "h2").agg(F.min("first").alias("whole_first"))
