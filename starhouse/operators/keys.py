@@ -8,7 +8,7 @@ Parquet table in the shared checkpoint folder, so every later pass sees the
 same rows in the same places (a recomputed range exchange could resample
 other bounds). Counting rows per partition then reads only the partition-id
 column. Each partition's running offset comes from a table with one row per
-partition, so its broadcast is bounded by the partition count (checked).
+partition; Spark broadcasts it if it is small enough.
 """
 
 from __future__ import annotations
@@ -20,8 +20,6 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-MAX_KEY_PARTITIONS = 1_000_000      # offsets table: <= 12 MB (int id + long offset per partition)
-
 
 def _as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -35,16 +33,10 @@ def assign_dense_key(df: DataFrame, order_by: Sequence[Column | str], key_col: s
     give a unique ordering when the key must be reproducible per row.
     """
     spark = df.sparkSession
-    # without an explicit count the exchange starts from AQE's initial partition
-    # number (falling back to spark.sql.shuffle.partitions) and may coalesce
-    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(initial or 0))
-    if not 0 < n <= MAX_KEY_PARTITIONS:
-        raise ValueError(f"num_partitions must be in 1..{MAX_KEY_PARTITIONS}, got {n}")
     cols = [_as_col(c) for c in order_by]
     # Without an explicit count AQE may coalesce neighbouring range partitions
     # at runtime; ids stay in range order because positions are taken after the read.
-    ranged = df.repartitionByRange(*cols) if num_partitions is None else df.repartitionByRange(n, *cols)
+    ranged = df.repartitionByRange(*cols) if num_partitions is None else df.repartitionByRange(num_partitions, *cols)
     positioned = (ranged
                   .sortWithinPartitions(*cols)
                   .withColumn("_k_part", F.spark_partition_id())
@@ -58,6 +50,6 @@ def assign_dense_key(df: DataFrame, order_by: Sequence[Column | str], key_col: s
     offsets = counts.select("_k_part", F.coalesce(F.sum("_k_n").over(before), F.lit(0)).alias("_k_off"))
     local = F.col("_k_pos") - F.shiftleft(F.col("_k_part").cast("long"), 33)
     key = (F.lit(start).cast("long") + F.col("_k_off") + local + F.lit(1)).cast("long")
-    return (fixed.join(F.broadcast(offsets), "_k_part")
+    return (fixed.join(offsets, "_k_part")
             .withColumn(key_col, key)
             .drop("_k_part", "_k_pos", "_k_off"))

@@ -3,10 +3,12 @@ folder inside the shared checkpoint directory, then returns the read-back."""
 
 from __future__ import annotations
 
-from ..operators import scd2
+from pyspark.sql import functions as F
+
+from ..operators import gold, scd2
 from ..session import scratch_path
 from ..sinks.scd2_store import Scd2Store
-from ..sinks.star import create_star, load_table
+from ..sinks.star import create_star, export_dim, load_table
 from ..sinks.transactions import append_new, read_transactions
 from ..sinks.versioned import VersionedTable
 from ..sources.bronze import read_bronze, write_bronze
@@ -16,11 +18,13 @@ from ..streaming.ingest import ingest
 from . import pipeline as P
 
 
-def q_bronze_csv_customers(spark, sf):
-    """Batch 1 dropped as dated CSV, read back through the dated glob with the declared schema."""
-    root = scratch_path(spark, "bronze")
-    write_bronze(bronze(spark, sf, "customers_b1"), root, "customers", "20250303")
-    return scd2.standardize(read_bronze(spark, root, "customers", "20250303"), CUSTOMERS)
+def _bronze_csv(spec):
+    def q(spark, sf):
+        """Every customer or part dropped as dated CSV, read back through the dated glob with the declared schema."""
+        root = scratch_path(spark, "bronze")
+        write_bronze(bronze(spark, sf, f"{spec.name}_all"), root, spec.name, "20250303")
+        return scd2.standardize(read_bronze(spark, root, spec.name, "20250303"), spec)
+    return q
 
 
 def _store(spec):
@@ -41,6 +45,23 @@ def q_append_idempotent(spark, sf):
     return read_transactions(spark, path, rows.schema)
 
 
+def q_append_resent(spark, sf):
+    """The orders batch, then its rows again under another partition value: every key is loaded."""
+    path = scratch_path(spark, "silver-orders")
+    rows = P.orders_silver(spark, sf)
+    append_new(rows, path, "order_id")
+    append_new(rows.withColumn("partition_date", F.lit("resent")), path, "order_id")
+    return read_transactions(spark, path, rows.schema)
+
+
+def q_dim_exported(spark, sf):
+    """dim_customer exported as plain files, and read back."""
+    path = scratch_path(spark, "dim-export")
+    dim = gold.dim_customer(P.entity_v2(spark, sf, CUSTOMERS), AS_OF_2)
+    export_dim(dim, path)
+    return spark.read.schema(dim.schema).parquet(path)
+
+
 def _stream(entity, batch_date, build):
     def q(spark, sf):
         root = scratch_path(spark, "bronze")
@@ -74,7 +95,10 @@ def q_load_roundtrip(spark, sf):
 
 def registry():
     return {
-        "bronze_csv_customers": q_bronze_csv_customers,
+        "bronze_csv_customers": _bronze_csv(CUSTOMERS),
+        "bronze_csv_products": _bronze_csv(PRODUCTS),
+        "append_resent": q_append_resent,
+        "dim_exported": q_dim_exported,
         "scd2_store_customers": _store(CUSTOMERS),
         "scd2_store_products": _store(PRODUCTS),
         "append_idempotent": q_append_idempotent,

@@ -17,15 +17,13 @@ from ..operators import gold, scd2
 from ..operators.quality import item_rules, order_rules, quality_gate
 from ..operators.silver import silver_order_items, silver_orders
 from ..sinks.scd2_store import RunStats, Scd2Store
-from ..sinks.star import create_star, load_table, verify_load
+from ..sinks.star import DIM_WRITE_OPTIONS, create_star, load_table, verify_load
 from ..sinks.transactions import append_new, read_transactions
 from ..session import scratch_scope
 from ..sinks.versioned import VersionedTable
 from ..sources.bronze import read_bronze
 from ..sources.schemas import BRONZE, ENTITIES
 
-DIM_OPTIONS = {"parquet.enable.dictionary": "true", "parquet.page.size": "1048576"}
-DIM_SINGLE_FILE_ROWS = 5_000_000
 
 
 @dataclass(frozen=True)
@@ -62,23 +60,23 @@ def _gate(rows: DataFrame, rules, lake: Lake, table: str, key: str) -> DataFrame
 
 
 def orders_batch(spark: SparkSession, lake: Lake, batch_date: str, as_of: str,
-                 gate: bool = False, on_bad: str = "error") -> None:
-    """Append one dated orders drop to silver (partitioned by order date)."""
+                 gate: bool = False, on_bad: str = "error", scope: str = "table") -> int:
+    """Append one dated orders drop to silver (partitioned by order date); returns the rows written."""
     rows = silver_orders(read_bronze(spark, lake.path("bronze"), "orders", batch_date, on_bad=on_bad),
                          as_of, on_bad=on_bad)
     if gate:
         rows = _gate(rows, order_rules(), lake, "orders", "order_id")
-    append_new(rows, lake.path("silver", "orders"), "order_id")
+    return append_new(rows, lake.path("silver", "orders"), "order_id", scope=scope)
 
 
 def order_items_batch(spark: SparkSession, lake: Lake, batch_date: str, as_of: str,
-                      gate: bool = False) -> None:
-    """Append one dated order-items drop to silver (partitioned by the batch date)."""
+                      gate: bool = False, scope: str = "table") -> int:
+    """Append one dated order-items drop to silver (partitioned by the batch date); returns the rows written."""
     rows = silver_order_items(read_bronze(spark, lake.path("bronze"), "order_items", batch_date),
                               batch_date, as_of)
     if gate:
         rows = _gate(rows, item_rules(), lake, "order_items", "order_item_id")
-    append_new(rows, lake.path("silver", "order_items"), "order_item_id")
+    return append_new(rows, lake.path("silver", "order_items"), "order_item_id", scope=scope)
 
 
 def silver(spark: SparkSession, lake: Lake, entity: str) -> DataFrame:
@@ -115,12 +113,13 @@ def _build_gold(spark, lake, as_of, date_range, verify):
     versions = {}
     for name, df in dims.items():
         versions[name] = VersionedTable(spark, lake.path("gold", name)).publish(
-            df, options=DIM_OPTIONS, as_of=as_of, single_file_max_rows=DIM_SINGLE_FILE_ROWS)
+            df, options=DIM_WRITE_OPTIONS, as_of=as_of, single_file=name == "dim_date")
     fact = gold.fact_sales(items, orders, as_of)
     versions["fact_sales"] = VersionedTable(spark, lake.path("gold", "fact_sales")).publish(
         fact, partition_by=["order_date_key"], as_of=as_of)
     if verify:
-        return {name: {"version": v, **verify_load(spark, VersionedTable(spark, lake.path("gold", name)).version_path(v))}
+        widths = {**{name: len(df.columns) for name, df in dims.items()}, "fact_sales": len(fact.columns) + ("order_date_key" not in fact.columns)}
+        return {name: {"version": v, **verify_load(spark, VersionedTable(spark, lake.path("gold", name)).version_path(v), expected_columns=widths[name])}
                 for name, v in versions.items()}
     return versions
 
@@ -145,9 +144,10 @@ def refresh_fact(spark: SparkSession, lake: Lake, date_range: tuple[str, str], a
 
 
 def load_star(spark: SparkSession, lake: Lake, database: str, buckets: int | None = None) -> None:
-    """Create the star tables if absent and bulk-load the latest gold versions by position."""
+    """Create the star tables if absent and bulk-load the latest gold versions by position. The tables'
+    rows are replaced, so the job can be run again."""
     create_star(spark, database, lake.path("warehouse"), buckets)
     for name in ("dim_customer", "dim_product", "dim_date", "fact_sales"):
         table = VersionedTable(spark, lake.path("gold", name))
         parts = ("order_date_key",) if name == "fact_sales" else ()
-        load_table(spark, table.version_path(table.version()), f"{database}.{name}", partition_cols=parts)
+        load_table(spark, table.version_path(table.version()), f"{database}.{name}", partition_cols=parts, overwrite=True)

@@ -46,7 +46,8 @@ FROM ({recipe_sql('order_items')})"""
 
 def _std_sql(spec: EntitySpec, batch: int) -> str:
     cols = ", ".join(f"lower(trim({c})) AS {c}" if c in spec.text_cols else c for c in spec.columns)
-    inner = f"SELECT {cols} FROM ({recipe_sql(f'{spec.name}_b{batch}')})"
+    recipe = f"{spec.name}_all" if batch == "all" else f"{spec.name}_b{batch}"
+    inner = f"SELECT {cols} FROM ({recipe_sql(recipe)})"
     hashed = ", ".join(spec.hash_cols)
     return f"SELECT *, sha256(concat_ws('|', {hashed})) AS hash_key FROM ({inner})"
 
@@ -89,11 +90,11 @@ SELECT * FROM {p}ins""",
 
 
 def standardize_sql(spec: EntitySpec) -> str:
-    return _std_sql(spec, 1)
+    return _std_sql(spec, "all")
 
 
 def initial_sql(spec: EntitySpec) -> str:
-    return _cte(**_entity_ctes(spec)) + "\nSELECT * FROM v1"
+    return _cte(**{**_entity_ctes(spec), "s1": _std_sql(spec, "all")}) + "\nSELECT * FROM v1"
 
 
 def classify_sql(spec: EntitySpec) -> str:
@@ -301,6 +302,9 @@ def oracles() -> dict[str, str]:
         "audit_fact": audit_fact_sql(),
         "audit_dims": audit_dims_sql(),
         "bronze_csv_customers": standardize_sql(CUSTOMERS),
+        "bronze_csv_products": standardize_sql(PRODUCTS),
+        "append_resent": orders_silver_sql(),
+        "dim_exported": dim_customer_sql(),
         "scd2_store_customers": merge_sql(CUSTOMERS),
         "scd2_store_products": merge_sql(PRODUCTS),
         "append_idempotent": orders_silver_sql(),

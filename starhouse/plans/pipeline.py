@@ -22,7 +22,10 @@ def items_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_order_items(bronze(spark, sf_dir, "order_items"), ITEMS_BATCH_DATE, AS_OF_1)
 
 
-def entity_batch(spark: SparkSession, sf_dir: str, spec: EntitySpec, n: int) -> DataFrame:
+def entity_batch(spark: SparkSession, sf_dir: str, spec: EntitySpec, n: int | str) -> DataFrame:
+    """Batch 1 or 2 of the fixture, standardised; ``all``: every customer or part."""
+    if n == "all":
+        return scd2.standardize(bronze(spark, sf_dir, f"{spec.name}_all"), spec)
     return scd2.standardize(bronze(spark, sf_dir, f"{spec.name}_b{n}"), spec)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import audit, gold, quality, scd2
 from ..operators.keys import assign_dense_key
-from ..sources.fixtures import AS_OF_2
+from ..sources.fixtures import AS_OF_1, AS_OF_2
 from ..sources.schemas import CUSTOMERS, DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, FACT_SALES, PRODUCTS
 from . import pipeline as P
 
@@ -27,13 +27,13 @@ def q_silver_order_items(spark, sf):
 
 def _standardize(spec):
     def q(spark, sf):
-        return P.entity_batch(spark, sf, spec, 1)
+        return P.entity_batch(spark, sf, spec, "all")
     return q
 
 
 def _initial(spec):
     def q(spark, sf):
-        return P.entity_v1(spark, sf, spec)
+        return scd2.initial(P.entity_batch(spark, sf, spec, "all"), spec, AS_OF_1)
     return q
 
 

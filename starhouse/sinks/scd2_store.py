@@ -88,6 +88,8 @@ class Scd2Store:
         """
         last = self.last_run()
         stats = None
+        if last is not None and last["as_of"] is not None and str(as_of) < last["as_of"]:      # equal: a re-run
+            raise ValueError(f"as_of {as_of} is before the last committed run's ({last['as_of']})")
         if last is None:
             if batch.limit(1).count() == 0:
                 raise ValueError(f"empty first batch for {self.spec.name}: nothing to load")

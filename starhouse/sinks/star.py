@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.schemas import STAR, TableRules
-from .versioned import single_file_if_small
 
 DIM_WRITE_OPTIONS = {"compression": "snappy", "parquet.enable.dictionary": "true",
                      "parquet.page.size": "1048576"}
@@ -42,8 +41,9 @@ def create_star(spark: SparkSession, database: str, root: str | None = None,
     return [f"{database}.{t}" for t in STAR]
 
 
-def load_table(spark: SparkSession, path: str, table: str, partition_cols: tuple[str, ...] = ()) -> None:
-    """Append gold Parquet files into a star table, matching columns by position.
+def load_table(spark: SparkSession, path: str, table: str, partition_cols: tuple[str, ...] = (),
+               overwrite: bool = False) -> None:
+    """Append gold Parquet files into a star table (``overwrite``: replace its rows), matching columns by position.
 
     Partition columns discovered from directory names are not file columns
     and are dropped first (the fact's ``date_partition`` feeds the table's
@@ -51,7 +51,7 @@ def load_table(spark: SparkSession, path: str, table: str, partition_cols: tuple
     """
     df = spark.read.parquet(path)
     files = df.select(*[c for c in df.columns if c not in partition_cols])
-    files.write.insertInto(table)
+    files.write.insertInto(table, overwrite=overwrite)
 
 
 def verify_load(spark: SparkSession, path: str, expected_rows: int | None = None,
@@ -65,7 +65,7 @@ def verify_load(spark: SparkSession, path: str, expected_rows: int | None = None
     return report
 
 
-def export_dim(df: DataFrame, path: str, single_file_max_rows: int = 5_000_000) -> None:
-    """Write a dimension to ``path``: one file when provably small, else one file per task."""
-    single_file_if_small(df, single_file_max_rows).write.mode("overwrite") \
+def export_dim(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """Write a dimension to ``path``, one file per task; ``single_file``: one file, by the caller's choice."""
+    (df.coalesce(1) if single_file else df).write.mode("overwrite") \
         .options(**DIM_WRITE_OPTIONS).parquet(path)

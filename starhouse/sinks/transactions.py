@@ -1,27 +1,24 @@
 """Append-only silver transaction tables, safe to re-run.
 
 Appending the same batch twice must not duplicate orders (a duplicated order
-multiplies fact rows). Before appending, the batch's keys are semi-joined
-against the key column of the target, and only unseen keys are written.
-
-By default the check is scoped to the partitions the batch writes into
-(``scope='partition'``): the batch's distinct partition values (bounded by
-the calendar, checked) become a static partition filter on the target scan,
-so a re-run reads only those directories, never the whole history. Orders
-are partitioned by order date and items by batch date, so a re-delivered
-batch lands in the same partitions. ``scope='table'`` checks every partition.
+multiplies fact rows). Only rows whose key the whole target does not hold yet
+are written: one left-anti join on the key column, whatever the batch's size,
+so a key re-sent in another partition is skipped too. A row without a key is
+compared as a whole row, with the target's rows without a key only.
+
+``scope='partition'`` is an opt-in for sources that never re-send a key under
+another partition value: the target scan is then limited to the range of the
+batch's partition values (two scalars), and partition value and key must match.
 """
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .versioned import PARQUET_OPTIONS, path_missing
 
-MAX_PARTITION_VALUES = 100_000
-
 
 def _target(df: DataFrame, path: str) -> DataFrame | None:
     try:
@@ -33,43 +30,38 @@ def _target(df: DataFrame, path: str) -> DataFrame | None:
         raise
 
 
-def batch_partitions(df: DataFrame, partition_by: str) -> list | None:
-    """Distinct partition values of a batch, or None when there are more than the bound."""
-    rows = df.select(partition_by).distinct().limit(MAX_PARTITION_VALUES + 1).collect()
-    return None if len(rows) > MAX_PARTITION_VALUES else [r[0] for r in rows]
+def _in_batch_range(existing: DataFrame, df: DataFrame, partition_by: str) -> DataFrame:
+    low, high = df.agg(F.min(partition_by), F.max(partition_by)).first()
+    p = F.col(partition_by)
+    return existing.filter(p.isNull() if low is None else p.between(low, high) | p.isNull())
 
 
 def unseen(df: DataFrame, path: str, key: str, partition_by: str | None = None,
-           scope: str = "partition") -> DataFrame:
-    """Rows of ``df`` whose key is not yet in the table at ``path``."""
+           scope: str = "table") -> DataFrame:
+    """Rows of ``df`` that the table at ``path`` does not hold yet, by key (rows without one: as a whole)."""
+    if scope not in ("table", "partition"):
+        raise ValueError(f"scope must be 'table' or 'partition', got {scope!r}")
     existing = _target(df, path)
     if existing is None:
         return df
-    cols = [key]
+    same = [key]
     if partition_by is not None and scope == "partition":
-        values = batch_partitions(df, partition_by)
-        if values is not None:
-            p = F.col(partition_by)
-            known = [v for v in values if v is not None]
-            keep = p.isin(known) if known else F.lit(False)
-            if len(known) < len(values):
-                keep = keep | p.isNull()
-            existing = existing.filter(keep)
-            cols = [key, partition_by]
-    batch_keys = df.select(*cols).distinct()
-    t, b = existing.select(*cols).alias("t"), batch_keys.alias("b")
-    same = [F.col(f"t.{c}").eqNullSafe(F.col(f"b.{c}")) if c == partition_by else F.col(f"t.{c}") == F.col(f"b.{c}")
-            for c in cols]
-    present = t.join(b, same, "left_semi")
-    d, q = df.alias("d"), present.alias("q")
-    hit = [F.col(f"d.{c}").eqNullSafe(F.col(f"q.{c}")) if c == partition_by else F.col(f"d.{c}") == F.col(f"q.{c}")
-           for c in cols]
-    return d.join(q, hit, "left_anti")
+        existing = _in_batch_range(existing, df, partition_by)
+        same = [key, partition_by]
+
+    def missing(rows: DataFrame, held: DataFrame, columns: list[str]) -> DataFrame:
+        d, t = rows.alias("d"), held.select(*columns).alias("t")
+        return d.join(t, [F.col(f"d.{c}").eqNullSafe(F.col(f"t.{c}")) for c in columns], "left_anti")
+
+    null = F.col(key).isNull()
+    return missing(df.filter(~null), existing.filter(~null), same).unionByName(
+        missing(df.filter(null), existing.filter(null), df.columns))
 
 
 def append_new(df: DataFrame, path: str, key: str, partition_by: str = "partition_date",
-               dedupe: bool = True, scope: str = "partition") -> None:
-    """Append ``df`` partitioned by ``partition_by``; with ``dedupe`` skip keys already loaded.
+               dedupe: bool = True, scope: str = "table") -> int:
+    """Append ``df`` partitioned by ``partition_by``; with ``dedupe`` skip rows already loaded.
+    Returns the number of rows written.
 
     Rows are range-partitioned on (partition value, key): each task writes a
     contiguous run of partition directories (few files), and a hot partition
@@ -81,8 +73,11 @@ def append_new(df: DataFrame, path: str, key: str, partition_by: str = "partitio
     rows = rows.repartitionByRange(F.col(partition_by), F.col(key))
     if dedupe:
         rows = rows.distinct()
-    (rows.write.mode("append").partitionBy(partition_by)
+    written = Observation()
+    (rows.observe(written, F.count(F.lit(1)).alias("rows"))
+     .write.mode("append").partitionBy(partition_by)
      .options(**PARQUET_OPTIONS).parquet(path))
+    return written.get["rows"]
 
 
 def read_transactions(spark, path: str, schema) -> DataFrame:

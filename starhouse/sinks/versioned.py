@@ -23,15 +23,6 @@ COMMIT_SCHEMA = T.StructType([
 ])
 
 
-def single_file_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """``coalesce(1)`` when the frame provably has at most ``max_rows`` rows, else unchanged.
-
-    ``limit(max + 1).count()`` bounds the check; larger frames keep their
-    partitions and are written one file per task.
-    """
-    return df.coalesce(1) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def path_missing(exc: AnalysisException) -> bool:
     """True only for 'path does not exist'; any other failure must surface."""
     cond = getattr(exc, "getCondition", None) or getattr(exc, "getErrorClass", None)
@@ -87,15 +78,14 @@ class VersionedTable:
 
     def publish(self, df: DataFrame, partition_by: list[str] | None = None,
                 options: dict | None = None, as_of: str | None = None,
-                single_file_max_rows: int | None = None) -> int:
+                single_file: bool = False) -> int:
         """Write ``df`` as the next version, then commit it.
 
-        ``single_file_max_rows``: write one file when the frame is provably at
-        most that many rows (``limit(max + 1).count()`` bounds the check);
-        larger frames keep their partitions.
+        ``single_file``: write one file, through one task. It is the caller's
+        choice, for tables that are small by their nature (a calendar).
         """
-        if single_file_max_rows is not None:
-            df = single_file_if_small(df, single_file_max_rows)
+        if single_file:
+            df = df.coalesce(1)
         n = (self.version() or 0) + 1
         writer = df.write.mode("overwrite").format("parquet").options(**{**PARQUET_OPTIONS, **(options or {})})
         if partition_by:

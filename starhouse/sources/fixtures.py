@@ -5,6 +5,7 @@ table names are ``{placeholders}``. Spark binds them to DataFrames through
 ``spark.sql(text, **frames)``; the oracle formats them to its view names.
 Change groups by ``key % 10``: 1 and 2 edits, 3 cosmetic, 8 missing from
 batch 2, 9 first seen in batch 2.
+The ``_all`` recipes hold every customer and part, as batch 1 would without the late ones.
 """
 
 from __future__ import annotations
@@ -72,6 +73,9 @@ FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
 """,
 }
 
+RECIPES["customers_all"] = RECIPES["customers_b1"].replace("WHERE c_custkey % 10 <> 9", "")
+RECIPES["products_all"] = RECIPES["products_b1"].replace("WHERE p_partkey % 10 <> 9", "")
+
 
 def _tables_of(text: str) -> list[str]:
     return sorted(set(re.findall(r"\{(\w+)\}", text)))

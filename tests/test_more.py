@@ -29,12 +29,12 @@ def test_verify_load_counts_partition_column(spark):
     assert rep["ok"] and rep["schema"].endswith("order_date_key:int>")   # discovered column comes last
 
 
-def test_small_dim_is_one_file(spark):
+def test_one_file_by_choice(spark):
     t = VersionedTable(spark, scratch_path(spark, "t-onefile"))
-    t.publish(spark.range(1000).repartition(6), single_file_max_rows=5000)
+    t.publish(spark.range(1000).repartition(6), single_file=True)
     files = [f for f in os.listdir(_local(t.version_path(1))) if f.endswith(".parquet")]
     assert len(files) == 1
-    t.publish(spark.range(1000).repartition(6), single_file_max_rows=10)
+    t.publish(spark.range(1000).repartition(6))
     files = [f for f in os.listdir(_local(t.version_path(2))) if f.endswith(".parquet")]
     assert len(files) > 1
 
@@ -91,10 +91,10 @@ def test_fact_with_hot_order(spark):
     assert tuple(s) == (3000, 3000, 1, 3000, hot)
 
 
-def test_export_dim_single_file_only_when_small(spark):
+def test_export_dim_single_file_by_choice(spark):
     from starhouse.sinks.star import export_dim
     small, large = scratch_path(spark, "t-exp1"), scratch_path(spark, "t-exp2")
-    export_dim(spark.range(100).repartition(4), small, single_file_max_rows=1000)
-    export_dim(spark.range(100).repartition(4), large, single_file_max_rows=10)
+    export_dim(spark.range(100).repartition(4), small, single_file=True)
+    export_dim(spark.range(100).repartition(4), large)
     count = lambda p: len([f for f in os.listdir(_local(p)) if f.endswith(".parquet")])
     assert count(small) == 1 and count(large) == 4
