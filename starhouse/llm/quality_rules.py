@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starhouse.llm.common import split_words
+from starhouse.llm.common import split_words, written
 
 MIN_SHARE = 0.004
 MIN_WORDS, MIN_CHARS, MIN_REFERENCE = 100, 300, 5_000
@@ -85,7 +85,8 @@ def references(docs: DataFrame, counted: DataFrame) -> DataFrame:
     the class counts by row (see `stats`) and ``lang``; ``docs`` has text and lang."""
     lang = F.coalesce("lang", F.lit("")).alias("lang")
     words = docs.select(lang, F.explode(_plain_words("text")).alias("w")).groupBy("lang", "w").agg(F.count("*").alias("n"))
-    totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
+    words = written(words, "quality-words")
+    totals = written(words.groupBy("lang").agg(F.sum("n").alias("total")), "quality-totals")
     common = words.join(totals, "lang").where(F.col("n") >= F.lit(MIN_SHARE) * F.col("total")) \
         .groupBy("lang").agg(F.max("total").alias("total"),
                              F.sort_array(F.collect_list(F.struct("w", (F.col("n") / F.col("total")).alias("p")))).alias("common"))
@@ -134,4 +135,5 @@ def verdicts(counted: DataFrame, refs: DataFrame) -> DataFrame:
 def judge(docs: DataFrame) -> DataFrame:
     """Counts and verdict of every document, against references over all of them."""
     counted = stats(docs)
-    return verdicts(counted, references(docs, counted))
+    # written first, so that Spark knows how small it is and need not deal the documents by language
+    return verdicts(counted, written(references(docs, counted), "quality-references"))
