@@ -10,12 +10,13 @@ Texts of equal set are one class. Classes meet in buckets; a bucket is never exp
 
 - first it chooses one pivot, the class with the largest buckets (an original rather than a copy), which all
   its classes are compared with. Links merge components, and most buckets then are in one component;
-- the classes of a bucket that is still open are compared with those of other components by their
-  signatures, in blocks of ``BLOCK`` classes, and only pairs that agree in ``SKETCH`` of the 128 coordinates
-  come out (a linked pair fails that with probability 1e-8).
+- the classes of a bucket that is still open are compared with those of other components, in blocks of
+  ``BLOCK`` classes: first by signatures (a linked pair agrees in ``SKETCH`` of the 128 coordinates but for a
+  probability of 1e-8), then on the full sets, inside the group of rows. Only links that join components
+  come out, fewer than the group has rows, however many pairs are looked at.
 
 No pair of a bucket is left out: each is compared, or already linked through others, or, by the size of
-the sets or their signatures, can't reach the threshold. Pairs are confirmed on the full sets, streamed to
+the sets or their signatures, can't reach the threshold. The pivots' pairs are confirmed on the full sets, streamed to
 tasks by (pivot, salt), so that a pivot with very many partners is dealt over many tasks.
 
 Defined cases: null or blank text has an empty set and is linked with nothing; a null doc_id has no
@@ -37,8 +38,9 @@ from starhouse.llm.common import chunks, drop_written, row_key, written
 from starhouse.llm.graph import components
 
 BANDS, ROWS = 32, 4
-#: Classes of a bucket that are compared with each other in one group of rows; two blocks in another.
-BLOCK = 1024
+#: Classes of a bucket, and sizes of their sets in all, that are compared with each other in one group of rows;
+#: two blocks in another.
+BLOCK, BLOCK_SHINGLES = 512, 1_000_000
 #: Share of agreeing coordinates below which an open bucket's pair isn't looked at: 0.8 less 5.7 standard deviations.
 SKETCH = 0.6
 #: Partners of a pivot that share one copy of its text.
@@ -165,30 +167,78 @@ def _one_text(docs: DataFrame, sigs: DataFrame, wanted: DataFrame) -> DataFrame:
     return keyed.join(rep, "rk").select("cid", "text")
 
 
-def _alike(group: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of different components in one block or between two blocks of a bucket, whose signatures agree
-    in at least ``SKETCH`` of the coordinates and whose sizes allow the threshold."""
+def _meeting(group: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows of one block, or of two blocks, of a bucket with the rows they have to be compared with: another
+    component, sizes that allow the threshold, signatures that agree in at least ``SKETCH`` of the
+    coordinates, and no earlier band that they share (so a pair is met once, not in each of its buckets)."""
     sig = np.frombuffer(b"".join(group["sig"]), dtype=np.uint32).reshape(len(group), -1)
-    cid, k, n, at = (group[c].to_numpy() for c in ("cid", "k", "n", "at"))
+    band = int(np.flatnonzero(_band_hashes(sig[0]) == group["bucket"].iloc[0])[0])
+    k, n, at = (group[c].to_numpy() for c in ("k", "n", "at"))
     one = group["i"].iloc[0] == group["j"].iloc[0]
     left = np.arange(len(group)) if one else np.flatnonzero(at == group["i"].iloc[0])
     right = left if one else np.flatnonzero(at == group["j"].iloc[0])
-    out_a, out_b = [], []
     for pos, x in enumerate(left):
         others = right[pos + 1:] if one else right
-        others = others[(k[others] != k[x]) & (100 * np.minimum(n[others], n[x]) >= 80 * np.maximum(n[others], n[x]))]
-        others = others[(sig[others] == sig[x]).mean(axis=1) >= SKETCH] if len(others) else others
-        out_a += [cid[x]] * len(others)
-        out_b += cid[others].tolist()
-    return pd.DataFrame({"a": np.array(out_a, dtype=np.int64), "b": np.array(out_b, dtype=np.int64)})
+        others = others[(k[others] != k[x]) & (100 * np.minimum(n[others], n[x]) >= percent * np.maximum(n[others], n[x]))]
+        if not len(others):
+            continue
+        same = sig[others] == sig[x]
+        first = same.reshape(len(others), BANDS, ROWS).all(axis=2).argmax(axis=1)
+        others = others[(first == band) & (same.mean(axis=1) >= SKETCH)]
+        if len(others):
+            yield x, others
+
+
+def _confirmed(group: pd.DataFrame, k: int, percent: int) -> pd.DataFrame:
+    """Links (a, b), confirmed on the full sets, that join the components of a group as all its links would:
+    fewer rows than the group has."""
+    sets = [s for x, y in chunks([len(t) + 1 for t in group["text"]], CHUNK_CHARS) for s in shingle_sets(group["text"].iloc[x:y].tolist(), k)]
+    codes, distinct = pd.factorize(np.concatenate(sets))
+    size = np.array([len(s) for s in sets])
+    end = np.cumsum(size)
+    cid, (comp, _) = group["cid"].to_numpy(), pd.factorize(group["k"])
+    mark = np.zeros(len(distinct), dtype=np.int32)
+    out = []
+    for x, others in _meeting(group, percent):
+        others = others[comp[others] != comp[x]]
+        if not len(others):
+            continue
+        own = codes[end[x] - size[x]:end[x]]
+        mark[own] = 1
+        flat = np.concatenate([codes[end[y] - size[y]:end[y]] for y in others])
+        common = np.add.reduceat(mark[flat], np.cumsum(size[others]) - size[others])
+        mark[own] = 0
+        for y in others[100 * common >= percent * (size[x] + size[others] - common)]:
+            if comp[y] != comp[x]:
+                out.append((cid[x], cid[y]))
+                comp[comp == comp[y]] = comp[x]
+    return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+
+
+def _open_links(open_rows: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links between the components that meet in the buckets of ``open_rows``. Signatures say which rows of a
+    group have anybody to be compared with; only those fetch their texts."""
+    def meet(group: pd.DataFrame) -> pd.DataFrame:
+        hit = np.zeros(len(group), dtype=bool)
+        for x, others in _meeting(group, percent):
+            hit[x] = True
+            hit[others] = True
+        return group[hit]
+
+    def confirm(group: pd.DataFrame) -> pd.DataFrame:
+        return _confirmed(group, k, percent)
+
+    group = ["bucket", "i", "j"]
+    met = written(open_rows.groupBy(*group).applyInPandas(meet, open_rows.schema), "minhash-open")
+    return met.join(texts, "cid").groupBy(*group).applyInPandas(confirm, "a long, b long")
 
 
 def links(docs: DataFrame, sigs: DataFrame, k: int, percent: int) -> DataFrame:
     """Links (a, b) between classes that span every component of the similarity graph."""
     classes = sigs.where("cid IS NOT NULL").groupBy("cid").agg(F.first("n").alias("n"), F.first("bands").alias("bands"))
     members = classes.select(F.explode("bands").alias("bucket"), "cid", "n")
-    shared = members.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
-    members = written(members.join(shared, "bucket").select("bucket", "cid", "n", "m"), "minhash-members")
+    shared = members.groupBy("bucket").agg(F.count("*").alias("m"), F.sum("n").alias("w")).where("m > 1")
+    members = written(members.join(shared, "bucket").select("bucket", "cid", "n", "m", "w"), "minhash-members")
     texts = written(_one_text(docs, sigs, members.select("cid").distinct()).dropDuplicates(["cid"]), "minhash-texts")
     # the text that others were copied from has the largest buckets: the first pivot of its buckets
     central = members.groupBy("cid").agg(F.sum("m").alias("central"))
@@ -200,15 +250,12 @@ def links(docs: DataFrame, sigs: DataFrame, k: int, percent: int) -> DataFrame:
     merged = members.where("m > 2").join(comps.withColumnsRenamed({"node": "cid", "comp": "k"}), "cid", "left").withColumn("k", F.coalesce("k", "cid"))
     still = merged.groupBy("bucket").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo < hi").select("bucket")
     signed = sigs.where("cid IS NOT NULL").groupBy("cid").agg(F.first("sig").alias("sig"))
-    blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
+    blocks = F.ceil(F.greatest(F.col("m") / F.lit(BLOCK), F.col("w") / F.lit(BLOCK_SHINGLES))).cast("int")
     rest = merged.join(still, "bucket").withColumn("at", F.pmod(F.xxhash64("cid"), blocks).cast("int")) \
         .select("bucket", "cid", "n", "k", "at", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("to")) \
         .select("bucket", "cid", "n", "k", "at", F.least("at", "to").alias("i"), F.greatest("at", "to").alias("j"))
-    alike = rest.join(signed, "cid").groupBy("bucket", "i", "j").applyInPandas(_alike, "a long, b long")
-    alike = alike.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    met = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = written(alike.join(met, ["a", "b"], "left_anti"), "minhash-more-pairs")
-    new = written(_verified(more, texts, k, percent), "minhash-more-links")
+    new = written(_open_links(rest.join(signed, "cid"), texts, k, percent), "minhash-more-links")
+    drop_written(members, texts, pairs, found)
     return new.unionByName(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")))
 
 
