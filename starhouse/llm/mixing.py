@@ -14,7 +14,9 @@ row of a DataFrame by a fold over its slots; different phases are solved in para
 join with the result. The deviation is less than one block within each phase.
 
 Sources and weights are the small side (a source is a corpus, not a document): the phase tables have
-sources x sources rows. Nothing of a hot source meets in one task.
+sources x sources rows. Sizes by source are written before documents join them, so that Spark knows their
+size and needn't deal documents by source; blocks are numbered by stretches of ``STRETCH`` buckets. Nothing of
+a hot source meets in one task.
 
 Defined cases: a null source is a source of its own; null text has no characters (a document counts as
 one character more than its text); documents of equal id and text stay separate rows of one block;
@@ -32,6 +34,8 @@ from starhouse.llm.common import row_key, written
 
 RESOLUTION = 400
 BLOCK_CHARS = 64_000
+#: Buckets of a source whose blocks are numbered in one group of rows.
+STRETCH = 16_384
 #: Default target: the source's share of characters to this power (temperature), so that small sources gain.
 TEMPERATURE = 0.5
 
@@ -43,14 +47,25 @@ def _source() -> Column:
 def dealt(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> tuple[DataFrame, DataFrame]:
     """``docs`` with __source and __bucket, and blocks ``(source, bucket, i, n_docs, chars)``; i from 1."""
     chars = F.length(F.coalesce("text", F.lit(""))).cast("long") + 1
-    sizes = docs.groupBy(_source().alias("__source")).agg(F.sum(chars).alias("__chars"))
+    sizes = written(docs.groupBy(_source().alias("__source")).agg(F.sum(chars).alias("__chars")), "mix-sizes")
     n = F.ceil(F.col("__chars") / F.lit(block_chars))
     d = docs.withColumn("__source", _source()).join(sizes, "__source") \
         .withColumn("__bucket", F.pmod(row_key("doc_id", "text"), n)).drop("__chars")
     blocks = d.groupBy(F.col("__source").alias("source"), F.col("__bucket").alias("bucket")) \
         .agg(F.count("*").alias("n_docs"), F.sum(chars).alias("chars"))
-    order = Window.partitionBy("source").orderBy("bucket")     # blocks, not documents
-    return d, blocks.withColumn("i", F.row_number().over(order).cast("long"))
+    return d, _numbered(written(blocks, "mix-buckets"))
+
+
+def _numbered(blocks: DataFrame) -> DataFrame:
+    """``blocks`` with i, 1.. without gaps in order of the bucket: the place within a stretch of buckets, after the
+    blocks of all earlier stretches of the source."""
+    rows = blocks.withColumn("__stretch", F.floor(F.col("bucket") / F.lit(STRETCH)))
+    earlier = Window.partitionBy("source").orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.groupBy("source", "__stretch").agg(F.count("*").alias("__n")) \
+        .select("source", "__stretch", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    within = Window.partitionBy("source", "__stretch").orderBy("bucket")
+    return rows.withColumn("__at", F.row_number().over(within)).join(before, ["source", "__stretch"]) \
+        .withColumn("i", F.col("__before") + F.col("__at")).drop("__stretch", "__before", "__at")
 
 
 def source_weights(blocks: DataFrame, weights: dict[str, float] | None = None,

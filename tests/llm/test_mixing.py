@@ -65,3 +65,11 @@ def test_every_document_once_and_defined_cases(spark):
     assert Counter(r.doc_id for r in out) == Counter(r[0] for r in rows)
     assert len({(r.slot, r.source) for r in out}) == len({r.slot for r in out}) and {r.slot for r in out} == set(range(max(r.slot for r in out) + 1))
     assert M.mix(docs.limit(0)).count() == 0
+
+
+def test_blocks_are_numbered_across_stretches(spark, monkeypatch):
+    monkeypatch.setattr(M, "STRETCH", 4)
+    rows = [(s, b, 1, 1) for s, step in (("a", 1), ("b", 3), ("c", 9)) for b in range(0, 40, step)]
+    got = M._numbered(spark.createDataFrame(rows, "source string, bucket long, n_docs long, chars long")).collect()
+    want = {(s, b): i for s, step in (("a", 1), ("b", 3), ("c", 9)) for i, b in enumerate(range(0, 40, step), 1)}
+    assert {(r.source, r.bucket): r.i for r in got} == want and len(got) == len(rows)
