@@ -7,8 +7,11 @@ current (no delete detection).
 
 The merge is one left join of the batch to per-key hash bounds of the current
 rows (the bounds collapse map-side, so a hot key costs one row), one left join
-of the current rows to the distinct changed keys (expiry), and a dense key
-for the inserted versions: changed rows first, then new rows, each by key.
+of the current rows to the changed keys (expiry), and a dense key for the
+inserted versions: changed rows first, then new rows, each by key. Changed keys
+come from the hash bounds of both sides, one row per key, so a batch key
+holding most rows doesn't meet the expiry join. Inserted versions are written
+once; sampling for the key's range exchange reads that table, not the join.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import change_hash, standardized
 from ..sources.schemas import FAR_FUTURE, EntitySpec
+from ..session import staged
 from .keys import assign_dense_key
 
 VERSION_COLS = ("is_current", "valid_from", "valid_to")
@@ -54,10 +58,22 @@ def entity_columns(spec: EntitySpec, df: DataFrame) -> list[str]:
     return base + ["hash_key"]
 
 
+def _bounds(df: DataFrame, spec: EntitySpec, prefix: str) -> DataFrame:
+    """Least and greatest hash of each key; partial aggregation leaves one row per key and task."""
+    return (df.groupBy(spec.key)
+            .agg(F.min("hash_key").alias(f"{prefix}_lo"), F.max("hash_key").alias(f"{prefix}_hi")))
+
+
+def changed_keys(batch: DataFrame, current: DataFrame, spec: EntitySpec) -> DataFrame:
+    """Keys with a batch row and a current row of different hash, each once."""
+    differ = (F.col("_b_lo") != F.col("_h_lo")) | (F.col("_b_hi") != F.col("_h_hi")) | (F.col("_h_lo") != F.col("_h_hi"))
+    return (_bounds(batch, spec, "_b").join(_bounds(current, spec, "_h"), spec.key)
+            .filter(differ).select(spec.key))
+
+
 def classify(batch: DataFrame, current: DataFrame, spec: EntitySpec) -> DataFrame:
     """Batch rows plus ``change_type`` in {new, changed, unchanged}."""
-    bounds = (current.groupBy(spec.key)
-              .agg(F.min("hash_key").alias("_h_lo"), F.max("hash_key").alias("_h_hi")))
+    bounds = _bounds(current, spec, "_h")
     cols = batch.columns
     h = F.col("hash_key")
     change = (F.when(F.col("_h_lo").isNull(), F.lit("new"))
@@ -107,15 +123,13 @@ def changes(current: DataFrame, batch: DataFrame, spec: EntitySpec, as_of: str,
     """The rows a batch produces from the current rows: closed, kept and inserted versions.
 
     Expiry is a projection over one left join of the current rows to the
-    distinct changed keys, so closed and kept rows come out of one pass.
+    changed keys, so closed and kept rows come out of one pass.
     """
     classified = classify(batch, current, spec)
     cols = entity_columns(spec, batch)
-    changed_keys = (classified.filter(F.col("change_type") == "changed")
-                    .select(spec.key).distinct()
-                    .withColumn("_expire", F.lit(True)))
+    to_close = changed_keys(batch, current, spec).withColumn("_expire", F.lit(True))
     expire = F.coalesce(F.col("_expire"), F.lit(False))
-    prior = (current.join(changed_keys, spec.key, "left")
+    prior = (current.join(to_close, spec.key, "left")
              .withColumn("is_current", F.when(expire, F.lit(False)).otherwise(F.col("is_current")))
              .withColumn("valid_to", F.when(expire, _ts(as_of)).otherwise(F.col("valid_to")))
              .select(*cols, spec.sk, *VERSION_COLS))
@@ -126,7 +140,7 @@ def changes(current: DataFrame, batch: DataFrame, spec: EntitySpec, as_of: str,
                    "valid_from": _ts(as_of),
                    "valid_to": _ts(FAR_FUTURE),
                }))
-    keyed = assign_dense_key(inserts, ["_is_new", spec.key, "hash_key"], spec.sk, start=max_sk)
+    keyed = assign_dense_key(staged(inserts, "scd2-inserts"), ["_is_new", spec.key, "hash_key"], spec.sk, start=max_sk)
     inserted = keyed.select(*cols, spec.sk, *VERSION_COLS)
     return MergeResult(classified=classified, rows=prior.unionByName(inserted))
 

@@ -23,23 +23,23 @@ def _cte(**parts: str) -> str:
 
 # ---- silver ----
 
-def orders_silver_sql() -> str:
+def orders_silver_sql(recipe: str = "orders") -> str:
     return f"""SELECT order_id, customer_id, CAST(order_date AS TIMESTAMP) AS order_date, status,
        payment_method, shipping_cost, order_total AS order_amount,
        strftime(order_date, '%Y%m%d') AS partition_date,
        strftime(order_date, '%Y-%m') AS order_year_month,
        dayname(order_date) AS order_day_of_week,
        {ts(AS_OF_1)} AS processing_timestamp
-FROM ({recipe_sql('orders')})"""
+FROM ({recipe_sql(recipe)})"""
 
 
-def items_silver_sql() -> str:
+def items_silver_sql(recipe: str = "order_items") -> str:
     return f"""SELECT order_item_id, order_id, product_id, quantity, unit_price, discount_pct, subtotal,
        CAST(unit_price * quantity * CAST(1 - CAST(discount_pct * 0.01 AS DECIMAL(9,4)) AS DECIMAL(5,4))
             AS DECIMAL(18,2)) AS net_amount,
        {ts(AS_OF_1)} AS processing_timestamp,
        '{ITEMS_BATCH_DATE}' AS partition_date
-FROM ({recipe_sql('order_items')})"""
+FROM ({recipe_sql(recipe)})"""
 
 
 # ---- SCD2 entities ----
@@ -245,6 +245,18 @@ def quality_orders_sql() -> str:
     return f"SELECT order_id, {f} AS failed_rules, {f} = '' AS passed FROM ({orders_silver_sql()})"
 
 
+def quality_split_items_sql() -> str:
+    f = _failed(ITEM_RULES_SQL)
+    return (f"SELECT order_item_id, order_id, product_id, quantity, {f} AS failed_rules, {f} = '' AS accepted "
+            f"FROM ({items_silver_sql('order_items_faulty')})")
+
+
+def quality_split_orders_sql() -> str:
+    f = _failed(ORDER_RULES_SQL)
+    return (f"SELECT order_id, customer_id, order_amount, {f} AS failed_rules, {f} = '' AS accepted "
+            f"FROM ({orders_silver_sql('orders_faulty')})")
+
+
 def audit_sql(rules: TableRules, src: str) -> str:
     t = rules.table
     parts = []
@@ -268,6 +280,29 @@ def audit_fact_sql() -> str:
     return _cte(**_fact_ctes()) + "\n" + audit_sql(FACT_SALES, "fact")
 
 
+def audit_fact_faulty_sql() -> str:
+    bad = """SELECT CASE sales_key % 19 WHEN 1 THEN NULL WHEN 3 THEN sales_key - 1 ELSE sales_key END AS sales_key,
+       CASE sales_key % 11 WHEN 1 THEN NULL WHEN 2 THEN repeat(order_natural_key, 300) ELSE order_natural_key END AS order_natural_key,
+       CASE sales_key % 13 WHEN 1 THEN NULL WHEN 2 THEN repeat(order_item_natural_key, 40) ELSE order_item_natural_key END AS order_item_natural_key,
+       CASE WHEN sales_key % 17 = 1 THEN NULL ELSE order_date_key END AS order_date_key,
+       CASE WHEN sales_key % 31 = 1 THEN repeat(customer_natural_key, 300) ELSE customer_natural_key END AS customer_natural_key,
+       CASE WHEN sales_key % 37 = 1 THEN repeat(product_natural_key, 300) ELSE product_natural_key END AS product_natural_key,
+       CASE WHEN sales_key % 29 = 1 THEN repeat(order_status, 60) ELSE order_status END AS order_status,
+       CASE WHEN sales_key % 23 = 1 THEN repeat(payment_method, 20) ELSE payment_method END AS payment_method
+FROM fact"""
+    return _cte(**_fact_ctes(), bad=bad) + "\n" + audit_sql(FACT_SALES, "bad")
+
+
+def audit_dim_faulty_sql() -> str:
+    bad = """SELECT * REPLACE (
+       CASE CAST(customer_natural_key AS BIGINT) % 10 WHEN 7 THEN NULL WHEN 0 THEN '0' ELSE customer_key END AS customer_key,
+       CASE CAST(customer_natural_key AS BIGINT) % 10 WHEN 6 THEN NULL
+            WHEN 4 THEN CAST(CAST(customer_natural_key AS BIGINT) - 1 AS VARCHAR) ELSE customer_natural_key END AS customer_natural_key,
+       CASE WHEN CAST(customer_natural_key AS BIGINT) % 10 = 5 THEN repeat(address, 200) ELSE address END AS address)
+FROM dc"""
+    return _cte(**_entity_ctes(CUSTOMERS), dc=_dim_customer_body(), bad=bad) + "\n" + audit_sql(DIM_CUSTOMER, "bad")
+
+
 def audit_dims_sql() -> str:
     ctes = {}
     ctes.update(_entity_ctes(CUSTOMERS, "c_"))
@@ -299,7 +334,11 @@ def oracles() -> dict[str, str]:
         "fact_sales": fact_sales_sql(),
         "quality_gate_items": quality_items_sql(),
         "quality_gate_orders": quality_orders_sql(),
+        "quality_split_items": quality_split_items_sql(),
+        "quality_split_orders": quality_split_orders_sql(),
         "audit_fact": audit_fact_sql(),
+        "audit_fact_faulty": audit_fact_faulty_sql(),
+        "audit_dim_faulty": audit_dim_faulty_sql(),
         "audit_dims": audit_dims_sql(),
         "bronze_csv_customers": standardize_sql(CUSTOMERS),
         "bronze_csv_products": standardize_sql(PRODUCTS),

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..operators import audit, gold, quality, scd2
 from ..operators.keys import assign_dense_key
-from ..sources.fixtures import AS_OF_1, AS_OF_2
+from ..operators.silver import silver_order_items, silver_orders
+from ..sources.fixtures import AS_OF_1, AS_OF_2, ITEMS_BATCH_DATE, bronze
 from ..sources.schemas import CUSTOMERS, DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, FACT_SALES, PRODUCTS
 from . import pipeline as P
 
@@ -95,6 +96,59 @@ def q_quality_gate_orders(spark, sf):
                           (F.col("failed_rules") == "").alias("passed"))
 
 
+def _split(df, rules, *keep):
+    """Both outputs of the gate in one frame."""
+    good, rejected = quality.quality_gate(df, rules)
+    return good.select(*keep, F.lit("").alias("failed_rules"), F.lit(True).alias("accepted")).unionByName(
+        rejected.select(*keep, "failed_rules", F.lit(False).alias("accepted")))
+
+
+def q_quality_split_items(spark, sf):
+    """The gate's good and rejected rows over items of which some break each rule."""
+    items = silver_order_items(bronze(spark, sf, "order_items_faulty"), ITEMS_BATCH_DATE, AS_OF_1)
+    return _split(items, quality.item_rules(), "order_item_id", "order_id", "product_id", "quantity")
+
+
+def q_quality_split_orders(spark, sf):
+    """The gate's good and rejected rows over orders of which some break each rule."""
+    orders = silver_orders(bronze(spark, sf, "orders_faulty"), AS_OF_1)
+    return _split(orders, quality.order_rules(), "order_id", "customer_id", "order_amount")
+
+
+def _damaged(df, number, **cases):
+    """``df`` with columns replaced where ``number`` modulo m leaves r; cases: column -> [(m, r, new value)]."""
+    def value(col, changes):
+        out = F.col(col)
+        for m, r, new in changes:
+            out = F.when(F.expr(number) % m == r, F.expr(new)).otherwise(out)
+        return out
+    return df.withColumns({c: value(c, changes) for c, changes in cases.items()})
+
+
+def q_audit_fact_faulty(spark, sf):
+    """The audit over a fact that breaks every kind of declared constraint."""
+    bad = _damaged(P.fact(spark, sf), "sales_key",
+                   sales_key=[(19, 1, "CAST(NULL AS BIGINT)"), (19, 3, "sales_key - 1")],
+                   order_natural_key=[(11, 1, "CAST(NULL AS STRING)"), (11, 2, "repeat(order_natural_key, 300)")],
+                   order_item_natural_key=[(13, 1, "CAST(NULL AS STRING)"), (13, 2, "repeat(order_item_natural_key, 40)")],
+                   order_date_key=[(17, 1, "CAST(NULL AS INT)")],
+                   customer_natural_key=[(31, 1, "repeat(customer_natural_key, 300)")],
+                   product_natural_key=[(37, 1, "repeat(product_natural_key, 300)")],
+                   order_status=[(29, 1, "repeat(order_status, 60)")],
+                   payment_method=[(23, 1, "repeat(payment_method, 20)")])
+    return audit.audit(bad, FACT_SALES)
+
+
+def q_audit_dim_faulty(spark, sf):
+    """The audit over a customer dimension with repeated and missing keys and an over-long address."""
+    dim = gold.dim_customer(P.entity_v2(spark, sf, CUSTOMERS), AS_OF_2)
+    bad = _damaged(dim, "CAST(customer_natural_key AS BIGINT)",
+                   customer_key=[(10, 7, "CAST(NULL AS STRING)"), (10, 0, "'0'")],
+                   customer_natural_key=[(10, 6, "CAST(NULL AS STRING)"), (10, 4, "CAST(CAST(customer_natural_key AS BIGINT) - 1 AS STRING)")],
+                   address=[(10, 5, "repeat(address, 200)")])
+    return audit.audit(bad, DIM_CUSTOMER)
+
+
 def q_audit_fact(spark, sf):
     return audit.audit(P.fact(spark, sf), FACT_SALES)
 
@@ -127,7 +181,11 @@ def registry() -> dict[str, Query]:
         "fact_sales": q_fact_sales,
         "quality_gate_items": q_quality_gate_items,
         "quality_gate_orders": q_quality_gate_orders,
+        "quality_split_items": q_quality_split_items,
+        "quality_split_orders": q_quality_split_orders,
         "audit_fact": q_audit_fact,
+        "audit_fact_faulty": q_audit_fact_faulty,
+        "audit_dim_faulty": q_audit_dim_faulty,
         "audit_dims": q_audit_dims,
     })
     from .io_queries import registry as io_registry

@@ -72,6 +72,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def staged(df, name: str):
+    """The rows of ``df``, written once to the shared folder and read from there: lineage ends here."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursively delete a path on whatever file system it names (HDFS, object store, local)."""
     jvm = spark.sparkContext._jvm

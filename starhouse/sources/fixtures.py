@@ -6,6 +6,8 @@ table names are ``{placeholders}``. Spark binds them to DataFrames through
 Change groups by ``key % 10``: 1 and 2 edits, 3 cosmetic, 8 missing from
 batch 2, 9 first seen in batch 2.
 The ``_all`` recipes hold every customer and part, as batch 1 would without the late ones.
+The ``_faulty`` recipes hold every order and item, damaged by ``order_id % 97`` so that each quality
+rule is broken by some rows, and two rules at once by others.
 """
 
 from __future__ import annotations
@@ -75,6 +77,23 @@ FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
 
 RECIPES["customers_all"] = RECIPES["customers_b1"].replace("WHERE c_custkey % 10 <> 9", "")
 RECIPES["products_all"] = RECIPES["products_b1"].replace("WHERE p_partkey % 10 <> 9", "")
+RECIPES["orders_faulty"] = """
+SELECT CASE WHEN order_id % 97 = 1 THEN NULL ELSE order_id END AS order_id,
+       CASE WHEN order_id % 97 IN (2, 7) THEN NULL ELSE customer_id END AS customer_id,
+       CASE WHEN order_id % 97 = 3 THEN NULL ELSE order_date END AS order_date,
+       status, payment_method, shipping_cost,
+       CASE WHEN order_id % 97 = 4 THEN cast(0 AS decimal(18,2)) WHEN order_id % 97 = 5 THEN NULL
+            WHEN order_id % 97 IN (6, 7) THEN cast(-5 AS decimal(18,2)) ELSE order_total END AS order_total
+FROM (""" + RECIPES["orders"] + ") AS o"
+RECIPES["order_items_faulty"] = """
+SELECT CASE WHEN order_id % 97 = 1 THEN NULL ELSE order_item_id END AS order_item_id,
+       CASE WHEN order_id % 97 = 2 THEN NULL ELSE order_id END AS order_id,
+       CASE WHEN order_id % 97 = 3 THEN NULL ELSE product_id END AS product_id,
+       CASE WHEN order_id % 97 = 4 THEN 0 WHEN order_id % 97 = 5 THEN NULL ELSE quantity END AS quantity,
+       CASE WHEN order_id % 97 = 6 THEN cast(-1 AS decimal(18,2)) ELSE unit_price END AS unit_price,
+       CASE WHEN order_id % 97 IN (7, 9) THEN cast(101 AS decimal(5,2)) ELSE discount_pct END AS discount_pct,
+       CASE WHEN order_id % 97 IN (8, 9) THEN cast(-1 AS decimal(18,2)) ELSE subtotal END AS subtotal
+FROM (""" + RECIPES["order_items"] + ") AS i"
 
 
 def _tables_of(text: str) -> list[str]:

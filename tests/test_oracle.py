@@ -28,3 +28,18 @@ def test_every_query_has_oracle():
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() == 6000 and df.columns[0] == "sales_key"
+
+
+@pytest.mark.parametrize("name", ["audit_fact_faulty", "audit_dim_faulty"])
+def test_faulty_audit_finds_every_kind(spark, name):
+    found = {}
+    for r in registry()[name](spark, SF_SMALL).collect():
+        found[r.check_name] = max(found.get(r.check_name, 0), r.violations)
+    assert found and all(found.values())
+
+
+@pytest.mark.parametrize("name, rules", [("quality_split_items", 7), ("quality_split_orders", 4)])
+def test_faulty_rows_break_every_rule(spark, name, rules):
+    rows = registry()[name](spark, SF_SMALL).select("failed_rules", "accepted").distinct().collect()
+    assert len({x for r in rows for x in r.failed_rules.split(",") if x}) == rules
+    assert all(r.accepted == (r.failed_rules == "") for r in rows) and any("," in r.failed_rules for r in rows)

@@ -97,3 +97,25 @@ def test_invariants_over_three_batches(spark):
     w = Window.partitionBy("customer_id").orderBy("valid_from")
     chain = hist.withColumn("nxt", F.lead("valid_from").over(w)).filter(F.col("nxt").isNotNull())
     assert chain.filter(F.col("valid_to") != F.col("nxt")).count() == 0   # versions abut
+
+
+def test_hot_batch_key_reduces_before_the_expiry_join(spark):
+    v1 = scd2.initial(cust(spark, [row(i) for i in range(30)]), CUSTOMERS, T1)
+    batch = cust(spark, [row(1, phone=str(n % 5)) for n in range(60)] + [row(i) for i in range(2, 30)])
+    keys = scd2.changed_keys(batch, v1, CUSTOMERS)
+    assert [r.customer_id for r in keys.collect()] == [1]
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("partial_min(hash_key") >= 2         # both sides are one row per key and task when exchanged
+    v2 = scd2.merge(v1, batch, CUSTOMERS, T2)
+    assert v2.filter(~F.col("is_current")).count() == 1 and v2.count() == 30 + 60
+
+
+def test_changed_keys_equal_classified_rows(spark):
+    import random
+    rnd = random.Random(5)
+    some = lambda n: [row(rnd.choice([None, *range(12)]), phone=str(rnd.randint(0, 1))) for _ in range(n)]
+    for _ in range(3):
+        current, batch = cust(spark, some(15)), cust(spark, some(25))
+        want = {r.customer_id for r in scd2.classify(batch, current, CUSTOMERS).filter("change_type = 'changed'").collect()}
+        got = [r.customer_id for r in scd2.changed_keys(batch, current, CUSTOMERS).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
