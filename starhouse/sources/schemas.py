@@ -102,9 +102,14 @@ class TableRules:
     columns: tuple[tuple[str, str], ...]
     cluster_by: tuple[str, ...] = ()     # distribution key, re-aimed as buckets
     sort_by: tuple[str, ...] = ()        # sort key, re-aimed as sorted buckets
+    source: dict = field(default_factory=dict)   # silver column of each renamed column
 
+    def types(self) -> dict[str, str]:
+        """Spark type of each declared column; a byte limit is for the audit and the catalog table."""
+        return {c: "string" if t.startswith("VARCHAR") else t.lower() for c, t in self.columns}
 
-# Gold star tables, column order, warehouse types and constraints.
+
+# Gold star tables, column order, warehouse types, silver columns and constraints.
 DIM_CUSTOMER = TableRules(
     table="dim_customer",
     primary_key=("customer_key",),
@@ -117,6 +122,8 @@ DIM_CUSTOMER = TableRules(
              ("phone", "VARCHAR(255)"), ("address", "VARCHAR(512)"), ("city", "VARCHAR(255)"),
              ("row_effective_date", "TIMESTAMP_NTZ"), ("row_expiration_date", "TIMESTAMP_NTZ"),
              ("current_row_flag", "BOOLEAN"), ("etl_processed_date", "TIMESTAMP_NTZ")),
+    source={"customer_key": "customer_sk", "customer_natural_key": "customer_id", "customer_name": "name",
+            "row_effective_date": "valid_from", "row_expiration_date": "valid_to", "current_row_flag": "is_current"},
 )
 DIM_PRODUCT = TableRules(
     table="dim_product",
@@ -132,6 +139,8 @@ DIM_PRODUCT = TableRules(
              ("current_row_flag", "BOOLEAN"), ("etl_processed_date", "TIMESTAMP_NTZ")),
     cluster_by=("product_natural_key",),
     sort_by=("product_natural_key",),
+    source={"product_key": "product_sk", "product_natural_key": "product_id", "current_price": "price",
+            "row_effective_date": "valid_from", "row_expiration_date": "valid_to", "current_row_flag": "is_current"},
 )
 DIM_DATE = TableRules(
     table="dim_date",
@@ -163,5 +172,8 @@ FACT_SALES = TableRules(
              ("etl_processed_date", "TIMESTAMP_NTZ"), ("order_date_key", "INT")),
     cluster_by=("product_natural_key",),
     sort_by=("order_date_key", "customer_natural_key"),
+    source={"order_natural_key": "order_id", "order_item_natural_key": "order_item_id",
+            "customer_natural_key": "customer_id", "product_natural_key": "product_id",
+            "total_amount": "order_amount", "order_status": "status"},
 )
 STAR = {t.table: t for t in (DIM_CUSTOMER, DIM_PRODUCT, DIM_DATE, FACT_SALES)}
