@@ -3,8 +3,9 @@
 Every line of a file (a header notice may stand anywhere), and the whole text of a file named like a licence
 file, is compared with licence templates. Weights are tf * idf; idf comes from the share of all files that
 hold a template's term, other terms count as held by none. Vectors are sparse: unit terms join template terms,
-and their products are added up. Units without a marker, a template term that at most ``MARKER_SHARE`` of
-the files hold, are not compared. A file's own licence is its best template with a cosine of at
+and their products are added up. A unit is compared if it holds a
+marker: a template's heaviest terms are its markers, as many as leave too little weight in the others for a
+cosine of ``MIN_COSINE`` (Cauchy-Schwarz), so units without one lose nothing however common a notice is. A file's own licence is its best template with a cosine of at
 least ``MIN_COSINE``; equal cosines go to the template first in alphabetical order.
 
 A licence file (by name, or by licence lines that hold at least half of its words) speaks for its directory. A file without a licence of its own
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from starhouse.llm.common import row_key, written
 
-MIN_COSINE, MARKER_SHARE, OWN_SHARE = 0.6, 0.05, 0.5
+MIN_COSINE, OWN_SHARE = 0.6, 0.5
 NAMED = r"(?i)^(licen[cs]e|copying|unlicense|notice)([._-].*)?$"
 #: Short notices by SPDX id, fixed values.
 TEMPLATES = {
@@ -64,6 +65,22 @@ def idf(n: float, df: float) -> float:
     return math.log((n + 1) / (df + 1)) + 1
 
 
+def markers_of(tt: list[tuple[str, int, str, int]], weight: dict[str, float]) -> list[tuple[str, int, str]]:
+    """(licence, number, term): without all of them a cosine with the template is less than ``MIN_COSINE``, as it
+    is at most the root of the share of the template's squared norm that the shared terms have."""
+    squares: dict = {}
+    for licence, i, t, tf in tt:
+        squares.setdefault((licence, i), []).append(((tf * weight[t]) ** 2, t))
+    out = []
+    for (licence, i), terms in squares.items():
+        spare = (MIN_COSINE - 1e-6) ** 2 * sum(q for q, _ in terms)
+        for q, t in sorted(terms):
+            spare -= q
+            if spare <= 0:
+                out.append((licence, i, t))
+    return out
+
+
 def own_licences(files: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES) -> DataFrame:
     """``(rk, licence, cosine, share)`` of the file rows with a licence notice; share: of the file's words that
     are in lines with one. ``files`` has path and text."""
@@ -77,12 +94,10 @@ def own_licences(files: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPL
           .groupBy("t").agg(F.count("*").alias("n")).collect()}               # at most the templates' terms
     weight = {t: idf(n, df.get(t, 0)) for t in vocabulary}
     unknown = idf(n, 0)
-    markers = [t for t in vocabulary if df.get(t, 0) <= MARKER_SHARE * n]
-    if not markers:
-        markers = vocabulary
     norms: dict = {}
     for licence, i, t, tf in tt:
         norms[licence, i] = norms.get((licence, i), 0.0) + (tf * weight[t]) ** 2
+    markers = sorted({t for _, _, t in markers_of(tt, weight)})
     small = spark.createDataFrame([(lic, i, t, tf * weight[t] ** 2 / math.sqrt(norms[lic, i])) for lic, i, t, tf in tt],
                                   "licence string, number int, term string, w double")
     units = rows.select("rk", F.posexplode(F.concat(
