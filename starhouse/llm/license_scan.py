@@ -1,14 +1,15 @@
 """Licence scans (native): sparse TF-IDF cosine to templates, and inheritance by nearest ancestor directory.
 
-Every line of a file (a header notice may stand anywhere), and the whole text of a file named like a licence
-file, is compared with licence templates. Weights are tf * idf; idf comes from the share of all files that
-hold a template's term, other terms count as held by none. Vectors are sparse: unit terms join template terms,
+Every line of a file (a header notice may stand anywhere), the whole text of a file named like a licence
+file, and every run of a file's words that is as long as a template (a notice in a long line, or wrapped over lines) is
+compared with licence templates. Weights are tf * idf; idf comes from the share of all files that hold the term, counted
+over all files, and a share of less than one in ``RARE`` counts as that, so verdicts don't move with the table's size. Vectors are sparse: unit terms join template terms,
 and their products are added up. A unit is compared if it holds a
 marker: a template's heaviest terms are its markers, as many as leave too little weight in the others for a
 cosine of ``MIN_COSINE`` (Cauchy-Schwarz), so units without one lose nothing however common a notice is. A file's own licence is its best template with a cosine of at
 least ``MIN_COSINE``; equal cosines go to the template first in alphabetical order.
 
-A licence file (by name, or by licence lines that hold at least half of its words) speaks for its directory. A file without a licence of its own
+A licence file (by name, or by licence lines, or templates' words in licence runs, that are at least half of its words) speaks for its directory. A file without a licence of its own
 inherits from the nearest ancestor directory (its own first) that has one: directories are expanded to
 their ancestors, of which there are as many as the path is deep, and joined by path. A directory with several
 licence files takes the one with the best cosine, then the least licence, then the least path.
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from starhouse.llm.common import row_key, written
 
-MIN_COSINE, OWN_SHARE = 0.6, 0.5
+MIN_COSINE, OWN_SHARE, RARE = 0.6, 0.5, 10_000
 NAMED = r"(?i)^(licen[cs]e|copying|unlicense|notice)([._-].*)?$"
 #: Short notices by SPDX id, fixed values.
 TEMPLATES = {
@@ -62,7 +63,8 @@ def template_terms(templates: dict[str, tuple[str, ...]] = TEMPLATES) -> list[tu
 
 
 def idf(n: float, df: float) -> float:
-    return math.log((n + 1) / (df + 1)) + 1
+    """From the share of files alone: a term that fewer than one of ``RARE`` files hold weighs no more in larger tables."""
+    return math.log(min(RARE, (n + 1) / (df + 1))) + 1
 
 
 def markers_of(tt: list[tuple[str, int, str, int]], weight: dict[str, float]) -> list[tuple[str, int, str]]:
@@ -93,28 +95,75 @@ def own_licences(files: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPL
     df = {r.t: r.n for r in rows.select(F.explode(F.array_intersect(terms_of(F.col("text")), held)).alias("t"))
           .groupBy("t").agg(F.count("*").alias("n")).collect()}               # at most the templates' terms
     weight = {t: idf(n, df.get(t, 0)) for t in vocabulary}
-    unknown = idf(n, 0)
     norms: dict = {}
     for licence, i, t, tf in tt:
         norms[licence, i] = norms.get((licence, i), 0.0) + (tf * weight[t]) ** 2
-    markers = sorted({t for _, _, t in markers_of(tt, weight)})
     small = spark.createDataFrame([(lic, i, t, tf * weight[t] ** 2 / math.sqrt(norms[lic, i])) for lic, i, t, tf in tt],
                                   "licence string, number int, term string, w double")
-    units = rows.select("rk", F.posexplode(F.concat(
-        F.split(F.coalesce("text", F.lit("")), "\n"), F.when(F.col("named"), F.array("text")).otherwise(F.array().cast("array<string>")))).alias("line", "unit")) \
-        .select("rk", "line", terms_of(F.col("unit")).alias("ts")) \
-        .where(F.arrays_overlap("ts", F.array(*[F.lit(t) for t in markers]))).distinct()
-    tf = units.select("rk", "line", F.size("ts").alias("words"), F.explode("ts").alias("term")).groupBy("rk", "line", "words", "term").agg(F.count("*").alias("tf"))
-    known = F.create_map(*[F.lit(x) for t in vocabulary for x in (t, weight[t])])
-    tf = tf.withColumn("idf", F.coalesce(known[F.col("term")], F.lit(unknown)))
-    norm = tf.groupBy("rk", "line", "words").agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))).alias("norm"))
-    dot = tf.join(F.broadcast(small), "term").groupBy("rk", "line", "licence", "number").agg(F.sum(F.col("tf") * F.col("w")).alias("dot"))
-    scored = dot.join(norm, ["rk", "line"]).withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 9)).where(F.col("cosine") >= MIN_COSINE)
-    lines = scored.groupBy("rk", "line", "words").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "licence")).alias("best"))
-    per = lines.groupBy("rk").agg(F.min("best").alias("best"), F.sum("words").alias("licence_words"))
+    shares = {k: F.array(*[F.struct(F.lit(t).alias("term"), F.lit((tf * weight[t]) ** 2 / norms[k]).alias("q"))
+                           for lic, i, t, tf in tt if (lic, i) == k]) for k in norms}
+    units = written(_lines(rows, held, markers_of(tt, weight), shares)
+                    .unionByName(_windows(rows, tt, markers_of(tt, weight), shares)).distinct(), "licence-units")
+    key = ["rk", "line", "of", "of_number", "start"]
+    other = written(units.select(F.explode("ts").alias("term")).distinct().where(~F.col("term").isin(vocabulary)), "licence-terms")
+    counts = rows.select(F.explode(F.array_distinct(terms_of(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    known = other.join(counts, "term").select("term", (F.log(F.least(F.lit(float(RARE)), (F.lit(n) + 1) / (F.col("n") + 1))) + 1).alias("idf")) \
+        .unionByName(spark.createDataFrame(sorted(weight.items()), "term string, idf double"))
+    tf = units.select(*key, F.size("ts").alias("words"), F.explode("ts").alias("term")).groupBy(*key, "words", "term").agg(F.count("*").alias("tf"))
+    norm = tf.join(known, "term").groupBy(*key, "words").agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))).alias("norm"))
+    dot = tf.join(F.broadcast(small), "term").where((F.col("of") == "") | (F.col("of") == F.col("licence")) & (F.col("of_number") == F.col("number"))) \
+        .groupBy(*key, "licence", "number").agg(F.sum(F.col("tf") * F.col("w")).alias("dot"))
+    scored = written(dot.join(norm, key).withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 9)).where(F.col("cosine") >= MIN_COSINE), "licence-scores")
+    best = scored.groupBy("rk").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "licence")).alias("best"))
+    in_lines = scored.where("of = ''").select("rk", "line", "words").distinct().groupBy("rk").agg(F.sum("words").alias("line_words"))
+    in_windows = scored.where("of <> ''").select(*key).join(units, key) \
+        .select("rk", F.col("of").alias("licence"), F.col("of_number").alias("number"), "start", F.posexplode("ts").alias("at", "term")) \
+        .join(F.broadcast(small), ["licence", "number", "term"]).select("rk", (F.col("start") + F.col("at")).alias("at")).distinct() \
+        .groupBy("rk").agg(F.count("*").alias("window_words"))
     size = rows.select("rk", F.size(terms_of(F.col("text"))).alias("all_words")).groupBy("rk").agg(F.max("all_words").alias("all_words"))
-    return per.join(size, "rk").select("rk", F.col("best.licence").alias("licence"), (-F.col("best.c")).alias("cosine"),
-                                       F.least(F.lit(1.0), F.col("licence_words") / F.col("all_words")).alias("share"))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    return best.join(in_lines, "rk", "left").join(in_windows, "rk", "left").join(size, "rk").select(
+        "rk", F.col("best.licence").alias("licence"), (-F.col("best.c")).alias("cosine"),
+        F.least(F.lit(1.0), F.greatest(zero("line_words"), zero("window_words")) / F.col("all_words")).alias("share"))
+
+
+def _enough(parts: Column, terms: Column) -> Column:
+    """Whether the template's terms among ``terms`` have the share of its squared norm that the least cosine needs."""
+    return F.aggregate(F.filter(parts, lambda p: F.array_contains(terms, p.term)), F.lit(0.0), lambda a, p: a + p.q) >= MIN_COSINE**2 - 1e-6
+
+
+def _lines(rows: DataFrame, held: Column, marks: list, shares: dict) -> DataFrame:
+    """Every line, and the whole text of files named like a licence file, that can reach the least cosine with some template."""
+    markers = F.array(*[F.lit(t) for t in sorted({t for _, _, t in marks})])
+    return rows.select("rk", F.posexplode(F.concat(
+        F.split(F.coalesce("text", F.lit("")), "\n"), F.when(F.col("named"), F.array("text")).otherwise(F.array().cast("array<string>")))).alias("line", "unit")) \
+        .select("rk", "line", terms_of(F.col("unit")).alias("ts")).where(F.arrays_overlap("ts", markers)) \
+        .where(F.exists(F.array(*shares.values()), lambda parts: _enough(parts, F.array_intersect(F.col("ts"), held)))) \
+        .select("rk", "line", F.lit("").alias("of"), F.lit(-1).alias("of_number"), F.lit(-1).alias("start"), "ts")
+
+
+def _windows(rows: DataFrame, tt: list, marks: list, shares: dict) -> DataFrame:
+    """Every run of words of a file, as long as a template and across line ends, that can reach the least cosine with it. Only
+    the words around a marker travel."""
+    sizes: dict = {}
+    for licence, i, _, tf in tt:
+        sizes[licence, i] = sizes.get((licence, i), 0) + tf
+    reach = max(sizes.values(), default=1) - 1
+    markers = F.array(*[F.lit(t) for t in sorted({t for _, _, t in marks})])
+    spark = rows.sparkSession
+    begins = spark.createDataFrame([(t, lic, i, sizes[lic, i]) for lic, i, t in marks], "term string, of string, of_number int, size int")
+    parts = spark.createDataFrame(sorted(shares), "of string, of_number int").withColumn("parts", F.coalesce(*[
+        F.when((F.col("of") == lic) & (F.col("of_number") == i), c) for (lic, i), c in shares.items()]))
+    hits = F.filter(F.transform("ts", lambda t, i: F.struct(i.alias("i"), t.alias("term"))), lambda x: F.array_contains(markers, x.term))
+    near = F.transform(hits, lambda h: F.struct(
+        h.i.alias("i"), h.term.alias("term"), F.greatest(F.lit(0), h.i - reach).alias("first"),
+        F.slice(F.col("ts"), F.greatest(F.lit(0), h.i - reach) + 1, F.lit(2 * reach + 1)).alias("near")))
+    around = rows.select("rk", terms_of(F.col("text")).alias("ts")).where(F.arrays_overlap("ts", markers)) \
+        .select("rk", F.size("ts").alias("n"), F.explode(near).alias("h")).select("rk", "n", "h.*")
+    starts = around.join(F.broadcast(begins.join(parts, ["of", "of_number"])), "term").where((F.col("n") >= F.col("size")) & _enough(F.col("parts"), F.col("near"))) \
+        .withColumn("start", F.explode(F.sequence(F.greatest(F.lit(0), F.col("i") - F.col("size") + 1), F.least("i", F.col("n") - F.col("size")))))
+    return starts.withColumn("ts", F.slice("near", F.col("start") - F.col("first") + 1, F.col("size"))).where(_enough(F.col("parts"), F.col("ts"))) \
+        .select("rk", F.lit(-1).alias("line"), "of", "of_number", "start", "ts")
 
 
 def directory(path: Column) -> Column:

@@ -33,3 +33,22 @@ def test_no_marker_no_match():
         rest = [t for t in terms if (*key, t) not in markers]
         norm = sum(w * w for w in terms.values()) ** 0.5
         assert len(rest) < len(terms) and sum(terms[t] ** 2 for t in rest) ** 0.5 / norm < L.MIN_COSINE
+
+
+LONG = "copyright someone Permission is hereby granted, free of charge, to any person obtaining a copy of this software and " \
+    "associated documentation files, to deal in the software without restriction, including the rights to use and to copy it"
+WRAPPED = "// Permission is hereby granted, free of charge, to any\n// person obtaining a copy of this\n// software and more"
+
+
+def test_notices_inside_long_lines_and_over_line_ends(spark):
+    files = [("a/1.c", "int x;\n" + LONG), ("a/2.c", WRAPPED), ("a/3.c", "x" + " word" * 500 + " " + NOTICES["GPL-3.0"] + " word" * 500)]
+    got = licences(spark, files + [(f"n/{i}.c", f"ordinary words of file {i} and of any person") for i in range(80)])
+    assert [got[p] for p, _ in files] == ["MIT", "MIT", "GPL-3.0"] and not any(got[f"n/{i}.c"] for i in range(80))
+
+
+def test_other_words_weigh_by_their_files_and_not_by_the_table(spark):
+    """A notice with a word put in that most files hold; and no weight grows with the table beyond rare terms."""
+    files = [("a/1.c", "Released under the old MIT License old")] + [(f"n/{i}.c", "old text") for i in range(200)]
+    cosine = {r.path: r.cosine for r in L.scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert cosine["a/1.c"] > 0.95
+    assert L.idf(15_000_000, 0) == L.idf(L.RARE - 1, 0) and abs(L.idf(15_000_000, 150_000) - L.idf(10_000, 100)) < 0.02
