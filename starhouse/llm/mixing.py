@@ -3,25 +3,26 @@
 Documents of a source are dealt into blocks of about ``block_chars`` characters by a hash of the row.
 A source with weight w gives its i-th block (from 1) the release time floor((i-1)/w) and the deadline
 ceil(i/w), in slots of one block. Earliest deadline first among released blocks then places one block in
-each slot, and in every prefix of the schedule each source has its weight's share to within less than a block.
+each slot. Weights are used as given, not rounded. Every block is placed exactly once: when a source runs out, the others
+go on in their own proportions. The stretch between two such events is a phase. A phase is cut into segments of
+about ``resolution`` slots (more if the least weight needs more for one block), and what is left. How many blocks of
+a source a segment has follows from its unrounded weight and the segment's number alone, so segments are independent: each is
+a Pfair problem of its own counts, solved in one row of a DataFrame by a fold over its slots, all in parallel.
 
-Weights are integers W out of T = sum(W) (``resolution`` by default), so a schedule repeats after T slots
-and only one period has to be worked out; block i of a source is in period (i-1) div W. Every block is
-placed exactly once: when a source runs out, the others go on in their own proportions. The stretch
-between two such events is a phase: whole periods of the weights of the sources that are left, then
-one shorter instance for the rest of the phase. Each is a small Pfair problem of at most T slots, solved in one
-row of a DataFrame by a fold over its slots; different phases are solved in parallel. All documents only
-join with the result. The deviation is less than one block within each phase.
+Deviation: at the end of each segment a source has its weight's share of the slots of its phase to within less than a block,
+whatever the length of the phase; in between to less than two, as the segment's schedule is within less than a block
+of the segment's counts. In the last piece of a phase, of at most some segments, what sources have left of a block at the phase's
+end (less than one block each, placed in the next phase) comes on top. All documents only join with the result.
 
 Sources and weights are the small side (a source is a corpus, not a document): the phase tables have
-sources x sources rows. Sizes by source are written before documents join them, so that Spark knows their
+sources x sources rows, and one row a segment. Sizes by source are written before documents join them, so that Spark knows their
 size and needn't deal documents by source; blocks are numbered by stretches of ``STRETCH`` buckets. Nothing of
 a hot source meets in one task.
 
 Defined cases: a null source is a source of its own; null text has no characters (a document counts as
 one character more than its text); documents of equal id and text stay separate rows of one block;
 sources without a given weight get the smallest one; weights of absent sources don't matter; an empty
-table gives no rows; a source's weight is at least 1 of the resolution; other columns pass through unless
+table gives no rows; a weight that isn't positive counts as not given; other columns pass through unless
 a result column has their name.
 """
 
@@ -70,16 +71,19 @@ def _numbered(blocks: DataFrame) -> DataFrame:
 
 def source_weights(blocks: DataFrame, weights: dict[str, float] | None = None,
                    resolution: int = RESOLUTION) -> DataFrame:
-    """``(source, blocks, w)`` with integer weights of at least 1."""
+    """``(source, blocks, w)``: w is the source's target in blocks of a segment, not rounded. A segment has ``resolution`` slots,
+    or as many more as give the least target one block."""
     s = blocks.groupBy("source").agg(F.count("*").alias("blocks"), F.sum("chars").alias("chars"))
     if weights is None:
         s = s.withColumn("share", F.pow("chars", F.lit(TEMPERATURE)))
     else:
         given = F.create_map(*[F.lit(x) for k, v in weights.items() for x in (k, float(v))])
-        s = s.withColumn("share", F.coalesce(given[F.col("source")], F.lit(0.0)))
-    total = F.sum("share").over(Window.partitionBy(F.lit(0)))   # one row a source
-    return s.select("source", "blocks", F.greatest(
-        F.lit(1), F.round(F.lit(resolution) * F.col("share") / total)).cast("long").alias("w"))
+        s = s.withColumn("share", given[F.col("source")])
+    every = Window.partitionBy(F.lit(0))                        # one row a source
+    s = s.withColumn("share", F.when(F.col("share") > 0, F.col("share")))
+    s = s.withColumn("share", F.coalesce("share", F.min("share").over(every), F.lit(1.0)))
+    total, least = F.sum("share").over(every), F.min("share").over(every)
+    return s.select("source", "blocks", (F.col("share") * F.greatest(F.lit(float(resolution)) / total, 1 / least)).alias("w"))
 
 
 def phases(sources: DataFrame) -> DataFrame:
@@ -89,27 +93,38 @@ def phases(sources: DataFrame) -> DataFrame:
     order = Window.orderBy("until")                             # one row a source at most
     ends = sources.select(F.col("end").alias("until")).distinct().select(
         "until", F.row_number().over(order).alias("phase"), F.coalesce(F.lag("until").over(order), F.lit(0.0)).alias("since"))
-    upto = lambda t: F.when(F.col("blocks") <= F.col("w") * t + 1e-9, F.col("blocks")).otherwise(F.floor(F.col("w") * t + 1e-9))
+    upto = lambda t: F.when(F.col("end") <= t, F.col("blocks")).otherwise(F.floor(F.col("w") * t + 1e-9))
     last = sources.join(ends.select(F.col("until").alias("end"), F.col("phase").alias("last")), "end")
     live = last.withColumn("phase", F.explode(F.sequence(F.lit(1), F.col("last")))).join(ends, "phase")
     return live.select("phase", "source", "w", upto(F.col("since")).alias("first"), (upto(F.col("until")) - upto(F.col("since"))).alias("a"))
 
 
 def instances(ph: DataFrame) -> DataFrame:
-    """Pfair problems ``(phase, kind, times, jobs)``: jobs are (source, number). Kind 0 is a period, done
-    ``times`` times; kind 1 what is left of the phase. ``turns`` per source and phase says how many."""
+    """Pfair problems ``(phase, kind, begin, slots, jobs)``: one for each segment of a phase, kind 0.., the last is what is left.
+    Jobs are (source, n, from): n blocks after the first ``from`` ones of the source in the phase. After k segments
+    a source has floor(k C) - floor(k C') blocks, C and C' the sums of w up to and before the source, w scaled to a whole number
+    of slots in all: less than one from k w, and never fewer than before as w is at least 1."""
     per = Window.partitionBy("phase")
-    whole = F.min(F.floor(F.col("a") / F.col("w"))).over(per)
-    p = ph.withColumn("times", whole).withColumn("left", F.col("a") - F.col("times") * F.col("w"))
-    kinds = p.select("phase", "source", F.explode(F.array(
-        F.struct(F.lit(0).alias("kind"), F.col("times").alias("times"), F.col("w").alias("n")),
-        F.struct(F.lit(1).alias("kind"), F.lit(1).cast("long").alias("times"), F.col("left").alias("n")))).alias("k"))
-    return kinds.select("phase", "source", "k.*").where("times > 0 AND n > 0").groupBy("phase", "kind").agg(
-        F.max("times").alias("times"), F.sum("n").alias("slots"), F.sort_array(F.collect_list(F.struct("source", "n"))).alias("jobs"))
+    order = per.orderBy("source")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    p = ph.withColumn("slots", F.ceil(F.sum(F.col("w").cast("double")).over(per) - 1e-9)).withColumn("w", F.col("w") * (F.col("slots") / F.sum(F.col("w").cast("double")).over(per)))
+    p = p.withColumn("times", F.min(F.floor(F.col("a") / F.col("w"))).over(per)) \
+        .withColumn("c", F.when(F.lead("source").over(order).isNull(), F.col("slots").cast("double")).otherwise(F.sum("w").over(upto))) \
+        .withColumn("before", F.coalesce(F.lag("c").over(order), F.lit(0.0))).drop("slots")
+    done = lambda k: F.floor(k * F.col("c")) - F.floor(k * F.col("before"))
+    k = p.withColumn("kind", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times")))).withColumn("from", done(F.col("kind"))) \
+        .withColumn("n", F.when(F.col("kind") < F.col("times"), done(F.col("kind") + 1)).otherwise(F.col("a")) - F.col("from"))
+    some = F.when(F.col("n") > 0, F.struct("source", "n", (F.col("first") + F.col("from")).alias("from")))
+    problems = k.groupBy("phase", "kind").agg(F.sum("from").alias("since"), F.sum("n").alias("slots"), F.sort_array(F.collect_list(some)).alias("jobs"))
+    lengths = ph.groupBy("phase").agg(F.sum("a").alias("length"))
+    earlier = Window.orderBy("phase").rowsBetween(Window.unboundedPreceding, -1)   # one row a phase
+    begins = lengths.select("phase", F.coalesce(F.sum("length").over(earlier), F.lit(0)).alias("earlier"))
+    return problems.where("slots > 0").join(begins, "phase").select(
+        "phase", "kind", (F.col("earlier") + F.col("since")).alias("begin"), "slots", "jobs")
 
 
 def schedule(problems: DataFrame) -> DataFrame:
-    """``(phase, kind, slot, source, j)``: earliest deadline first over slots 0.. of each problem; j from 1."""
+    """``(phase, slot, source, i)``: earliest deadline first over the slots of each problem; i from 1 over all phases."""
     total = F.col("slots")
 
     def step(state, t):
@@ -123,31 +138,18 @@ def schedule(problems: DataFrame) -> DataFrame:
 
     zero = F.struct(F.transform("jobs", lambda _: F.lit(0).cast("long")).alias("done"), F.array().cast("array<int>").alias("placed"))
     placed = F.aggregate(F.sequence(F.lit(0).cast("long"), total - 1), zero, step, lambda st: st.placed)
-    slots = problems.select("phase", "kind", "jobs", F.posexplode(placed).alias("slot", "s")) \
-        .select("phase", "kind", "slot", F.get("jobs", F.col("s")).source.alias("source"))
-    turn = Window.partitionBy("phase", "kind", "source").orderBy("slot")
-    return slots.withColumn("j", F.row_number().over(turn).cast("long"))
+    slots = problems.select("phase", "kind", "begin", "jobs", F.posexplode(placed).alias("slot", "s")) \
+        .select("phase", "kind", (F.col("begin") + F.col("slot")).alias("slot"), F.get("jobs", F.col("s")).alias("job"))
+    turn = Window.partitionBy("phase", "kind", "job.source").orderBy("slot")
+    return slots.select("phase", "slot", "job.source", (F.col("job.from") + F.row_number().over(turn)).cast("long").alias("i"))
 
 
 def block_slots(blocks: DataFrame, sources: DataFrame) -> DataFrame:
     """``(source, bucket, slot, phase)``: the place of every block, slots 0.. without gaps."""
     ph = written(phases(sources), "mix-phases")
-    problems = written(instances(ph), "mix-problems")
-    pattern = written(schedule(problems), "mix-schedule")
-    begin = Window.orderBy("phase", "kind")                     # two rows a phase
-    starts = problems.select("phase", "kind", "times", "slots",
-                             (F.sum(F.col("times") * F.col("slots")).over(begin) - F.col("times") * F.col("slots")).alias("begin"))
-    per = problems.where("kind = 0").select("phase", F.col("times").alias("periods"))
-    spans = ph.where("a > 0").groupBy("source").agg(F.sort_array(F.collect_list(F.struct("first", "phase", "w"))).alias("spans"))
-    at = F.element_at(F.filter("spans", lambda x: x.first < F.col("i")), -1)
-    b = blocks.join(spans, "source").withColumn("at", at).select("source", "bucket", "i", "at.*")
-    b = b.join(F.broadcast(per), "phase", "left").withColumn("k", F.col("i") - F.col("first") - 1) \
-        .withColumn("periods", F.coalesce("periods", F.lit(0)))
-    b = b.withColumn("kind", F.when(F.col("k") < F.col("periods") * F.col("w"), 0).otherwise(1)) \
-        .withColumn("period", F.when(F.col("kind") == 0, F.floor(F.col("k") / F.col("w"))).otherwise(0)) \
-        .withColumn("j", F.when(F.col("kind") == 0, F.col("k") % F.col("w") + 1).otherwise(F.col("k") - F.col("periods") * F.col("w") + 1))
-    return b.join(pattern, ["phase", "kind", "source", "j"]).join(F.broadcast(starts), ["phase", "kind"]).select(
-        "source", "bucket", (F.col("begin") + F.col("period") * F.col("slots") + F.col("slot")).cast("long").alias("slot"), "phase")
+    places = written(schedule(written(instances(ph), "mix-problems")), "mix-schedule")
+    return blocks.select("source", "bucket", "i").join(places, ["source", "i"]).select(
+        "source", "bucket", F.col("slot").cast("long").alias("slot"), "phase")
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS,

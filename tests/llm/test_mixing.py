@@ -73,3 +73,22 @@ def test_blocks_are_numbered_across_stretches(spark, monkeypatch):
     got = M._numbered(spark.createDataFrame(rows, "source string, bucket long, n_docs long, chars long")).collect()
     want = {(s, b): i for s, step in (("a", 1), ("b", 3), ("c", 9)) for i, b in enumerate(range(0, 40, step), 1)}
     assert {(r.source, r.bucket): r.i for r in got} == want and len(got) == len(rows)
+
+
+@pytest.mark.parametrize("weights", [{"a": 0.001, "b": 0.4, "c": 0.599}, {"a": 1 / 3, "b": 0.0037, "c": 2 / 3 - 0.0037}])
+def test_deviation_from_the_target_itself(spark, weights):
+    """Every prefix of a long phase against the unrounded target weights."""
+    n = 9000
+    counts = {s: int(n * w * 1.02) + 2 for s, w in weights.items()}
+    blocks = spark.createDataFrame([(s, i, i + 1, 1, 1) for s, c in counts.items() for i in range(c)],
+                                   "source string, bucket long, i long, n_docs long, chars long")
+    got = M.block_slots(blocks, M.source_weights(blocks, weights)).orderBy("slot").collect()
+    assert [r.slot for r in got] == list(range(sum(counts.values())))
+    assert all([r.bucket for r in got if r.source == s] == list(range(c)) for s, c in counts.items())
+    seen, off = Counter(), []
+    for t, r in enumerate([r for r in got if r.phase == 1], 1):
+        seen[r.source] += 1
+        off.append(max(abs(seen[s] - t * w) for s, w in weights.items()))
+    last = 2 * max(M.RESOLUTION, int(1 / min(weights.values())) + 1)
+    print("worst deviation", max(off[:-last]), max(off))
+    assert len(off) > 8500 and max(off[:-last]) < 2 and max(off) < 2 + len(weights)
