@@ -39,6 +39,7 @@ MAX_DEPTH = 200
 # HTML element names by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("script style noscript template iframe svg head title object canvas select textarea datalist audio video map math".split())
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 CHROME = frozenset("nav footer aside header form menu button fieldset dialog label legend".split())
 MAIN = frozenset("article main".split())
 BLOCK = HIDDEN | CHROME | MAIN | frozenset(
@@ -80,6 +81,8 @@ class _Tree(HTMLParser):
         self.linked = 0
 
     def handle_starttag(self, tag, attrs):
+        if tag == "body" or self.at.tag == "head" and tag not in IN_HEAD:   # </head> may be left out
+            self._close("head", frozenset())
         if tag == "br" or tag in VOID:
             self.at.parts.append((" ", False))
             return
@@ -123,6 +126,8 @@ class _Tree(HTMLParser):
             self._close(tag, frozenset())
 
     def handle_data(self, data):
+        if self.at.tag == "head" and data.strip():
+            self._close("head", frozenset())
         self.at.parts.append((data, self.linked > 0))
 
 

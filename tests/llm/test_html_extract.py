@@ -29,3 +29,15 @@ def test_decoding_has_no_kept_node_under_a_dropped_one():
     order = X.nodes_of(root)
     kept = X.keep_nodes(order, X.train([PAGE.format(i=i, end="") for i in range(5)]).margin(X.features(order)))
     assert all(n.parent is None or id(n.parent) in kept for n in order if id(n) in kept)
+
+
+def test_head_without_end_tag():
+    """</head> is optional: <body>, an element that can't stand in a head, or text ends the head."""
+    model = X.train([PAGE.format(i=i, end="") for i in range(40)])
+    want = X.extract_one(PAGE.format(i=1, end=""), model)
+    assert want.startswith("Head 1")
+    assert X.extract_one(PAGE.format(i=1, end="").replace("</head>", ""), model) == want
+    assert X.extract_one(PAGE.format(i=1, end="").replace("</head><body>", ""), model) == want
+    head = X.parse("<head><meta charset=x><title>T</title><noscript><style>a</style></noscript><p>one").children
+    assert [n.tag for n in head] == ["head", "p"] and [n.tag for n in X.parse("<head>text").children] == ["head"]
+    assert X.parse("<head> text").parts[-1] == (" text", False)
