@@ -103,5 +103,46 @@ FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
 
+_CODES_START = """
+WITH q AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 1024)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (
+  SELECT vec_id, p, v[p * (len(v) // 4) + 1 : (p + 1) * (len(v) // 4)] AS x
+  FROM q, (SELECT unnest(range(4)) AS p)),
+b0 AS (
+  SELECT p, e, x AS c FROM (SELECT p, x, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e FROM parts) WHERE e < 256),"""
+
+# a: distance * 256 + entry of each part, so that its least value is the nearest entry, ties to the lower one
+_CODES_ASSIGN = """
+a{n} AS (
+  SELECT t.vec_id, t.p, min(CAST(list_inner_product(t.x, t.x) - 2 * list_inner_product(t.x, b.c) + list_inner_product(b.c, b.c) AS BIGINT) * 256 + b.e) AS m
+  FROM parts t JOIN b{n} b ON t.p = b.p GROUP BY t.vec_id, t.p)"""
+
+_CODES_ROUND = """,
+s{n} AS (
+  SELECT p, e, list(c ORDER BY i) AS c FROM (
+    SELECT p, e, i, floor(sum(x) / count(*)) AS c FROM (
+      SELECT a.p, a.m % 256 AS e, unnest(t.x) AS x, unnest(range(len(t.x))) AS i
+      FROM a{n} a JOIN parts t ON a.vec_id = t.vec_id AND a.p = t.p) GROUP BY p, e, i) GROUP BY p, e),
+b{next} AS (
+  SELECT b.p, b.e, coalesce(s.c, b.c) AS c FROM b{n} b LEFT JOIN s{n} s ON b.p = s.p AND b.e = s.e),"""
+
+_CODES_END = """,
+coded AS (
+  SELECT vec_id, string_agg(lpad(lower(to_hex(m % 256)), 2, '0'), '' ORDER BY p) AS code, CAST(sum(m // 256) AS BIGINT) AS error
+  FROM a4 GROUP BY vec_id),
+books AS (
+  SELECT sha256(string_agg(CAST(CAST(c AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, i)) AS codebooks_sha256
+  FROM (SELECT p, e, unnest(c) AS c, unnest(range(len(c))) AS i FROM b4))
+SELECT d.vec_id, d.code, d.error, CAST(sum(d.error) OVER (PARTITION BY q.label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded d JOIN q ON d.vec_id = q.vec_id, books"""
+
+VECTOR_CODES = _CODES_START + "".join(_CODES_ASSIGN.format(n=n) + _CODES_ROUND.format(n=n, next=n + 1) for n in range(4)) \
+    + _CODES_ASSIGN.format(n=4) + _CODES_END
+
+
 def oracles() -> dict[str, str]:
-    return {"op1_chat_format": OP1, "op5_quality_rules": OP5, "op6_line_dedup": OP6, "op9_decontamination": OP9}
+    return {"op1_chat_format": OP1, "op5_quality_rules": OP5, "op6_line_dedup": OP6, "op9_decontamination": OP9,
+            "op13_vector_codes": VECTOR_CODES}

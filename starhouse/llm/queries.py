@@ -18,6 +18,7 @@ from starhouse.llm import (
     minhash_dedup,
     mixing,
     quality_rules,
+    vector_codes,
 )
 from starhouse.llm.common import table
 
@@ -98,6 +99,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "source", "slot", "phase")
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding as four codebook indexes."""
+    out = vector_codes.encode(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return out.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": op1_chat_format,
@@ -110,4 +117,5 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_scan": op8_license_scan,
         "op9_decontamination": op9_decontamination,
         "op10_mixing": op10_mixing,
+        "op13_vector_codes": op13_vector_codes,
     }
