@@ -18,6 +18,8 @@ from starhouse.llm import (
     minhash_dedup,
     mixing,
     quality_rules,
+    spelling,
+    suffix_dedup,
     vector_codes,
 )
 from starhouse.llm.common import table
@@ -99,6 +101,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "source", "slot", "phase")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its near words, form and root."""
+    return spelling.group(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of repeated strings."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = suffix_dedup.remove(docs, suffix_dedup.repeated_spans(docs))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every embedding as four codebook indexes."""
     out = vector_codes.encode(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
@@ -117,5 +131,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_scan": op8_license_scan,
         "op9_decontamination": op9_decontamination,
         "op10_mixing": op10_mixing,
+        "op11_spelling": op11_spelling,
+        "op12_suffix_dedup": op12_suffix_dedup,
         "op13_vector_codes": op13_vector_codes,
     }
