@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import calendar_columns, date_key
 from ..sources.schemas import DIM_CUSTOMER, DIM_DATE_END, DIM_DATE_START, DIM_PRODUCT, FACT_SALES, TableRules
-from .keys import assign_dense_key
+from .keys import assign_dense_key, default_ranges, sampled
 
 
 def _ts(value: str):
@@ -70,11 +70,18 @@ def dim_date_covering(df: DataFrame, col: str, as_of: str) -> DataFrame:
 
 
 # The fact's order: the warehouse sort key (order_date_key, customer) then the
-# order and item ids. Range-partitioning on it gives the dense sales_key and
-# the write layout in one exchange.
+# order and item ids. One exchange by ranges of it gives the dense sales_key and
+# the write layout.
 FACT_ORDER = ("order_date_key", "_customer", "_order", "order_item_natural_key")
 
 
+def _sampled_order(items: DataFrame, orders: DataFrame, ranges: int) -> DataFrame:
+    """FACT_ORDER of a sample of the items: bounded by the number of ranges, so it is broadcast to the orders' keys."""
+    some = sampled(items.select("order_id", "order_item_id"), ranges)
+    return F.broadcast(some).join(orders.select("order_id", "order_date", "customer_id"), "order_id").select(
+        date_key(F.col("order_date")), "customer_id", "order_id", "order_item_id")
+
+
 def fact_sales(items: DataFrame, orders: DataFrame, as_of: str,
                date_range: tuple[str, str] | None = None, key_start: int = 0,
                num_partitions: int | None = None) -> DataFrame:
@@ -96,6 +103,7 @@ def fact_sales(items: DataFrame, orders: DataFrame, as_of: str,
     fact = sales.select(
         *_declared(sales, FACT_SALES, sales_key=F.lit(None), order_date_key=dk, etl_processed_date=_ts(as_of)),
         dk.alias("date_partition"), F.col("customer_id").alias("_customer"), F.col("order_id").alias("_order"))
+    ranges = num_partitions or default_ranges(items.sparkSession)
     keyed = assign_dense_key(fact.drop("sales_key"), FACT_ORDER, "sales_key", start=key_start,
-                             num_partitions=num_partitions)
+                             num_partitions=ranges, sample=_sampled_order(items, od, ranges))
     return keyed.select(*[c for c, _ in FACT_SALES.columns], "date_partition")

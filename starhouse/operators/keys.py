@@ -1,14 +1,18 @@
 """Dense surrogate keys without a single-partition window.
 
-``row_number()`` over an unpartitioned window moves every row to one task.
-Instead: range-partition on the ordering (the range partitioner splits even a
-hot leading value because the trailing order columns differ), sort within
-partitions, and record (partition id, position). That is written once as a
-Parquet table in the shared checkpoint folder, so every later pass sees the
-same rows in the same places (a recomputed range exchange could resample
-other bounds). Counting rows per partition then reads only the partition-id
-column. Each partition's running offset comes from a table with one row per
-partition; Spark broadcasts it if it is small enough.
+``row_number()`` over an unpartitioned window moves every row to one task. Here a key is the rows in
+earlier ranges plus the position in the row's own range:
+
+1. *Frozen bounds.* A sampled pass over the ordering columns alone gives the ranges' bounds, tuples of all
+   ordering columns, so that trailing columns split a leading value that most rows share. A caller whose input
+   is a join can hand in a sample from a narrower source, so that the join isn't run for it.
+2. *Range of a row*: a binary search over the bounds, as an expression. It depends on the row alone, so a task
+   that runs again deals its rows as before (a range exchange that is planned again could sample other bounds).
+3. *One exchange*, by range. Counts per range are aggregated from it and their running sum, one row a range, is
+   joined back by broadcast to the sorted rows. Spark runs an exchange that occurs twice in a plan once;
+   the counts therefore read every column, by a hash, or column pruning would make them an exchange of their own.
+
+Nothing is written while the plan is built; no row is stored besides the shuffle's own files.
 """
 
 from __future__ import annotations
@@ -17,39 +21,76 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import scratch_path
+#: Sampled rows per range. The driver holds (ranges x this) tuples while it chooses bounds.
+SAMPLES_PER_RANGE = 20
+_SEED = 11
+_LOCAL = (1 << 33) - 1      # monotonically_increasing_id: the position is in the lower 33 bits
 
 
 def _as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def default_ranges(spark) -> int:
+    """As many ranges as Spark would start a shuffle with."""
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def sampled(keys: DataFrame, ranges: int) -> DataFrame:
+    """About ``ranges * SAMPLES_PER_RANGE`` rows of ``keys``; all of them if it has no more."""
+    want, n = ranges * SAMPLES_PER_RANGE, keys.count()
+    return keys if n <= want else keys.sample(fraction=want / n, seed=_SEED)
+
+
+def frozen_bounds(sample: DataFrame, ranges: int) -> list[str]:
+    """At most ``ranges - 1`` distinct tuples (as JSON) at even steps of the sorted sample, ascending."""
+    rows = sample.orderBy(*sample.columns).select(F.to_json(F.struct(*sample.columns))).collect()
+    out = []
+    for i in range(1, ranges):
+        row = rows[i * len(rows) // ranges][0] if rows else None
+        if row is not None and (not out or row != out[-1]):
+            out.append(row)
+    return out
+
+
+def range_of(key: Column, bounds: list[str], schema: T.StructType) -> Column:
+    """Number of bounds that are not greater than ``key`` (a struct of the bounds' fields): a binary search."""
+    if not bounds:
+        return F.lit(0)
+    held = F.from_json(F.lit(f"[{','.join(bounds)}]"), T.ArrayType(schema))     # a constant: read once a plan
+    steps = [1 << b for b in range(len(bounds).bit_length() - 1, -1, -1)]
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0),
+                       lambda at, step: at + F.when(F.get(held, at + step - 1) <= key, step).otherwise(0))
+
+
 def assign_dense_key(df: DataFrame, order_by: Sequence[Column | str], key_col: str,
-                     start: int = 0, num_partitions: int | None = None) -> DataFrame:
+                     start: int = 0, num_partitions: int | None = None,
+                     sample: DataFrame | None = None) -> DataFrame:
     """Add ``key_col`` = ``start`` + 1..n following ``order_by`` (ascending, nulls first).
 
-    Rows equal on every ordering column get consecutive keys in any order;
-    give a unique ordering when the key must be reproducible per row.
+    ``sample``: rows of the ordering columns, in order, to choose bounds from (see `sampled`); by default
+    they are sampled from ``df``. Bad bounds make uneven ranges, never wrong keys. Rows equal on every
+    ordering column get consecutive keys in any order; give a unique ordering when the key must be
+    reproducible per row.
     """
     spark = df.sparkSession
-    cols = [_as_col(c) for c in order_by]
-    # Without an explicit count AQE may coalesce neighbouring range partitions
-    # at runtime; ids stay in range order because positions are taken after the read.
-    ranged = df.repartitionByRange(*cols) if num_partitions is None else df.repartitionByRange(num_partitions, *cols)
-    positioned = (ranged
-                  .sortWithinPartitions(*cols)
-                  .withColumn("_k_part", F.spark_partition_id())
-                  .withColumn("_k_pos", F.monotonically_increasing_id()))
-    # Cut lineage with a written table in the shared folder (columnar, compressed).
-    path = scratch_path(spark, "dense-key")
-    positioned.write.mode("overwrite").parquet(path)
-    fixed = spark.read.parquet(path)
-    counts = fixed.groupBy("_k_part").agg(F.count(F.lit(1)).alias("_k_n"))
-    before = Window.orderBy("_k_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_k_part", F.coalesce(F.sum("_k_n").over(before), F.lit(0)).alias("_k_off"))
-    local = F.col("_k_pos") - F.shiftleft(F.col("_k_part").cast("long"), 33)
-    key = (F.lit(start).cast("long") + F.col("_k_off") + local + F.lit(1)).cast("long")
-    return (fixed.join(offsets, "_k_part")
-            .withColumn(key_col, key)
-            .drop("_k_part", "_k_pos", "_k_off"))
+    names = [f"_k{i}" for i in range(len(order_by))]
+    cols = [_as_col(c).alias(n) for c, n in zip(order_by, names, strict=True)]
+    ranges = num_partitions or default_ranges(spark)
+    if sample is None:
+        sample = sampled(df.select(*cols), ranges)
+    sample = sample.toDF(*names)
+    bounds = frozen_bounds(sample, ranges)
+    at = range_of(F.struct(*cols), bounds, sample.schema)
+    ranged = df.withColumn("_k_range", at).repartitionById(len(bounds) + 1, F.col("_k_range"))
+    counts = ranged.groupBy("_k_range").agg(F.count(F.lit(1)).alias("_k_n"), F.max(F.xxhash64(*df.columns)).alias("_k_read"))
+    before = Window.orderBy("_k_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.where(F.col("_k_read").isNotNull()) \
+        .select("_k_range", F.coalesce(F.sum("_k_n").over(before), F.lit(0)).alias("_k_off"))
+    local = F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL))
+    rows = ranged.sortWithinPartitions(*[_as_col(c) for c in order_by]).withColumn("_k_pos", local)
+    key = (F.lit(start).cast("long") + F.col("_k_off") + F.col("_k_pos") + F.lit(1)).cast("long")
+    return rows.join(F.broadcast(offsets), "_k_range").select(*df.columns, key.alias(key_col))    # one row a range

@@ -10,8 +10,9 @@ rows (the bounds collapse map-side, so a hot key costs one row), one left join
 of the current rows to the changed keys (expiry), and a dense key for the
 inserted versions: changed rows first, then new rows, each by key. Changed keys
 come from the hash bounds of both sides, one row per key, so a batch key
-holding most rows doesn't meet the expiry join. Inserted versions are written
-once; sampling for the key's range exchange reads that table, not the join.
+holding most rows doesn't meet the expiry join. The batch is parsed and hashed
+once, into a written table that all of these read; the ranges of the inserted
+versions' keys are sampled from it too, so the classification runs once.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from ..functions.text import change_hash, standardized
 from ..sources.schemas import FAR_FUTURE, EntitySpec
 from ..session import staged
-from .keys import assign_dense_key
+from .keys import assign_dense_key, default_ranges, sampled
 
 VERSION_COLS = ("is_current", "valid_from", "valid_to")
 
@@ -125,6 +126,7 @@ def changes(current: DataFrame, batch: DataFrame, spec: EntitySpec, as_of: str,
     Expiry is a projection over one left join of the current rows to the
     changed keys, so closed and kept rows come out of one pass.
     """
+    batch = staged(batch, "scd2-batch")
     classified = classify(batch, current, spec)
     cols = entity_columns(spec, batch)
     to_close = changed_keys(batch, current, spec).withColumn("_expire", F.lit(True))
@@ -140,7 +142,10 @@ def changes(current: DataFrame, batch: DataFrame, spec: EntitySpec, as_of: str,
                    "valid_from": _ts(as_of),
                    "valid_to": _ts(FAR_FUTURE),
                }))
-    keyed = assign_dense_key(staged(inserts, "scd2-inserts"), ["_is_new", spec.key, "hash_key"], spec.sk, start=max_sk)
+    ranges = default_ranges(batch.sparkSession)
+    some = sampled(batch.select(spec.key, "hash_key"), ranges)
+    either = some.select(F.explode(F.array(F.lit(0), F.lit(1))).alias("_is_new"), spec.key, "hash_key")
+    keyed = assign_dense_key(inserts, ["_is_new", spec.key, "hash_key"], spec.sk, start=max_sk, num_partitions=ranges, sample=either)
     inserted = keyed.select(*cols, spec.sk, *VERSION_COLS)
     return MergeResult(classified=classified, rows=prior.unionByName(inserted))
 
