@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import gold, scd2
 from ..session import scratch_path
+from ..sinks.incremental_fact import IncrementalFact
 from ..sinks.scd2_store import Scd2Store
 from ..sinks.star import create_star, export_dim, load_table
 from ..sinks.transactions import append_new, read_transactions
@@ -81,6 +82,28 @@ def q_fact_published(spark, sf):
     return table.read()
 
 
+def fact_drops(spark, sf):
+    """Three drops of orders and items: by date, and a late one of orders whose items came before."""
+    orders, items = P.orders_silver(spark, sf), P.items_silver(spark, sf)
+    late = F.col("order_id") % 200 == 0
+    early = F.col("partition_date") < "19950617"
+    first = orders.where(early & ~late)
+    held = items.join(first.select("order_id"), "order_id", "left_semi").unionByName(items.where(late))
+    rest = items.join(held.select("order_item_id"), "order_item_id", "left_anti")
+    return orders, items, [(first, held), (orders.where(~early & ~late), rest), (orders.where(late), items.limit(0))]
+
+
+def q_fact_incremental(spark, sf):
+    """The fact after three drops, refreshed after each; apart from keys it is a full rebuild."""
+    orders, items, drops = fact_drops(spark, sf)
+    table = IncrementalFact(spark, scratch_path(spark, "fact-incremental"), orders.schema, items.schema)
+    for day, (some_orders, some_items) in zip(("20250301", "20250302", "20250303"), drops):
+        table.append_orders(some_orders)
+        table.append_items(some_items.withColumn("partition_date", F.lit(day)), day)
+        table.refresh(AS_OF_2)
+    return table.fact().drop("sales_key")
+
+
 def q_load_roundtrip(spark, sf):
     """Fact files bulk-loaded by position into the star table, read from the catalog."""
     root = scratch_path(spark, "star")
@@ -105,5 +128,6 @@ def registry():
         "stream_ingest_orders": _stream("orders", "20250302", P.orders_silver),
         "stream_ingest_order_items": _stream("order_items", ITEMS_BATCH_DATE, P.items_silver),
         "fact_published": q_fact_published,
+        "fact_incremental": q_fact_incremental,
         "load_roundtrip": q_load_roundtrip,
     }

@@ -200,6 +200,11 @@ def fact_sales_sql() -> str:
     return _cte(**_fact_ctes()) + "\nSELECT * FROM fact"
 
 
+def fact_incremental_sql() -> str:
+    """A full rebuild without keys."""
+    return _cte(**_fact_ctes()) + "\nSELECT * EXCLUDE (sales_key) FROM fact"
+
+
 def assign_sk_sql() -> str:
     return _cte(si=items_silver_sql()) + """
 SELECT order_item_id, product_id,
@@ -350,6 +355,7 @@ def oracles() -> dict[str, str]:
         "stream_ingest_orders": orders_silver_sql(),
         "stream_ingest_order_items": items_silver_sql(),
         "fact_published": fact_sales_sql(),
+        "fact_incremental": fact_incremental_sql(),
         "load_roundtrip": load_roundtrip_sql(),
     })
     return q
