@@ -53,6 +53,26 @@ def entity_batch(spark: SparkSession, lake: Lake, entity: str, batch_date: str,
         return Scd2Store(spark, lake.path("silver", entity), spec).apply(batch, as_of, profile=profile)
 
 
+def _drops(spark, lake, entity, batches, on_bad):
+    spec = ENTITIES[entity]
+    return [(scd2.standardize(read_bronze(spark, lake.path("bronze"), entity, day, on_bad=on_bad), spec), as_of) for day, as_of in batches]
+
+
+def entity_backfill(spark: SparkSession, lake: Lake, entity: str, batches: list[tuple[str, str]], on_bad: str = "error") -> RunStats:
+    """Merge several dated drops, (batch_date, as_of) in order of time, in one run."""
+    with scratch_scope(spark):
+        return Scd2Store(spark, lake.path("silver", entity), ENTITIES[entity]).apply_all(_drops(spark, lake, entity, batches, on_bad))
+
+
+def late_entity_batch(spark: SparkSession, lake: Lake, entity: str, batch_date: str, as_of: str,
+                      later: list[tuple[str, str]], on_bad: str = "error") -> RunStats:
+    """Merge a dated drop as of a time before committed runs; ``later``: their (batch_date, as_of) after that time,
+    read from bronze again."""
+    (batch, _), *rest = _drops(spark, lake, entity, [(batch_date, as_of), *later], on_bad)
+    with scratch_scope(spark):
+        return Scd2Store(spark, lake.path("silver", entity), ENTITIES[entity]).apply(batch, as_of, later=rest)
+
+
 def _gate(rows: DataFrame, rules, lake: Lake, table: str, key: str) -> DataFrame:
     good, rejected = quality_gate(rows, rules)
     append_new(rejected, lake.path("quarantine", table), key)

@@ -8,7 +8,7 @@ are BIGINT, decimal ``/`` yields double (so the percentage is multiplied by
 
 from __future__ import annotations
 
-from ..sources.fixtures import AS_OF_1, AS_OF_2, ITEMS_BATCH_DATE, recipe_sql
+from ..sources.fixtures import AS_OF_1, AS_OF_2, AS_OF_3, AS_OF_4, ITEMS_BATCH_DATE, recipe_sql
 from ..sources.schemas import (CUSTOMERS, DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, FACT_SALES,
                                FAR_FUTURE, PRODUCTS, EntitySpec, TableRules)
 
@@ -52,43 +52,59 @@ def _std_sql(spec: EntitySpec, batch: int) -> str:
     return f"SELECT *, sha256(concat_ws('|', {hashed})) AS hash_key FROM ({inner})"
 
 
-def _entity_ctes(spec: EntitySpec, p: str = "") -> dict[str, str]:
-    """CTEs s1, s2 (standardised batches), v1 (initial), cur, cls, chg, ins, v2 (merged); names prefixed by ``p``."""
-    k, sk = spec.key, spec.sk
+def _merge_ctes(spec: EntitySpec, n: int, as_of: str, p: str = "") -> dict[str, str]:
+    """CTEs of the merge of batch n into v{n-1}: s, cur, cls, chg, ins and v, all numbered n."""
+    k, sk, old = spec.key, spec.sk, f"{p}v{n - 1}"
     cols = ", ".join(spec.columns)
     ccols = ", ".join(f"c.{c}" for c in spec.columns)
     return {
-        f"{p}s1": _std_sql(spec, 1),
-        f"{p}s2": _std_sql(spec, 2),
-        f"{p}v1": f"""SELECT {cols}, hash_key,
-       row_number() OVER (ORDER BY {k} NULLS FIRST, hash_key) AS {sk},
-       true AS is_current, {ts(AS_OF_1)} AS valid_from, {ts(FAR_FUTURE)} AS valid_to
-FROM {p}s1""",
-        f"{p}cur": f"SELECT * FROM {p}v1 WHERE is_current",
-        f"{p}cls": f"""SELECT b.*,
-       CASE WHEN NOT EXISTS (SELECT 1 FROM {p}cur c WHERE c.{k} = b.{k}) THEN 'new'
-            WHEN EXISTS (SELECT 1 FROM {p}cur c WHERE c.{k} = b.{k} AND c.hash_key <> b.hash_key) THEN 'changed'
+        f"{p}s{n}": _std_sql(spec, n),
+        f"{p}cur{n}": f"SELECT * FROM {old} WHERE is_current",
+        f"{p}cls{n}": f"""SELECT b.*,
+       CASE WHEN NOT EXISTS (SELECT 1 FROM {p}cur{n} c WHERE c.{k} = b.{k}) THEN 'new'
+            WHEN EXISTS (SELECT 1 FROM {p}cur{n} c WHERE c.{k} = b.{k} AND c.hash_key <> b.hash_key) THEN 'changed'
             ELSE 'unchanged' END AS change_type
-FROM {p}s2 b""",
-        f"{p}chg": f"SELECT DISTINCT {k} FROM {p}cls WHERE change_type = 'changed'",
-        f"{p}ins": f"""SELECT {cols}, hash_key,
-       (SELECT coalesce(max({sk}), 0) FROM {p}v1)
+FROM {p}s{n} b""",
+        f"{p}chg{n}": f"SELECT DISTINCT {k} FROM {p}cls{n} WHERE change_type = 'changed'",
+        f"{p}ins{n}": f"""SELECT {cols}, hash_key,
+       (SELECT coalesce(max({sk}), 0) FROM {old})
          + row_number() OVER (ORDER BY CASE WHEN change_type = 'new' THEN 1 ELSE 0 END,
                                        {k} NULLS FIRST, hash_key) AS {sk},
-       true AS is_current, {ts(AS_OF_2)} AS valid_from, {ts(FAR_FUTURE)} AS valid_to
-FROM {p}cls WHERE change_type <> 'unchanged'""",
-        f"{p}v2": f"""SELECT {cols}, hash_key, {sk}, is_current, valid_from, valid_to FROM {p}v1 WHERE is_current = false
+       true AS is_current, {ts(as_of)} AS valid_from, {ts(FAR_FUTURE)} AS valid_to
+FROM {p}cls{n} WHERE change_type <> 'unchanged'""",
+        f"{p}v{n}": f"""SELECT {cols}, hash_key, {sk}, is_current, valid_from, valid_to FROM {old} WHERE is_current = false
 UNION ALL
 SELECT {ccols}, c.hash_key, c.{sk},
        CASE WHEN x.{k} IS NULL THEN c.is_current ELSE false END AS is_current,
        c.valid_from,
-       CASE WHEN x.{k} IS NULL THEN c.valid_to ELSE {ts(AS_OF_2)} END AS valid_to
-FROM {p}cur c LEFT JOIN {p}chg x ON c.{k} = x.{k}
+       CASE WHEN x.{k} IS NULL THEN c.valid_to ELSE {ts(as_of)} END AS valid_to
+FROM {p}cur{n} c LEFT JOIN {p}chg{n} x ON c.{k} = x.{k}
 UNION ALL
-SELECT * FROM {p}ins""",
+SELECT * FROM {p}ins{n}""",
     }
 
 
+def _entity_ctes(spec: EntitySpec, p: str = "") -> dict[str, str]:
+    """CTEs s1 (first batch), v1 (initial), those of the merge of batch 2, and cur, cls; names prefixed by ``p``."""
+    cols = ", ".join(spec.columns)
+    return {
+        f"{p}s1": _std_sql(spec, 1),
+        f"{p}v1": f"""SELECT {cols}, hash_key,
+       row_number() OVER (ORDER BY {spec.key} NULLS FIRST, hash_key) AS {spec.sk},
+       true AS is_current, {ts(AS_OF_1)} AS valid_from, {ts(FAR_FUTURE)} AS valid_to
+FROM {p}s1""",
+        **_merge_ctes(spec, 2, AS_OF_2, p),
+        f"{p}cur": f"SELECT * FROM {p}cur2",
+        f"{p}cls": f"SELECT * FROM {p}cls2",
+    }
+
+
+def in_order_sql(spec: EntitySpec, with_keys: bool) -> str:
+    """The history after batches 1 to 4, merged one by one."""
+    ctes = {**_entity_ctes(spec), **_merge_ctes(spec, 3, AS_OF_3), **_merge_ctes(spec, 4, AS_OF_4)}
+    return _cte(**ctes) + "\nSELECT * FROM v4" if with_keys else _cte(**ctes) + f"\nSELECT * EXCLUDE ({spec.sk}) FROM v4"
+
+
 def standardize_sql(spec: EntitySpec) -> str:
     return _std_sql(spec, "all")
 
@@ -354,6 +370,8 @@ def oracles() -> dict[str, str]:
         "append_idempotent": orders_silver_sql(),
         "stream_ingest_orders": orders_silver_sql(),
         "stream_ingest_order_items": items_silver_sql(),
+        "scd2_backfill_customers": in_order_sql(CUSTOMERS, True),
+        "scd2_back_dated_customers": in_order_sql(CUSTOMERS, False),
         "fact_published": fact_sales_sql(),
         "fact_incremental": fact_incremental_sql(),
         "load_roundtrip": load_roundtrip_sql(),

@@ -8,10 +8,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import audit, gold, quality, scd2
+from ..operators import audit, gold, quality, scd2, scd2_fold
 from ..operators.keys import assign_dense_key
 from ..operators.silver import silver_order_items, silver_orders
-from ..sources.fixtures import AS_OF_1, AS_OF_2, ITEMS_BATCH_DATE, bronze
+from ..sources.fixtures import AS_OF_1, AS_OF_2, AS_OF_3, AS_OF_4, ITEMS_BATCH_DATE, bronze
 from ..sources.schemas import CUSTOMERS, DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, FACT_SALES, PRODUCTS
 from . import pipeline as P
 
@@ -52,6 +52,20 @@ def _merge(spec):
     return q
 
 
+def q_scd2_backfill_customers(spark, sf):
+    """Three batches merged at once into the history of the first; the same as three single merges."""
+    drops = [(P.entity_batch(spark, sf, CUSTOMERS, n), t) for n, t in ((2, AS_OF_2), (3, AS_OF_3), (4, AS_OF_4))]
+    return scd2_fold.backfill(P.entity_v1(spark, sf, CUSTOMERS), drops, CUSTOMERS)
+
+
+def q_scd2_back_dated_customers(spark, sf):
+    """Batches 1, 2 and 4, then batch 3 late, between the last two; apart from keys the same as in order."""
+    later = P.entity_batch(spark, sf, CUSTOMERS, 4)
+    known = scd2_fold.backfill(P.entity_v2(spark, sf, CUSTOMERS), [(later, AS_OF_4)], CUSTOMERS)
+    out = scd2_fold.back_dated(known, P.entity_batch(spark, sf, CUSTOMERS, 3), AS_OF_3, [(later, AS_OF_4)], CUSTOMERS)
+    return out.drop(CUSTOMERS.sk)
+
+
 def _profile(spec):
     def q(spark, sf):
         v1 = P.entity_v1(spark, sf, spec)
@@ -174,6 +188,8 @@ def registry() -> dict[str, Query]:
         q[f"scd2_merge_{spec.name}"] = _merge(spec)
         q[f"scd2_profile_{spec.name}"] = _profile(spec)
     q.update({
+        "scd2_backfill_customers": q_scd2_backfill_customers,
+        "scd2_back_dated_customers": q_scd2_back_dated_customers,
         "assign_sk": q_assign_sk,
         "dim_customer": q_dim_customer,
         "dim_product": q_dim_product,

@@ -4,7 +4,8 @@ Appending the same batch twice must not duplicate orders (a duplicated order
 multiplies fact rows). Only rows whose key the whole target does not hold yet
 are written: one left-anti join on the key column, whatever the batch's size,
 so a key re-sent in another partition is skipped too. A row without a key is
-compared as a whole row, with the target's rows without a key only.
+compared as a whole row, with the target's rows without a key only; lineage
+columns (the run's time) are no part of it, or every re-run would write it again.
 
 ``scope='partition'`` is an opt-in for sources that never re-send a key under
 another partition value: the target scan is then limited to the range of the
@@ -19,6 +20,9 @@ from pyspark.sql import functions as F
 
 from .versioned import PARQUET_OPTIONS, path_missing
 
+#: Columns that say when a row was processed, not what it is.
+LINEAGE = ("processing_timestamp",)
+
 
 def _target(df: DataFrame, path: str) -> DataFrame | None:
     try:
@@ -55,7 +59,7 @@ def unseen(df: DataFrame, path: str, key: str, partition_by: str | None = None,
 
     null = F.col(key).isNull()
     return missing(df.filter(~null), existing.filter(~null), same).unionByName(
-        missing(df.filter(null), existing.filter(null), df.columns))
+        missing(df.filter(null), existing.filter(null), [c for c in df.columns if c not in LINEAGE]))
 
 
 def append_new(df: DataFrame, path: str, key: str, partition_by: str = "partition_date",

@@ -20,6 +20,8 @@ COMMIT_SCHEMA = T.StructType([
     T.StructField("version", T.LongType(), False),
     T.StructField("max_key", T.LongType(), True),
     T.StructField("as_of", T.StringType(), True),
+    T.StructField("base", T.LongType(), True),                              # first run whose closed rows count
+    T.StructField("buckets", T.ArrayType(T.IntegerType()), True),           # buckets that the run wrote
 ])
 
 
@@ -36,18 +38,22 @@ class CommitLog:
         self.spark = spark
         self.path = f"{root.rstrip('/')}/_commits"
 
-    def last(self):
-        """The newest commit row, or None when the target has never been committed."""
+    def rows(self) -> DataFrame | None:
         try:
-            log = self.spark.read.schema(COMMIT_SCHEMA).parquet(self.path)
-            return log.orderBy(F.col("version").desc()).first()
+            return self.spark.read.schema(COMMIT_SCHEMA).parquet(self.path)
         except AnalysisException as e:
             if path_missing(e):
                 return None
             raise
 
-    def append(self, version: int, max_key: int | None = None, as_of: str | None = None) -> None:
-        row = self.spark.createDataFrame([(version, max_key, as_of)], COMMIT_SCHEMA)
+    def last(self):
+        """The newest commit row, or None when the target has never been committed."""
+        log = self.rows()
+        return None if log is None else log.orderBy(F.col("version").desc()).first()
+
+    def append(self, version: int, max_key: int | None = None, as_of: str | None = None,
+               base: int | None = None, buckets: list[int] | None = None) -> None:
+        row = self.spark.createDataFrame([(version, max_key, as_of, base, buckets)], COMMIT_SCHEMA)
         row.coalesce(1).write.mode("append").parquet(self.path)
 
 

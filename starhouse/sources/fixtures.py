@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 # Batch run times and bronze batch dates of the fixture.
 AS_OF_1 = "2025-03-03 00:00:00"
 AS_OF_2 = "2025-03-06 00:00:00"
+AS_OF_3 = "2025-03-09 00:00:00"
+AS_OF_4 = "2025-03-12 00:00:00"
 ITEMS_BATCH_DATE = "20250301"
 
 RECIPES = {
@@ -75,6 +77,16 @@ FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
 """,
 }
 
+# Batch 3 takes batch 2's phones (1) back, edits others (4) and misses 5; batch 4 repeats batch 3's edits, edits 5 and takes 4 back for every
+# other key.
+RECIPES["customers_b3"] = RECIPES["customers_b1"].replace(
+    "ELSE concat('555-', cast(c_custkey AS varchar(20))) END AS phone",
+    "WHEN c_custkey % 10 = 4 THEN concat('888-', cast(c_custkey AS varchar(20))) ELSE concat('555-', cast(c_custkey AS varchar(20))) END AS phone") \
+    .replace("c_custkey % 10 <> 9", "c_custkey % 10 <> 5")
+RECIPES["customers_b4"] = RECIPES["customers_b1"].replace(
+    "ELSE concat('555-', cast(c_custkey AS varchar(20))) END AS phone",
+    "WHEN c_custkey % 20 = 4 OR c_custkey % 10 = 5 THEN concat('888-', cast(c_custkey AS varchar(20))) "
+    "ELSE concat('555-', cast(c_custkey AS varchar(20))) END AS phone").replace("c_custkey % 10 <> 9", "c_custkey % 10 <> 6")
 RECIPES["customers_all"] = RECIPES["customers_b1"].replace("WHERE c_custkey % 10 <> 9", "")
 RECIPES["products_all"] = RECIPES["products_b1"].replace("WHERE p_partkey % 10 <> 9", "")
 RECIPES["orders_faulty"] = """
