@@ -11,7 +11,7 @@ class GBT:
         self.bias, self.trees = 0.0, []
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> GBT:
-        self.cuts = [np.unique(np.quantile(c, np.linspace(0, 1, self.bins + 1)[1:-1])) for c in x.T]
+        self.cuts = [np.unique(np.quantile(c, np.linspace(0, 1, self.bins + 1)[1:-1])) if len(c) else c for c in x.T]
         b = self._binned(x)
         share = np.clip(y.mean(), 1e-3, 1 - 1e-3) if len(y) else 0.5
         self.bias = float(np.log(share / (1 - share)))

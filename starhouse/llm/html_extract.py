@@ -14,9 +14,10 @@ without telling attributes, and with comment, notice and sidebar blocks put in.
 Text: character references decoded, white space inside a block one space, blocks by one newline.
 
 Defined cases: null or empty html, or html without text, gives an empty text; null url passes; pages are handled
-each on its own, so repeated rows get equal results; without pages to learn from nothing is kept but what
-the markup's features say to an untrained model (all text is kept); an empty table gives no rows; very deep nesting is flattened
-beyond ``MAX_DEPTH`` (text is not lost); other columns pass through unless called text or n_chars.
+each on its own, so repeated rows get equal results; without pages to learn from all text is kept that isn't in
+`HIDDEN` elements; an empty table gives no rows; nesting has no limit; other columns pass through unless
+called text or n_chars. Elements that are neither blocks nor links (math, object, svg and the like) are part of the
+text around them, and their fallback text is text.
 """
 
 from __future__ import annotations
@@ -34,16 +35,15 @@ from pyspark.sql import functions as F
 from starhouse.llm.gbt import GBT
 
 TRAIN_PAGES = 250
-MAX_DEPTH = 200
 
 # HTML element names by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style noscript template iframe svg head title object canvas select textarea datalist audio video map math".split())
+HIDDEN = frozenset("script style template iframe head title select textarea datalist".split())
 IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 CHROME = frozenset("nav footer aside header form menu button fieldset dialog label legend".split())
 MAIN = frozenset("article main".split())
 BLOCK = HIDDEN | CHROME | MAIN | frozenset(
-    "address blockquote body center dd details dir div dl dt figcaption figure h1 h2 h3 h4 h5 h6 hgroup hr html li ol "
+    "address blockquote body center dd details dir div dl dt figcaption figure h1 h2 h3 h4 h5 h6 hgroup hr html li noscript ol "
     "optgroup option p pre section summary table tbody td tfoot th thead tr ul caption".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 ENDS_P = BLOCK - frozenset("button".split())
@@ -101,8 +101,7 @@ class _Tree(HTMLParser):
         tokens = [t.lower() for k, v in attrs if v and k in ("class", "id", "role", "itemprop", "aria-label") for t in _TOKEN.findall(v)]
         node = Node(tag, tokens, self.at)
         self.at.parts.append(node)
-        if node.depth < MAX_DEPTH:
-            self.at = node
+        self.at = node
 
     def _close(self, tag, stop):
         n = self.at
@@ -266,12 +265,8 @@ def _vary(root: Node, rng: np.random.Generator) -> None:
                 box.parts.append(child)
             host.parts.insert(int(rng.integers(len(host.parts) + 1)), box)
 
-    def deepen(n):
+    for n in nodes_of(root):                       # parents first
         n.depth = n.parent.depth + 1 if n.parent else 0
-        for c in n.children:
-            deepen(c)
-
-    deepen(root)
 
 
 def train(htmls: list[str]) -> GBT:
@@ -296,16 +291,22 @@ def train(htmls: list[str]) -> GBT:
     return model.fit(np.concatenate(xs), np.concatenate(ys))
 
 
+def learned_from(pages: DataFrame) -> DataFrame:
+    """At most ``TRAIN_PAGES`` different pages with semantic markup. They are chosen by their hashes, so a page that
+    many rows hold counts once; only chosen ones are moved."""
+    some = pages.where("html IS NOT NULL").where(F.lower("html").rlike("<(article|main)[ >]")).select("html", F.xxhash64("html").alias("h"))
+    chosen = some.groupBy("h").count().orderBy("h").limit(TRAIN_PAGES).select("h")
+    return some.join(F.broadcast(chosen), "h").groupBy("h").agg(F.min("html").alias("html"))
+
+
 def fit(pages: DataFrame) -> bytes:
-    """A model from at most ``TRAIN_PAGES`` pages with semantic markup, trained in one task."""
-    some = pages.where("html IS NOT NULL").where(F.lower("html").rlike("<(article|main)[ >]"))
-    sample = some.select("html", F.xxhash64("html").alias("h")).orderBy("h").limit(TRAIN_PAGES)
+    """A model from the pages of `learned_from`, trained in one task."""
 
     def trained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         htmls = [h for b in batches for h in b["html"]]
         yield pd.DataFrame({"model": [pickle.dumps(train(htmls))]})
 
-    made = sample.repartition(1).sortWithinPartitions("h").mapInPandas(trained, "model binary").collect()
+    made = learned_from(pages).repartition(1).sortWithinPartitions("h").mapInPandas(trained, "model binary").collect()
     return bytes(made[0].model) if made else pickle.dumps(train([]))
 
 

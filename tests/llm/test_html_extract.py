@@ -41,3 +41,35 @@ def test_head_without_end_tag():
     head = X.parse("<head><meta charset=x><title>T</title><noscript><style>a</style></noscript><p>one").children
     assert [n.tag for n in head] == ["head", "p"] and [n.tag for n in X.parse("<head>text").children] == ["head"]
     assert X.parse("<head> text").parts[-1] == (" text", False)
+
+
+def test_tables_without_pages_to_learn_from(spark):
+    """No rows, no markup at all, and no article or main: all text that isn't hidden is kept."""
+    schema = "page_id long, url string, html string"
+    rows = [(1, "u", "just text"), (2, None, "<div><p>One &amp; two</p><script>var a</script><style>b</style></div>"), (3, "u", None)]
+    pages = spark.createDataFrame(rows, schema)
+    assert {r.page_id: r.text for r in X.extract(pages, X.fit(pages)).collect()} == {1: "just text", 2: "One & two", 3: ""}
+    empty = spark.createDataFrame([], schema)
+    assert X.extract(empty, X.fit(empty)).count() == 0
+
+
+def test_a_page_in_a_third_of_the_rows_counts_once(spark, monkeypatch):
+    monkeypatch.setattr(X, "TRAIN_PAGES", 20)
+    htmls = [PAGE.format(i=0, end="")] * 100 + [PAGE.format(i=i, end="") for i in range(1, 60)]
+    pages = spark.createDataFrame([(i, "u", h) for i, h in enumerate(htmls)], "page_id long, url string, html string")
+    chosen = [r.html for r in X.learned_from(pages.repartition(4)).collect()]
+    assert len(chosen) == len(set(chosen)) == 20
+
+
+def test_deep_nesting_and_inline_elements():
+    model = X.train([PAGE.format(i=i, end="") for i in range(40)])
+    deep = "<article><h1>Head</h1>" + "<div>" * 300 + "<p>Some text, and more of it here.</p><script>var a=1;</script>" + "</div>" * 300 + "<p>After it, a last one.</p></article><footer>us</footer>"
+    page = f"<html><body><nav><a href=x>One</a></nav>{deep}</body></html>"
+    assert "var a" not in X.extract_one(page, model)
+    order = X.nodes_of(X.parse(page))
+    assert [n.parent.tag for n in order if n.tag == "p"] == ["div", "article"] and max(n.depth for n in order) > 300
+    everything = X.text_of(order[0], {id(n) for n in order if n.tag not in X.HIDDEN})
+    assert everything == "One\nHead\nSome text, and more of it here.\nAfter it, a last one.\nus"
+    inline = "<p>Let <math><mi>x</mi></math> be <object>fallback words</object> of <svg><text>this</text></svg>, and so on.</p>"
+    got = X.extract_one(PAGE.format(i=1, end="").replace("<p>Sth.</p>", inline), model)
+    assert got.endswith("Let x be fallback words of this, and so on.")
