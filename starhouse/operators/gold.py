@@ -18,7 +18,7 @@ def _current(silver: DataFrame) -> DataFrame:
     return silver.filter(F.col("is_current") == True)  # noqa: E712
 
 
-def _declared(df: DataFrame, table: TableRules, **computed: Column) -> list[Column]:
+def declared_columns(df: DataFrame, table: TableRules, **computed: Column) -> list[Column]:
     """The table's declared columns over ``df``: computed, or its silver column, cast where the types differ."""
     have, out = dict(df.dtypes), []
     for name, want in table.types().items():
@@ -32,12 +32,12 @@ def _declared(df: DataFrame, table: TableRules, **computed: Column) -> list[Colu
 
 def dim_customer(silver: DataFrame, as_of: str) -> DataFrame:
     """Current customer versions in the warehouse's columns."""
-    return _current(silver).select(*_declared(silver, DIM_CUSTOMER, etl_processed_date=_ts(as_of)))
+    return _current(silver).select(*declared_columns(silver, DIM_CUSTOMER, etl_processed_date=_ts(as_of)))
 
 
 def dim_product(silver: DataFrame, as_of: str) -> DataFrame:
     """Current product versions in the warehouse's columns; the price becomes a decimal."""
-    return _current(silver).select(*_declared(silver, DIM_PRODUCT, etl_processed_date=_ts(as_of)))
+    return _current(silver).select(*declared_columns(silver, DIM_PRODUCT, etl_processed_date=_ts(as_of)))
 
 
 def _calendar(bounds: DataFrame, as_of: str) -> DataFrame:
@@ -101,7 +101,7 @@ def fact_sales(items: DataFrame, orders: DataFrame, as_of: str,
     dk = date_key(F.col("order_date"))
     sales = it.join(od, "order_id", "inner")
     fact = sales.select(
-        *_declared(sales, FACT_SALES, sales_key=F.lit(None), order_date_key=dk, etl_processed_date=_ts(as_of)),
+        *declared_columns(sales, FACT_SALES, sales_key=F.lit(None), order_date_key=dk, etl_processed_date=_ts(as_of)),
         dk.alias("date_partition"), F.col("customer_id").alias("_customer"), F.col("order_id").alias("_order"))
     ranges = num_partitions or default_ranges(items.sparkSession)
     keyed = assign_dense_key(fact.drop("sales_key"), FACT_ORDER, "sales_key", start=key_start,

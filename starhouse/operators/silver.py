@@ -13,8 +13,11 @@ def _ts(value: str):
     return F.lit(value).cast("timestamp_ntz")
 
 
-def silver_orders(df: DataFrame, as_of: str, on_bad: str = "error") -> DataFrame:
-    """Typed orders: ``order_total`` becomes ``order_amount``; partition date, month, weekday added."""
+def silver_orders(df: DataFrame, as_of: str, on_bad: str = "error", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Typed orders: ``order_total`` becomes ``order_amount``; partition date, month, weekday added.
+
+    ``keep``: further columns of the batch that pass through.
+    """
     typed = df.select(
         F.col("order_id"),
         F.col("customer_id"),
@@ -23,6 +26,7 @@ def silver_orders(df: DataFrame, as_of: str, on_bad: str = "error") -> DataFrame
         F.col("payment_method"),
         to_money("shipping_cost").alias("shipping_cost"),
         to_money("order_total").alias("order_amount"),
+        *keep,
     )
     return typed.withColumns({
         "partition_date": F.date_format("order_date", "yyyyMMdd"),
@@ -32,10 +36,11 @@ def silver_orders(df: DataFrame, as_of: str, on_bad: str = "error") -> DataFrame
     })
 
 
-def silver_order_items(df: DataFrame, batch_date, as_of: str) -> DataFrame:
+def silver_order_items(df: DataFrame, batch_date, as_of: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Typed order items with ``net_amount``; partitioned by the batch date.
 
     ``batch_date`` is a ``yyyyMMdd`` string or a Column (e.g. taken from the file name).
+    ``keep``: further columns of the batch that pass through.
     """
     batch = F.lit(batch_date) if isinstance(batch_date, str) else batch_date
     quantity = F.col("quantity").cast("int")
@@ -52,4 +57,5 @@ def silver_order_items(df: DataFrame, batch_date, as_of: str) -> DataFrame:
         net_amount(unit_price, quantity, discount).alias("net_amount"),
         _ts(as_of).alias("processing_timestamp"),
         batch.alias("partition_date"),
+        *keep,
     )

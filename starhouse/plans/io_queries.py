@@ -9,12 +9,13 @@ from ..operators import gold, scd2
 from ..session import scratch_path
 from ..sinks.incremental_fact import IncrementalFact
 from ..sinks.scd2_store import Scd2Store
-from ..sinks.star import create_star, export_dim, load_table
+from ..sinks.star import arranged, create_star, export_dim, load_table, load_verified
 from ..sinks.transactions import append_new, read_transactions
 from ..sinks.versioned import VersionedTable
 from ..sources.bronze import read_bronze, write_bronze
 from ..sources.fixtures import AS_OF_1, AS_OF_2, ITEMS_BATCH_DATE, bronze
-from ..sources.schemas import CUSTOMERS, PRODUCTS
+from ..sources.schemas import CUSTOMERS, FACT_SALES, PRODUCTS
+from ..streaming.fact import write_fact_stream
 from ..streaming.ingest import ingest
 from . import pipeline as P
 
@@ -56,10 +57,10 @@ def q_append_resent(spark, sf):
 
 
 def q_dim_exported(spark, sf):
-    """dim_customer exported as plain files, and read back."""
+    """dim_customer exported as one plain file, and read back."""
     path = scratch_path(spark, "dim-export")
     dim = gold.dim_customer(P.entity_v2(spark, sf, CUSTOMERS), AS_OF_2)
-    export_dim(dim, path)
+    export_dim(dim, path, single_file=True)
     return spark.read.schema(dim.schema).parquet(path)
 
 
@@ -116,6 +117,50 @@ def q_load_roundtrip(spark, sf):
     return spark.table(f"{db}.fact_sales")
 
 
+def q_verify_load_fact(spark, sf):
+    """The fact published and bulk-loaded, each compared by content with what was written; the report of the load."""
+    root = scratch_path(spark, "verify")
+    db = "verify_" + root.rsplit("-", 1)[-1]
+    table = VersionedTable(spark, f"{root}/files/fact_sales")
+    table.publish(P.fact(spark, sf).drop("date_partition"), as_of=AS_OF_2, verified=True)
+    create_star(spark, db, f"{root}/tables")
+    report = load_verified(spark, table.version_path(table.version()), f"{db}.fact_sales")
+    return spark.createDataFrame([tuple(report.values())], "rows_written long, rows_read long, columns int")
+
+
+def q_load_bucketed(spark, sf):
+    """Sales by category over the fact and dim_product loaded into tables bucketed by product: joined without an exchange."""
+    root = scratch_path(spark, "bucketed")
+    db = "bucketed_" + root.rsplit("-", 1)[-1]
+    create_star(spark, db, f"{root}/tables", buckets=8)
+    frames = {"dim_product": gold.dim_product(scd2.initial(P.entity_batch(spark, sf, PRODUCTS, "all"), PRODUCTS, AS_OF_1), AS_OF_2),
+              "fact_sales": arranged(P.fact(spark, sf).drop("date_partition"), FACT_SALES)}
+    for name, df in frames.items():
+        table = VersionedTable(spark, f"{root}/files/{name}")
+        table.publish(df, as_of=AS_OF_2)
+        load_table(spark, table.version_path(table.version()), f"{db}.{name}")
+    return sales_by_category(spark, db)
+
+
+def sales_by_category(spark, db):
+    fact, product = spark.table(f"{db}.fact_sales"), spark.table(f"{db}.dim_product")
+    joined = fact.join(product.select("product_natural_key", "category").hint("shuffle_hash"), "product_natural_key")
+    return joined.groupBy("category").agg(F.count(F.lit(1)).alias("n_items"), F.sum("net_amount").alias("net_amount"))
+
+
+def q_stream_fact(spark, sf):
+    """The fact streamed from five dated drops, a file a micro-batch: items before, with and after their orders."""
+    root = scratch_path(spark, "bronze")
+    orders, items = bronze(spark, sf, "orders"), bronze(spark, sf, "order_items")
+    third = lambda df, r: df.where(F.col("order_id") % 3 == r)
+    for day, entity, frame in (("20250301", "order_items", third(items, 0)), ("20250302", "orders", third(orders, 0).unionByName(third(orders, 1))),
+                               ("20250302", "order_items", third(items, 2)), ("20250303", "orders", third(orders, 2)), ("20250304", "order_items", third(items, 1))):
+        write_bronze(frame.coalesce(1), root, entity, day)
+    target = scratch_path(spark, "fact-stream")
+    write_fact_stream(spark, root, target, scratch_path(spark, "stream-ckpt"), AS_OF_2, files_per_trigger=1, partition_by=())
+    return spark.read.parquet(target)
+
+
 def registry():
     return {
         "bronze_csv_customers": _bronze_csv(CUSTOMERS),
@@ -130,4 +175,7 @@ def registry():
         "fact_published": q_fact_published,
         "fact_incremental": q_fact_incremental,
         "load_roundtrip": q_load_roundtrip,
+        "verify_load_fact": q_verify_load_fact,
+        "load_bucketed": q_load_bucketed,
+        "stream_fact": q_stream_fact,
     }

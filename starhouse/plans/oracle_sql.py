@@ -221,6 +221,16 @@ def fact_incremental_sql() -> str:
     return _cte(**_fact_ctes()) + "\nSELECT * EXCLUDE (sales_key) FROM fact"
 
 
+def verify_load_sql() -> str:
+    return _cte(**_fact_ctes()) + f"\nSELECT count(*) AS rows_written, count(*) AS rows_read, CAST({len(FACT_SALES.columns)} AS INTEGER) AS columns FROM fact"
+
+
+def load_bucketed_sql() -> str:
+    return _cte(**_fact_ctes(), p=_std_sql(PRODUCTS, "all")) + """
+SELECT p.category, count(*) AS n_items, CAST(sum(net_amount) AS DECIMAL(28,2)) AS net_amount
+FROM fact JOIN p ON product_natural_key = CAST(p.product_id AS VARCHAR) GROUP BY p.category"""
+
+
 def assign_sk_sql() -> str:
     return _cte(si=items_silver_sql()) + """
 SELECT order_item_id, product_id,
@@ -374,6 +384,9 @@ def oracles() -> dict[str, str]:
         "scd2_back_dated_customers": in_order_sql(CUSTOMERS, False),
         "fact_published": fact_sales_sql(),
         "fact_incremental": fact_incremental_sql(),
+        "verify_load_fact": verify_load_sql(),
+        "load_bucketed": load_bucketed_sql(),
+        "stream_fact": fact_incremental_sql(),
         "load_roundtrip": load_roundtrip_sql(),
     })
     return q

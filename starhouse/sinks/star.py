@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.schemas import STAR, TableRules
+from .verify import ContentMismatch, Watched, fingerprint, verify
 
 DIM_WRITE_OPTIONS = {"compression": "snappy", "parquet.enable.dictionary": "true",
                      "parquet.page.size": "1048576"}
@@ -41,6 +42,13 @@ def create_star(spark: SparkSession, database: str, root: str | None = None,
     return [f"{database}.{t}" for t in STAR]
 
 
+def arranged(df: DataFrame, rules: TableRules, partition: str | None = None) -> DataFrame:
+    """``df`` laid out for its files: rows of a partition value together in balanced tasks (AQE splits a large value and
+    joins small ones), each task's rows sorted by the declared sort key, strings as strings."""
+    spread = df.hint("rebalance", partition) if partition else df.hint("rebalance")
+    return spread.sortWithinPartitions(*([partition] if partition else []), *rules.sort_by)
+
+
 def load_table(spark: SparkSession, path: str, table: str, partition_cols: tuple[str, ...] = (),
                overwrite: bool = False) -> None:
     """Append gold Parquet files into a star table (``overwrite``: replace its rows), matching columns by position.
@@ -54,6 +62,23 @@ def load_table(spark: SparkSession, path: str, table: str, partition_cols: tuple
     files.write.insertInto(table, overwrite=overwrite)
 
 
+def load_verified(spark: SparkSession, path: str, table: str, partition_cols: tuple[str, ...] = (), overwrite: bool = True) -> dict:
+    """`load_table`, then the table's rows against the files': counts and content, by position. Raises on a difference."""
+    df = spark.read.parquet(path)
+    columns = [c for c in df.columns if c not in partition_cols]
+    watched = Watched(df.select(*columns))
+    before = None if overwrite else fingerprint(spark.table(table))
+    watched.df.write.insertInto(table, overwrite=overwrite)
+    if before is not None:
+        found = fingerprint(spark.table(table))
+        if found.rows - before.rows != watched.fingerprint.rows or found.total - before.total != watched.fingerprint.total:
+            raise ContentMismatch(f"{table}: wrote {watched.fingerprint}, grew from {before} to {found}")
+        return {"rows_written": watched.fingerprint.rows, "rows_read": found.rows - before.rows, "columns": len(columns)}
+    back = spark.table(table)
+    found = verify(watched.fingerprint, back.toDF(*columns), columns, table)
+    return {"rows_written": watched.fingerprint.rows, "rows_read": found.rows, "columns": len(back.columns)}
+
+
 def verify_load(spark: SparkSession, path: str, expected_rows: int | None = None,
                 expected_columns: int | None = None) -> dict:
     """Read a written target back: row count, column count, schema."""

@@ -2,7 +2,8 @@
 
 Appending the same batch twice must not duplicate orders (a duplicated order
 multiplies fact rows). Only rows whose key the whole target does not hold yet
-are written: one left-anti join on the key column, whatever the batch's size,
+are written: one left-anti join on the key column, whatever the batch's size
+(after a bitmap of the batch's keys has kept most of the target out of it),
 so a key re-sent in another partition is skipped too. A row without a key is
 compared as a whole row, with the target's rows without a key only; lineage
 columns (the run's time) are no part of it, or every re-run would write it again.
@@ -18,6 +19,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..operators.sieve import sifted
+from ..session import staged
 from .versioned import PARQUET_OPTIONS, path_missing
 
 #: Columns that say when a row was processed, not what it is.
@@ -58,7 +61,9 @@ def unseen(df: DataFrame, path: str, key: str, partition_by: str | None = None,
         return d.join(t, [F.col(f"d.{c}").eqNullSafe(F.col(f"t.{c}")) for c in columns], "left_anti")
 
     null = F.col(key).isNull()
-    return missing(df.filter(~null), existing.filter(~null), same).unionByName(
+    # most of a large target's keys are ruled out before the join's exchange
+    near = sifted(existing.filter(~null).select(*same), df, key)
+    return missing(df.filter(~null), near, same).unionByName(
         missing(df.filter(null), existing.filter(null), [c for c in df.columns if c not in LINEAGE]))
 
 
@@ -73,6 +78,8 @@ def append_new(df: DataFrame, path: str, key: str, partition_by: str = "partitio
     rows, so dropping exact in-batch duplicates (a file delivered twice) adds
     no shuffle; rows that share a key but differ are kept for the audit.
     """
+    if dedupe:          # read by the bitmap, the join and the range partitioner: computed once
+        df = staged(df, "append-batch")
     rows = unseen(df, path, key, partition_by, scope) if dedupe else df
     rows = rows.repartitionByRange(F.col(partition_by), F.col(key))
     if dedupe:

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .verify import Watched, verify
+
 PARQUET_OPTIONS = {"compression": "snappy"}
 
 COMMIT_SCHEMA = T.StructType([
@@ -84,19 +86,26 @@ class VersionedTable:
 
     def publish(self, df: DataFrame, partition_by: list[str] | None = None,
                 options: dict | None = None, as_of: str | None = None,
-                single_file: bool = False) -> int:
+                single_file: bool = False, verified: bool = False) -> int:
         """Write ``df`` as the next version, then commit it.
 
+        ``verified``: read it back first and compare rows and content; a version that differs isn't committed.
+
         ``single_file``: write one file, through one task. It is the caller's
         choice, for tables that are small by their nature (a calendar).
         """
         if single_file:
             df = df.coalesce(1)
         n = (self.version() or 0) + 1
+        watched = Watched(df) if verified else None
+        columns, df = df.columns, watched.df if verified else df
         writer = df.write.mode("overwrite").format("parquet").options(**{**PARQUET_OPTIONS, **(options or {})})
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.save(self.version_path(n))
+        if verified:
+            back = self.spark.read.schema(df.schema).parquet(self.version_path(n))
+            verify(watched.fingerprint, back, columns, self.version_path(n))
         self.log.append(n, as_of=as_of)
         return n
 
