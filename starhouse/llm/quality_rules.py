@@ -3,8 +3,9 @@
 `stats` takes counts of every whole text inside its row. `references` builds, over all documents of a
 language, the distribution of character classes and of its common words (those with at least
 ``MIN_SHARE`` of the language's words, so at most 1 / ``MIN_SHARE`` of them, and the rest as one more
-cell). `verdicts` compares each document with its language's reference by Jensen-Shannon distance
-(base 2, 0 to 1). A document fails if a distance is over its limit. Guards: a text under ``MIN_CHARS``
+cell). `histograms` counts each text's common words, found by a join with those small lists. `verdicts` compares
+each document with its language's reference by Jensen-Shannon distance (base 2, 0 to 1). The counts of `stats`
+are written once, without the texts, and both references and verdicts read them. A document fails if a distance is over its limit. Guards: a text under ``MIN_CHARS``
 word characters has no character verdict, one under ``MIN_WORDS`` words no word verdict, and a language
 whose documents hold fewer than ``MIN_REFERENCE`` words gives none.
 
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starhouse.llm.common import split_words, written
+from starhouse.llm.common import row_key, split_words, written
 
 MIN_SHARE = 0.004
 MIN_WORDS, MIN_CHARS, MIN_REFERENCE = 100, 300, 5_000
@@ -98,42 +99,72 @@ def references(docs: DataFrame, counted: DataFrame) -> DataFrame:
         F.array(*[F.when(whole > 0, F.col(c) / whole).otherwise(0.0) for c in CLASSES]).alias("ref_classes"))
 
 
+def _part(a: Column, b: Column) -> Column:
+    return F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(0.0)
+
+
+def _both(p: Column, q: Column) -> Column:
+    """A cell's share in the divergence of two distributions."""
+    return (_part(p, q) + _part(q, p)) / 2
+
+
+def _sum(x: Column) -> Column:
+    return F.aggregate(x, F.lit(0.0), lambda s, v: s + v)
+
+
+def _distance(divergence: Column) -> Column:
+    return F.sqrt(F.greatest(F.lit(0.0), F.least(F.lit(1.0), divergence)))
+
+
 def js_distance(p: Column, q: Column) -> Column:
     """Square root of the Jensen-Shannon divergence (base 2) of two arrays of shares."""
-    def part(a, b):
-        return F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(0.0)
+    return _distance(_sum(F.zip_with(p, q, _both)))
+
 
-    terms = F.zip_with(p, q, lambda a, b: (part(a, b) + part(b, a)) / 2)
-    total = F.aggregate(terms, F.lit(0.0), lambda s, x: s + x)
-    return F.sqrt(F.greatest(F.lit(0.0), F.least(F.lit(1.0), total)))
+_KEY = "__key"
+
+
+def histograms(docs: DataFrame, refs: DataFrame) -> DataFrame:
+    """``(__key, n_plain, n_all, cells)`` of the different texts of a language (see `_key`): words of the text and of all
+    its copies together, and over these the count and reference share of each common word. All other words are cell
+    0, of no share. Copies count together, which changes no share."""
+    lang = F.coalesce("lang", F.lit("")).alias("lang")
+    entries = refs.select("lang", F.posexplode(F.arrays_zip("ref_common", "ref_p")).alias("at", "e")) \
+        .select("lang", F.col("e.ref_common").alias("w"), (F.col("at") + 1).alias("cell"), F.col("e.ref_p").alias("q"))
+    entries = written(entries, "quality-common")          # Spark knows how small it is: a join without an exchange
+    words = docs.select(lang, _key().alias(_KEY), F.posexplode(_plain_words("text")).alias("place", "w"))
+    counts = words.join(entries, ["lang", "w"], "left").groupBy(_KEY, F.coalesce("cell", F.lit(0)).alias("cell")) \
+        .agg(F.count(F.lit(1)).alias("n"), F.max("q").alias("q"), F.max("place").alias("place"))
+    return counts.groupBy(_KEY).agg(F.sum("n").alias("n_all"), (F.max("place") + 1).alias("n_plain"), F.collect_list(F.struct("cell", "n", "q")).alias("cells"))
 
 
-def _with_rest(p: Column) -> Column:
-    return F.concat(p, F.array(F.greatest(F.lit(0.0), 1.0 - F.aggregate(p, F.lit(0.0), lambda s, x: s + x))))
+def _key() -> Column:
+    return row_key("lang", "text")
 
 
-def verdicts(counted: DataFrame, refs: DataFrame) -> DataFrame:
-    """``counted`` (with text, lang and the counts of `stats`) with char_distance, word_distance (null where
+def verdicts(counted: DataFrame, refs: DataFrame, hists: DataFrame) -> DataFrame:
+    """``counted`` (with lang, the counts of `stats` and `_key`) with char_distance, word_distance (null where
     a guard holds), base_failed and kept."""
     d = counted.withColumn("__k", F.coalesce("lang", F.lit("")))
-    d = d.join(refs.withColumnRenamed("lang", "__k"), "__k", "left")
-    codes = F.transform(_plain_words("text"), lambda w: F.array_position(F.col("ref_common"), w))
-    d = d.withColumn("__c", codes)
-    d = d.withColumn("__n", F.size("__c")).withColumn("__c", F.filter("__c", lambda x: x > 0))
-    hist = F.transform("ref_common", lambda w, i: (F.size("__c") - F.size(F.array_remove(F.col("__c"), (i + 1).cast("long")))) / F.col("__n"))
-    d = d.withColumn("__p", F.when(F.col("__n") > 0, hist))
+    d = d.join(refs.withColumnRenamed("lang", "__k"), "__k", "left").join(hists, _KEY, "left")
     ready = F.col("ref_words") >= MIN_REFERENCE
     classes = F.array(*[F.col(f"n_{c}") / F.col("word_chars") for c in CLASSES])
     d = d.withColumn("char_distance", F.when(ready & (F.col("word_chars") >= MIN_CHARS), js_distance(classes, F.col("ref_classes"))))
-    d = d.withColumn("word_distance", F.when(ready & (F.col("__n") >= MIN_WORDS) & F.col("ref_common").isNotNull(),
-                                             js_distance(_with_rest(F.col("__p")), _with_rest(F.col("ref_p")))))
+    share = lambda x: x.n / F.col("n_all")
+    common = F.filter("cells", lambda x: x.cell > 0)
+    there, rest = _sum(F.transform(common, lambda x: x.q)), F.greatest(F.lit(0.0), 1.0 - _sum(F.transform(common, share)))
+    whole = _sum(F.col("ref_p"))
+    # a common word that the text lacks has half its reference share in the divergence
+    divergence = _sum(F.transform(common, lambda x: _both(share(x), x.q))) + (whole - there) / 2 + _both(rest, F.greatest(F.lit(0.0), 1.0 - whole))
+    d = d.withColumn("word_distance", F.when(ready & (F.col("n_plain") >= MIN_WORDS) & F.col("ref_common").isNotNull(), _distance(divergence)))
     far = (F.coalesce("char_distance", F.lit(0.0)) > MAX_CHAR_DISTANCE) | (F.coalesce("word_distance", F.lit(0.0)) > MAX_WORD_DISTANCE)
     d = d.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~far)
-    return d.drop("__k", "__c", "__n", "__p", "ref_words", "ref_common", "ref_p", "ref_classes")
+    return d.drop("__k", _KEY, "n_plain", "n_all", "cells", "ref_words", "ref_common", "ref_p", "ref_classes")
 
 
 def judge(docs: DataFrame) -> DataFrame:
     """Counts and verdict of every document, against references over all of them."""
-    counted = stats(docs)
-    # written first, so that Spark knows how small it is and need not deal the documents by language
-    return verdicts(counted, written(references(docs, counted), "quality-references"))
+    counted = written(stats(docs).withColumn(_KEY, _key()).drop("text"), "quality-counts")
+    # written, so that Spark knows how small it is and need not deal the documents by language
+    refs = written(references(docs, counted), "quality-references")
+    return verdicts(counted, refs, histograms(docs, refs))
