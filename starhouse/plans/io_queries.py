@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import gold, scd2
+from ..operators.quality import order_rules, quality_gate
+from ..operators.silver import silver_orders
 from ..session import scratch_path
 from ..sinks.incremental_fact import IncrementalFact
 from ..sinks.scd2_store import Scd2Store
@@ -56,6 +58,15 @@ def q_append_resent(spark, sf):
     return read_transactions(spark, path, rows.schema)
 
 
+def q_quarantine_resent(spark, sf):
+    """The gate's rejected orders quarantined, and again by a later run: nothing is written twice, keys or not."""
+    path = scratch_path(spark, "quarantine")
+    for as_of in (AS_OF_1, AS_OF_2):
+        _, rejected = quality_gate(silver_orders(bronze(spark, sf, "orders_faulty"), as_of), order_rules())
+        append_new(rejected, path, "order_id", partition_by="order_year_month")
+    return spark.read.schema(rejected.schema).parquet(path).select("order_id", "customer_id", "order_amount", "failed_rules", "processing_timestamp")
+
+
 def q_dim_exported(spark, sf):
     """dim_customer exported as one plain file, and read back."""
     path = scratch_path(spark, "dim-export")
@@ -166,6 +177,7 @@ def registry():
         "bronze_csv_customers": _bronze_csv(CUSTOMERS),
         "bronze_csv_products": _bronze_csv(PRODUCTS),
         "append_resent": q_append_resent,
+        "quarantine_resent": q_quarantine_resent,
         "dim_exported": q_dim_exported,
         "scd2_store_customers": _store(CUSTOMERS),
         "scd2_store_products": _store(PRODUCTS),

@@ -19,7 +19,7 @@ from ..operators.silver import silver_order_items, silver_orders
 from ..sinks.scd2_store import RunStats, Scd2Store
 from ..sinks.star import DIM_WRITE_OPTIONS, create_star, load_table, verify_load
 from ..sinks.transactions import append_new, read_transactions
-from ..session import scratch_scope
+from ..session import scratch_scope, staged
 from ..sinks.versioned import VersionedTable
 from ..sources.bronze import read_bronze
 from ..sources.schemas import BRONZE, ENTITIES
@@ -74,7 +74,8 @@ def late_entity_batch(spark: SparkSession, lake: Lake, entity: str, batch_date:
 
 
 def _gate(rows: DataFrame, rules, lake: Lake, table: str, key: str) -> DataFrame:
-    good, rejected = quality_gate(rows, rules)
+    """The good rows; the rejected ones go to quarantine. The batch is parsed once, into a table that both read."""
+    good, rejected = quality_gate(staged(rows, "gate"), rules)
     append_new(rejected, lake.path("quarantine", table), key)
     return good
 
@@ -84,9 +85,10 @@ def orders_batch(spark: SparkSession, lake: Lake, batch_date: str, as_of: str,
     """Append one dated orders drop to silver (partitioned by order date); returns the rows written."""
     rows = silver_orders(read_bronze(spark, lake.path("bronze"), "orders", batch_date, on_bad=on_bad),
                          as_of, on_bad=on_bad)
-    if gate:
-        rows = _gate(rows, order_rules(), lake, "orders", "order_id")
-    return append_new(rows, lake.path("silver", "orders"), "order_id", scope=scope)
+    with scratch_scope(spark):
+        if gate:
+            rows = _gate(rows, order_rules(), lake, "orders", "order_id")
+        return append_new(rows, lake.path("silver", "orders"), "order_id", scope=scope)
 
 
 def order_items_batch(spark: SparkSession, lake: Lake, batch_date: str, as_of: str,
@@ -94,9 +96,10 @@ def order_items_batch(spark: SparkSession, lake: Lake, batch_date: str, as_of: s
     """Append one dated order-items drop to silver (partitioned by the batch date); returns the rows written."""
     rows = silver_order_items(read_bronze(spark, lake.path("bronze"), "order_items", batch_date),
                               batch_date, as_of)
-    if gate:
-        rows = _gate(rows, item_rules(), lake, "order_items", "order_item_id")
-    return append_new(rows, lake.path("silver", "order_items"), "order_item_id", scope=scope)
+    with scratch_scope(spark):
+        if gate:
+            rows = _gate(rows, item_rules(), lake, "order_items", "order_item_id")
+        return append_new(rows, lake.path("silver", "order_items"), "order_item_id", scope=scope)
 
 
 def silver(spark: SparkSession, lake: Lake, entity: str) -> DataFrame:
@@ -144,6 +147,27 @@ def _build_gold(spark, lake, as_of, date_range, verify):
     return versions
 
 
+def build_dim(spark: SparkSession, lake: Lake, name: str, as_of: str, date_range: tuple[str, str] | None = None,
+              single_file: bool = False) -> int:
+    """Publish one dimension by itself, compared by content with what is read back; returns its version."""
+    with scratch_scope(spark):
+        if name == "dim_date":
+            rows = gold.dim_date(spark, as_of, *date_range) if date_range else gold.dim_date_covering(silver(spark, lake, "orders"), "order_date", as_of)
+        else:
+            entity, build = {"dim_customer": ("customers", gold.dim_customer), "dim_product": ("products", gold.dim_product)}[name]
+            rows = build(Scd2Store(spark, lake.path("silver", entity), ENTITIES[entity]).current(), as_of)
+        return VersionedTable(spark, lake.path("gold", name)).publish(
+            rows, options=DIM_WRITE_OPTIONS, as_of=as_of, single_file=single_file or name == "dim_date", verified=True)
+
+
+def build_fact(spark: SparkSession, lake: Lake, as_of: str) -> int:
+    """Publish the fact by itself, compared by content with what is read back; returns its version."""
+    with scratch_scope(spark):
+        fact = gold.fact_sales(silver(spark, lake, "order_items"), silver(spark, lake, "orders"), as_of)
+        return VersionedTable(spark, lake.path("gold", "fact_sales")).publish(
+            fact, partition_by=["order_date_key"], as_of=as_of, verified=True)
+
+
 def refresh_fact(spark: SparkSession, lake: Lake, date_range: tuple[str, str], as_of: str) -> int:
     """Re-run the fact for order dates in ``date_range`` (yyyyMMdd, inclusive), in place.
 

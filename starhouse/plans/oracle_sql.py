@@ -288,6 +288,12 @@ def quality_split_orders_sql() -> str:
             f"FROM ({orders_silver_sql('orders_faulty')})")
 
 
+def quarantine_sql() -> str:
+    f = _failed(ORDER_RULES_SQL)
+    return (f"SELECT order_id, customer_id, order_amount, failed_rules, processing_timestamp FROM ("
+            f"SELECT DISTINCT *, {f} AS failed_rules FROM ({orders_silver_sql('orders_faulty')})) WHERE failed_rules <> ''")
+
+
 def audit_sql(rules: TableRules, src: str) -> str:
     t = rules.table
     parts = []
@@ -374,6 +380,7 @@ def oracles() -> dict[str, str]:
         "bronze_csv_customers": standardize_sql(CUSTOMERS),
         "bronze_csv_products": standardize_sql(PRODUCTS),
         "append_resent": orders_silver_sql(),
+        "quarantine_resent": quarantine_sql(),
         "dim_exported": dim_customer_sql(),
         "scd2_store_customers": merge_sql(CUSTOMERS),
         "scd2_store_products": merge_sql(PRODUCTS),

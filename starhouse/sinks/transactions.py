@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.sieve import sifted
-from ..session import staged
+from ..session import scratch_scope, staged
 from .versioned import PARQUET_OPTIONS, path_missing
 
 #: Columns that say when a row was processed, not what it is.
@@ -78,17 +78,18 @@ def append_new(df: DataFrame, path: str, key: str, partition_by: str = "partitio
     rows, so dropping exact in-batch duplicates (a file delivered twice) adds
     no shuffle; rows that share a key but differ are kept for the audit.
     """
-    if dedupe:          # read by the bitmap, the join and the range partitioner: computed once
-        df = staged(df, "append-batch")
-    rows = unseen(df, path, key, partition_by, scope) if dedupe else df
-    rows = rows.repartitionByRange(F.col(partition_by), F.col(key))
-    if dedupe:
-        rows = rows.distinct()
-    written = Observation()
-    (rows.observe(written, F.count(F.lit(1)).alias("rows"))
-     .write.mode("append").partitionBy(partition_by)
-     .options(**PARQUET_OPTIONS).parquet(path))
-    return written.get["rows"]
+    with scratch_scope(df.sparkSession):
+        if dedupe:
+            # read by the bitmap, the join and the range partitioner: computed once
+            df = staged(df, "append-batch")
+            rows = unseen(df, path, key, partition_by, scope).repartitionByRange(F.col(partition_by), F.col(key)).distinct()
+        else:
+            rows = df.repartitionByRange(F.col(partition_by), F.col(key))
+        written = Observation()
+        (rows.observe(written, F.count(F.lit(1)).alias("rows"))
+         .write.mode("append").partitionBy(partition_by)
+         .options(**PARQUET_OPTIONS).parquet(path))
+        return written.get["rows"]
 
 
 def read_transactions(spark, path: str, schema) -> DataFrame:
