@@ -9,15 +9,19 @@ A string of `SPAN` bytes that starts at two places, in one document or two, is r
 2. Rows are range-partitioned by (core, content, row) and sorted, so that a core that a third of all documents
    hold is dealt to many tasks. A context that occurs twice is repeated as a whole. Cores with one
    context are done. Of the others, one row for each distinct context goes on with its bytes.
-3. Cores with more than `BUCKET` contexts are refined: the windows of a context are halved by their offset, and
-   a half's windows share a longer core, which is the new key. Contexts alone under their key hold nothing
-   repeated; equal ones are repeated as a whole; a single offset's core is the whole window, so at most
-   eight rounds settle all.
-4. The remaining contexts, gathered by key into bins, are split into shards, and each shard's Burrows-Wheeler
-   transform is built. A bin's transforms are merged by refining their interleave: after k rounds, each
-   a stable sort by the preceding symbol and a step back, all suffixes stand in the order of their first k
-   bytes, and equal prefixes are intervals. No suffix is sorted anew. After SPAN rounds an interval with two
-   windows is a repeated string. Windows are found again by walking the transform back from the separators.
+3. Cores with more than `BUCKET` contexts are refined: the windows of a context are split by their offset into
+   the intervals of `LEVELS`, and an interval's windows share a longer core, which is the new key. Contexts alone
+   under their key hold nothing repeated; equal ones are repeated as a whole; a single offset's core is
+   the whole window, so the last level settles all.
+4. The remaining contexts are gathered by key into bins. A symbol is `WORD` bytes, so a context is as many strings
+   of symbols as a word has bytes, one for each remainder of the offset, and their suffixes are all its
+   suffixes. A bin is split into shards, and each shard's Burrows-Wheeler transform is built by sorting its own
+   suffixes. The transforms are merged by refining their interleave: after k rounds, each a stable sort by
+   the preceding symbol and a step back, all suffixes stand in the order of their first k symbols, and
+   equal prefixes are intervals. No suffix is sorted anew. After SPAN / WORD rounds an interval that holds two
+   windows is a repeated string.
+5. The spans of each document are joined to its text. Both joins with the texts first drop the documents that
+   a bitmap of fixed size (`SIEVE_BITS`) knows to have no row on the other side.
 
 The windows of a context all hold its core, so the removed bytes of a context are one span.
 Content is identified by 64-bit hashes of core and of context together; windows are otherwise compared in full.
@@ -41,12 +45,16 @@ from starhouse.llm.common import chunks, row_key, written
 
 SPAN = 200
 CORE = 64
-#: Distinct contexts of a key that are compared by merging; more are refined first.
-BUCKET = 512
-#: Bytes of a bin, about, and shards that it is merged from.
-BIN_BYTES = 400_000
+#: Distinct contexts of a key that are compared by merging; more are refined first, by offset intervals of 2^level.
+BUCKET = 4096
+LEVELS = (6, 4, 2, 0)
+#: Bytes of a bin, about, shards that it is merged from, and bytes of a symbol, which divide SPAN.
+BIN_BYTES = 50_000
 SHARDS = 4
-CHUNK_BYTES = 1_000_000
+WORD = 8
+#: Bits of the bitmap that keeps documents without rows on the other side out of a join, at most.
+SIEVE_BITS = 1 << 25
+CHUNK_BYTES = 200_000
 _BASE = 0x9E3779B97F4A7C15
 _CONTEXT = "key long, body binary, off int, m int, rk long, at long, shared boolean"
 _RESULTS = ("n_bytes", "n_removed", "n_spans", "kept")
@@ -132,9 +140,10 @@ _MARK = "kind int, rk long, k long, c long, span long, n long, full boolean, pro
 
 
 def _mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Decides rows sorted by (k, c): kind 0. The first and last core of a partition can go on in another, so their
-    rows come out undecided (kind 1, probe: first of its context here) with the core's numbers (kind 2: c and
-    span its least and greatest context) and the outermost contexts' (kind 3). A partition is held as a whole."""
+    """Decides rows sorted by (k, c): kind 0. The first and last core of a partition can go on in another, so the first
+    row here of each of their contexts comes out undecided (kind 1; the context's other rows are repeated), with the
+    core's numbers (kind 2: c and span its least and greatest context) and the outermost contexts' (kind 3). A
+    partition is held as a whole."""
     b = pd.concat(list(batches) or [pd.DataFrame({x: np.zeros(0, np.int64) for x in ("k", "c", "rk", "span")})])
     n = len(b)
     if not n:
@@ -154,8 +163,8 @@ def _mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                              "full": full[at], "probe": new_c[at] & mixed[at], **change})
 
     yield rows(np.flatnonzero(~edge & (full | (new_c & mixed))), 0)
-    at = np.flatnonzero(edge)
-    yield rows(at, 1, probe=new_c[at])
+    yield rows(np.flatnonzero(edge & ~new_c), 0, probe=False)
+    yield rows(np.flatnonzero(edge & new_c), 1, probe=True)
     for run in sorted({0, run_k[-1]}):
         own = np.flatnonzero(run_k == run)
         yield rows(own[:1], 2, n=len(own), c=c[own[:1]], span=c[own[-1:]])
@@ -179,13 +188,20 @@ def _decided(docs: DataFrame) -> DataFrame:
 
 def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The bytes of the contexts to be compared."""
+    columns = ["key", "body", "off", "m", "rk", "at", "shared"]
     for batch in batches:
-        for rk, text, probes in zip(batch["rk"].tolist(), batch["text"].tolist(), batch["probes"].tolist(), strict=True):
-            data, out = text.encode(), []
-            for p in probes:
-                at, off, m = p["span"] >> 16, p["span"] >> 8 & 255, (p["span"] & 255) + 1
-                out.append((p["k"], data[at:at + m - 1 + SPAN], off, m, rk, at, p["full"]))
-            yield pd.DataFrame(out, columns=["key", "body", "off", "m", "rk", "at", "shared"])
+        out, held = [], 0
+        for rk, text, keys, spans, shared in zip(*(batch[c].tolist() for c in ("rk", "text", "keys", "spans", "shared")), strict=True):
+            data = text.encode()
+            for key, span, full in zip(keys, spans, shared, strict=True):
+                at, off, m = int(span) >> 16, int(span) >> 8 & 255, (int(span) & 255) + 1
+                out.append((key, data[at:at + m - 1 + SPAN], off, m, rk, at, bool(full)))
+                held += m + SPAN
+            if held > 8 * CHUNK_BYTES:
+                yield pd.DataFrame(out, columns=columns)
+                out, held = [], 0
+        if out:
+            yield pd.DataFrame(out, columns=columns)
 
 
 def _halves(level: int):
@@ -207,8 +223,13 @@ def _halves(level: int):
     return made
 
 
+def _packed(first, length):
+    """A span as one number; spans of contexts are short."""
+    return (F.shiftleft(first.cast("long"), 16) + length).alias("span")
+
+
 def _span_rows(rows: DataFrame) -> DataFrame:
-    return rows.where("NOT shared").select("rk", F.col("at").alias("s"), (F.col("at") + F.col("m") - 1 + SPAN).alias("e"))
+    return rows.where("NOT shared").select("rk", _packed(F.col("at"), F.col("m") - 1 + SPAN))
 
 
 def _refined(contexts: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
@@ -218,7 +239,7 @@ def _refined(contexts: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         return contexts, []
     hot = F.broadcast(sizes)                              # at most one row for BUCKET contexts
     small, large, spans = [contexts.join(hot, "key", "left_anti")], contexts.join(hot, "key", "left_semi"), []
-    for level in range(7, -1, -1):
+    for level in LEVELS:
         rows = written(large.mapInPandas(_halves(level), _CONTEXT), "repeat-halves")
         content = F.xxhash64("body")
         keys = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), (F.min(content) == F.max(content)).alias("same")).where("n > 1")
@@ -226,7 +247,7 @@ def _refined(contexts: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         spans.append(_span_rows(known.where("same")))
         small.append(known.where(f"NOT same AND n <= {BUCKET}").select(*rows.columns))
         large = known.where(f"NOT same AND n > {BUCKET}").select(*rows.columns)
-        if large.limit(1).count() == 0:
+        if not level or large.limit(1).count() == 0:
             break
     out = small[0]
     for df in small[1:]:
@@ -234,46 +255,81 @@ def _refined(contexts: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     return out, spans
 
 
-def transform(bodies: list[bytes]) -> np.ndarray:
-    """Burrows-Wheeler transform of the texts, each ended by a separator (0; bytes are raised by one, and 0xFF is in no
-    UTF-8 text). Suffixes are equal from a separator on and then stand in the order of the texts."""
-    sym = np.frombuffer(b"\xff".join(bodies) + b"\xff", dtype=np.uint8) + np.uint8(1)
+def stable_order(x: np.ndarray) -> np.ndarray:
+    """Stable sort of small non-negative integers, 16 bits at a time."""
+    order = np.argsort(x.astype(np.uint16), kind="stable")
+    if len(x) and x.max() >= 1 << 16:
+        order = order[np.argsort((x >> 16).astype(np.uint16)[order], kind="stable")]
+    return order
+
+
+def symbols(bodies: list[bytes]):
+    """(symbol, text, offset) of the texts as strings of words: a text's words at offsets r, r + WORD, ... for each
+    remainder r, then a separator, 0. A word is its bytes as a number plus one; UTF-8 has no word of 0xFF alone, and
+    words cut short by the end are left out."""
+    data = np.frombuffer(b"".join(bodies) + bytes(WORD), dtype=np.uint8).astype(np.uint64)
+    n = len(data) - WORD
+    word = np.zeros(n, dtype=np.uint64)
+    for j in range(WORD):
+        word |= data[j:n + j] << np.uint64(8 * (WORD - 1 - j))
+    size = np.array([len(b) for b in bodies])
+    count = np.maximum(size - WORD + 1, 0)                       # words of each text
+    owner = np.repeat(np.arange(len(bodies)), count)
+    offset = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    share = np.maximum(-(-(count[:, None] - np.arange(WORD)) // WORD), 0) + 1     # symbols of each string, separator included
+    start = (np.cumsum(share) - share.reshape(-1)).reshape(-1, WORD)
+    sym = np.zeros(share.sum(), dtype=np.uint64)
+    text, at = np.zeros(len(sym), dtype=np.int32), np.full(len(sym), np.iinfo(np.int32).max, dtype=np.int32)
+    place = start[owner, offset % WORD] + offset // WORD
+    sym[place] = word[np.repeat(np.cumsum(size) - size, count) + offset] + np.uint64(1)
+    text[place], at[place] = owner, offset
+    return sym, text, at
+
+
+def ranks(sym: np.ndarray) -> np.ndarray:
+    """Symbols as small integers of the same order; the separator, the least, is 0."""
+    return np.unique(sym, return_inverse=True)[1].astype(np.int32)
+
+
+def suffix_order(sym: np.ndarray) -> np.ndarray:
+    """Order of the suffixes of strings that end with 0: up to the separator, then by place. By doubling."""
     n = len(sym)
     ends = np.flatnonzero(sym == 0)
-    left = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)          # bytes before the separator
-    rank, h, classes = sym.astype(np.int64), 1, 0
+    left = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)          # symbols before the separator
+    rank, h, classes = sym, 1, 0
     while True:
-        after = np.zeros(n, dtype=np.int64)
+        after = np.zeros(n, dtype=np.int32)
         at = np.flatnonzero(left >= h)
         after[at] = rank[at + h] + 1
-        pair = rank * (n + 258) + after
-        order = np.argsort(pair, kind="stable")
-        ordered = pair[order]
-        dense = np.cumsum(np.r_[0, ordered[1:] != ordered[:-1]])
-        rank = np.empty(n, dtype=np.int64)
+        order = stable_order(after)
+        order = order[stable_order(rank[order])]
+        a, b = rank[order], after[order]
+        dense = np.zeros(n, dtype=np.int32)
+        np.cumsum((a[1:] != a[:-1]) | (b[1:] != b[:-1]), out=dense[1:])
+        rank = np.empty(n, dtype=np.int32)
         rank[order] = dense
-        if dense[-1] + 1 == classes or h > left.max(initial=0):
-            return sym[order - 1]
+        if dense[-1] + 1 == classes or h > left.max():
+            return order
         classes, h = dense[-1] + 1, 2 * h
 
 
-def interleave(transforms: list[np.ndarray], depth: int):
-    """(rows, classes, steps, separators): all shards' rows in the order of their first ``depth`` symbols, the interval of
-    each, every row's step back, and the rows of the separators in the order of the texts."""
-    symbols = np.concatenate(transforms)
-    back, dollars, base = np.empty(len(symbols), dtype=np.int32), [], 0
+def interleave(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, classes): all shards' rows (numbered shard by shard) in the order of their first ``depth`` symbols, and
+    the interval of equal prefixes of each."""
+    bwt = np.concatenate(transforms)
+    back, dollars, base = np.empty(len(bwt), dtype=np.int32), [], 0
     for t in transforms:
-        back[base + np.argsort(t, kind="stable")] = np.arange(base, base + len(t), dtype=np.int32)
+        back[base + stable_order(t)] = np.arange(base, base + len(t), dtype=np.int32)
         dollars.append(np.arange(base, base + np.count_nonzero(t == 0), dtype=np.int32))
         base += len(t)
     dollars = np.concatenate(dollars)
-    rows, classes, intervals = np.arange(len(symbols), dtype=np.int32), np.zeros(len(symbols), dtype=np.int32), 1
+    rows, classes, intervals = np.arange(len(bwt), dtype=np.int32), np.zeros(len(bwt), dtype=np.int32), 1
     for _ in range(depth):
-        x = symbols[rows]
-        order = np.argsort(x, kind="stable")
+        x = bwt[rows]
+        order = stable_order(x)
         x, held = x[order], classes[order]
         rows = back[rows[order]]
-        rows[:len(dollars)] = dollars                     # nothing precedes the texts: separators keep their order
+        rows[:len(dollars)] = dollars                     # nothing precedes a string: separators keep their order
         new = (x[1:] != x[:-1]) | (held[1:] != held[:-1])
         new[:len(dollars) - 1] = False
         classes = np.zeros(len(x), dtype=np.int32)
@@ -281,87 +337,93 @@ def interleave(transforms: list[np.ndarray], depth: int):
         if classes[-1] + 1 == intervals:                  # no interval was cut: none will be
             break
         intervals = classes[-1] + 1
-    return rows, classes, back, dollars
-
-
-def places(symbols: np.ndarray, back: np.ndarray, dollars: np.ndarray, sizes: np.ndarray):
-    """(text, offset) of every row, by walking all texts back from their separators at once."""
-    text, offset = np.empty(len(symbols), dtype=np.int32), np.empty(len(symbols), dtype=np.int32)
-    alive, rows, at = np.arange(len(dollars)), dollars, sizes.astype(np.int32)
-    while len(alive):
-        text[rows], offset[rows] = alive, at
-        on = symbols[rows] != 0
-        alive, rows, at = alive[on], back[rows[on]], at[on] - 1
-    return text, offset
-
-
-_SHARD = "bin long, shard int, bwt binary, m array<int>, size array<int>, rk array<long>, at array<long>, shared array<boolean>"
-
+    return rows, classes
 
-def _shard(rows: pd.DataFrame) -> pd.DataFrame:
-    bodies = rows["body"].tolist()
-    return pd.DataFrame([{"bin": rows["bin"].iloc[0], "shard": rows["shard"].iloc[0], "bwt": transform(bodies).tobytes(), "m": rows["m"].tolist(),
-                          "size": [len(x) for x in bodies], "rk": rows["rk"].tolist(), "at": rows["at"].tolist(), "shared": rows["shared"].tolist()}])
 
-
-def _merged(shards: pd.DataFrame) -> pd.DataFrame:
-    """(rk, s, e) of the contexts of a bin with repeated windows."""
-    m, size, rk, at = (np.concatenate([np.asarray(x, dtype=np.int64) for x in shards[c]]) for c in ("m", "size", "rk", "at"))
-    shared = np.concatenate([np.asarray(x, dtype=bool) for x in shards["shared"]])
-    transforms = [np.frombuffer(x, dtype=np.uint8) for x in shards["bwt"]]
-    rows, classes, back, dollars = interleave(transforms, SPAN)
-    text, offset = places(np.concatenate(transforms), back, dollars, size)
-    text, offset = text[rows], offset[rows]
+def merged(bodies: list[bytes], depth: int):
+    """(text, offset, class) of all words of the texts, in the order of ``depth`` words from there."""
+    sym, text, at = symbols(bodies)
+    sym = ranks(sym)
+    ends = np.flatnonzero(sym == 0)
+    cuts = [0, *(ends[len(bodies) * (i + 1) // SHARDS * WORD - 1] + 1 for i in range(SHARDS) if len(bodies) * (i + 1) // SHARDS)]
+    places, transforms = [], []
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if a < b:
+            order = suffix_order(sym[a:b])
+            transforms.append(sym[a:b][order - 1])        # before a string stands the separator of another
+            places.append(order + a)
+    rows, classes = interleave(transforms, depth)
+    place = np.concatenate(places)[rows]
+    return text[place], at[place], classes
+
+
+def _merged(rows: pd.DataFrame) -> pd.DataFrame:
+    """(rk, span) of the contexts of a bin with repeated windows."""
+    m, rk, at, shared = (rows[c].to_numpy() for c in ("m", "rk", "at", "shared"))
+    text, offset, classes = merged(rows["body"].tolist(), SPAN // WORD)
     window = offset < m[text]
-    hit = window & (np.bincount(classes[window], minlength=classes[-1] + 1)[classes] >= 2) & ~shared[text]
+    hit = window & (np.bincount(classes[window], minlength=classes[-1] + 1)[classes] >= 2) & ~shared[text].astype(bool)
     least, most = np.full(len(m), SPAN * 2), np.full(len(m), -1)
     np.minimum.at(least, text[hit], offset[hit])
     np.maximum.at(most, text[hit], offset[hit])
     found = most >= 0
-    return pd.DataFrame({"rk": rk[found], "s": (at + least)[found], "e": (at + most)[found] + SPAN})
+    return pd.DataFrame({"rk": rk[found], "span": (at + least)[found] << 16 | (most - least + SPAN)[found]})
+
+
+def _sieve(docs: DataFrame, keys: DataFrame, found: bool) -> DataFrame:
+    """Rows of ``docs`` whose rk may be in ``keys`` (or surely isn't), by a bitmap: 64 bits a row, of bounded size."""
+    bits = max(1 << 10, min(SIEVE_BITS, 16 * keys.count()))
+    bit = F.pmod(F.xxhash64("rk", F.lit(1)), F.lit(bits))
+    word, mask = F.shiftright(bit, 6).alias("word"), F.expr("shiftleft(1L, CAST(at AS INT))")
+    table = keys.select(word, F.pmod(bit, F.lit(64)).alias("at")).groupBy("word").agg(F.bit_or(mask).alias("mask"))
+    marked = docs.withColumn("at", F.pmod(bit, F.lit(64))).join(F.broadcast(table.withColumnRenamed("word", "w")), word == F.col("w"), "left")
+    hit = F.coalesce(F.col("mask").bitwiseAND(mask) != 0, F.lit(False))
+    return marked.where(hit if found else ~hit).drop("at", "w", "mask")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """``(rk, spans)`` of the document rows that hold repeated strings; spans (s, e) may overlap."""
+    """``(rk, spans)`` of the document rows that hold repeated strings: an array of start << 16 | length; spans may overlap."""
     decided = written(_decided(docs), "repeat-decided")
-    probes = decided.where("probe").groupBy("rk").agg(F.collect_set(F.struct("k", "span", "full")).alias("probes"))
-    texts = docs.where(F.length("text") > 0).select(row_key("doc_id", "text").alias("rk"), "text")
+    probes = decided.where("probe").groupBy("rk").agg(F.collect_set(F.struct("k", "span", "full")).alias("p"))
+    probes = written(probes.select("rk", F.col("p.k").alias("keys"), F.col("p.span").alias("spans"), F.col("p.full").alias("shared")), "repeat-probes")
+    texts = _sieve(docs.select(row_key("doc_id", "text").alias("rk"), "text"), probes.select("rk"), True)
     contexts = written(texts.join(probes, "rk").mapInPandas(_cut, _CONTEXT), "repeat-texts")
     small, spans = _refined(contexts)
     total = contexts.agg(F.sum(F.length("body"))).first()[0] or 0
     bins = max(1, -(-total // BIN_BYTES))
-    dealt = small.withColumns({"bin": F.pmod(F.xxhash64("key"), F.lit(bins)), "shard": F.pmod(F.xxhash64("rk", "at"), F.lit(SHARDS)).cast("int")})
-    shards = dealt.groupBy("bin", "shard").applyInPandas(_shard, _SHARD)
-    spans.append(shards.groupBy("bin").applyInPandas(_merged, "rk long, s long, e long"))
+    dealt = small.withColumn("bin", F.pmod(F.xxhash64("key"), F.lit(bins)))
+    spans.append(dealt.groupBy("bin").applyInPandas(_merged, "rk long, span long"))
     first, last = F.shiftright("span", 16), F.col("span").bitwiseAND(255)
-    out = decided.where("full").select("rk", first.alias("s"), (first + last + SPAN).alias("e"))
+    out = decided.where("full").select("rk", _packed(first, last + SPAN))
     for df in spans:
         out = out.unionByName(df)
-    return out.groupBy("rk").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
+    return out.groupBy("rk").agg(F.collect_set("span").alias("spans"))
+
+
+def cut_spans(data: bytes, spans) -> tuple[int, int, bytes]:
+    """(bytes removed, maximal runs removed, bytes kept); spans may overlap, and those that touch are one run."""
+    packed = np.sort(np.asarray(spans, dtype=np.int64))
+    start, stop = packed >> 16, np.maximum.accumulate((packed >> 16) + (packed & 0xFFFF))
+    new = np.flatnonzero(np.r_[True, start[1:] > stop[:-1]])
+    begins, ends = start[new], stop[np.r_[new[1:] - 1, len(stop) - 1]]
+    kept = b"".join([data[a:b] for a, b in zip([0, *ends.tolist()], [*begins.tolist(), len(data)], strict=True)])
+    return len(data) - len(kept), len(new), kept
 
 
 def remove(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """``docs`` with n_bytes, n_removed, n_spans and the bytes that are kept, which needn't be whole characters."""
     @F.pandas_udf("n_removed long, n_spans long, kept binary")
     def cut(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
-        out = []
-        for text, found in zip(texts, spans, strict=True):
-            if text is None or found is None:
-                out.append((0, 0, None))
-                continue
-            data, kept, end, n = text.encode(), [], 0, 0
-            for x in sorted((x["s"], x["e"]) for x in found):
-                if x[0] > end or not n:                  # spans that touch are one
-                    kept.append(data[end:x[0]])
-                    n += 1
-                end = max(end, x[1])
-            kept = b"".join(kept) + data[end:]
-            out.append((len(data) - len(kept), n, kept))
-        return pd.DataFrame(out, columns=["n_removed", "n_spans", "kept"])
+        return pd.DataFrame([cut_spans((t or "").encode(), s) for t, s in zip(texts, spans, strict=True)], columns=["n_removed", "n_spans", "kept"])
 
     keep = [c for c in docs.columns if c not in _RESULTS]
     whole = F.coalesce("text", F.lit("")).cast("binary")
-    d = docs.select(*keep).withColumn("__rk", row_key("doc_id", "text")).join(spans.select(F.col("rk").alias("__rk"), F.col("spans").alias("__spans")), "__rk", "left")
-    d = d.withColumn("__cut", cut(F.when(F.col("__spans").isNotNull(), F.col("text")), F.col("__spans")))
-    return d.select(*keep, F.length(whole).cast("long").alias("n_bytes"), F.col("__cut.n_removed").alias("n_removed"), F.col("__cut.n_spans").alias("n_spans"),
-                    F.coalesce("__cut.kept", whole).alias("kept"))
+    spans = written(spans, "repeat-spans")
+    d = docs.select(F.struct(*keep).alias("d"), row_key("doc_id", "text").alias("rk"))
+    held = _sieve(d, spans.select("rk"), True).join(spans, "rk", "left").withColumn("text", F.col("d.text"))
+    n_bytes = F.length(whole).cast("long").alias("n_bytes")
+    kept = held.where("spans IS NULL").unionByName(_sieve(d, spans.select("rk"), False).select(
+        "d", "rk", F.lit(None).cast("array<long>").alias("spans"), F.col("d.text").alias("text")))
+    less = held.where("spans IS NOT NULL").withColumn("cut", cut("text", "spans"))
+    return less.select("d.*", n_bytes, "cut.*").unionByName(kept.select(
+        "d.*", n_bytes, F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), whole.alias("kept")))

@@ -82,19 +82,23 @@ def test_edges(spark):
     assert D.remove(empty, D.repeated_spans(empty)).count() == 0
 
 
-def test_transform_and_interleave():
+def test_merged_transforms_are_in_order():
+    """Every word of every text, in the order of three words from there, classes where they are equal."""
     rng = random.Random(1)
-    bodies = [bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 40))) for _ in range(30)] + [b"abcabcabc"] * 3
-    shards = [bodies[:11], bodies[11:12], bodies[12:]]
-    transforms = [D.transform(s) for s in shards]
-    symbols = np.concatenate(transforms)
-    rows, classes, back, dollars = D.interleave(transforms, 12)
-    text, offset = D.places(symbols, back, dollars, np.array([len(b) for b in bodies]))
-    got = [(text[r], offset[r]) for r in rows]
-    assert len(set(got)) == len(got) == sum(len(b) + 1 for b in bodies)
-    prefix = [bodies[t][o:o + 12] + (b"" if o + 12 <= len(bodies[t]) else b"\0") for t, o in got]
-    assert prefix == sorted(prefix)
-    assert all((a == b) == (x == y) for a, b, x, y in zip(prefix, prefix[1:], classes, classes[1:]))
+    bodies = [bytes(rng.choice(b"ab") for _ in range(rng.randint(24, 60))) for _ in range(30)] + [b"ab" * 20] * 3 + [b"short", b""]
+    text, offset, classes = D.merged(bodies, 3)
+    got = [(t, o, c) for t, o, c in zip(text.tolist(), offset.tolist(), classes.tolist()) if o < 2 ** 31 - 1]
+    assert sorted(g[:2] for g in got) == [(t, o) for t, b in enumerate(bodies) for o in range(len(b) - 7)]
+    whole = [(bodies[t][o:o + 24], c) for t, o, c in got if o + 24 <= len(bodies[t])]
+    assert [w for w, _ in whole] == sorted(w for w, _ in whole)
+    assert len({w for w, _ in whole}) == len({c for _, c in whole}) == len(set(whole))
+    assert any(a == b for a, b in zip(whole, whole[1:]))
+
+
+def test_orders_beyond_sixteen_bits():
+    x = np.random.default_rng(5).integers(0, 200_000, 5000).astype(np.int32)
+    assert D.stable_order(x).tolist() == np.argsort(x, kind="stable").tolist()
+    assert D.cut_spans(b"abcdefghij", [2 << 16 | 3, 5 << 16 | 1, 3 << 16 | 1, 8 << 16 | 2]) == (6, 2, b"abgh")
 
 
 def test_contexts_hold_each_window_once():
