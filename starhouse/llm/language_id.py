@@ -96,16 +96,19 @@ def _pieces(texts: list[str | None]):
 def fit(labelled: DataFrame, docs_per_lang: int = 2000, max_langs: int = 256,
         max_words: int = 60_000, max_grams: int = 120_000) -> Model:
     """Model of the ``text`` and ``lang`` columns of a labelled table. The sample and the model are bounded
-    by the parameters (at most ``max_langs`` languages, those with most rows)."""
+    by the parameters: about ``docs_per_lang`` different texts of a language, chosen by their hashes (a text that many
+    rows hold counts once), and at most ``max_langs`` languages, those with most different texts; a further language can't
+    be predicted."""
     rows = labelled.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.countDistinct(F.xxhash64("text")).alias("n"))
              .orderBy(F.desc("n"), "lang").limit(max_langs).collect()}
     langs = sorted(sizes)
     if not langs:
         return Model([], [{} for _ in range(LONGEST + 1)], np.zeros((0, 0), dtype=np.float32))
     scale = 1 << 20
     share = F.create_map(*[F.lit(x) for k in langs for x in (k, int(scale * min(1.0, docs_per_lang / sizes[k])))])
-    sample = rows.where(F.col("lang").isin(langs)).where(F.pmod(F.xxhash64("text"), F.lit(scale)) < share[F.col("lang")])
+    sample = rows.where(F.col("lang").isin(langs)).where(F.pmod(F.xxhash64("text"), F.lit(scale)) < share[F.col("lang")]) \
+        .groupBy("lang", F.xxhash64("text")).agg(F.first("text").alias("text")).select("text", "lang")
     counts = sample.mapInPandas(_counts, "lang string, n int, gram string, c long") \
         .groupBy("n", "gram").agg(*[F.sum(F.when(F.col("lang") == k, F.col("c")).otherwise(0)).alias(f"c{i}")
                                     for i, k in enumerate(langs)])
