@@ -35,11 +35,16 @@ def _count(text: str, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern)).cast("long")
 
 
-def _repeated_windows(words: Column) -> Column:
-    """Words inside 3-word windows that occur twice or more."""
-    at = F.sequence(F.lit(0), F.size(words) - 3)
-    return F.when(F.size(words) < 4, F.array().cast("array<bigint>")).otherwise(F.transform(
-        at, lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))))
+def _windows(hashes: Column) -> Column:
+    """Hashes of the 3-word windows of a text of four words or more, from those of its words."""
+    from_place = lambda k: F.slice(hashes, k, F.size(hashes) - 2)
+    pairs = F.zip_with(from_place(1), from_place(2), lambda a, b: F.xxhash64(a, b))
+    return F.when(F.size(hashes) < 4, F.array().cast("array<bigint>")).otherwise(
+        F.zip_with(pairs, from_place(3), lambda a, b: F.xxhash64(a, b)))
+
+
+#: A window's place in a text is put in this many lower bits beside its hash, to sort numbers and not pairs.
+_PLACE_BITS = 26
 
 
 def stats(docs: DataFrame) -> DataFrame:
@@ -47,12 +52,19 @@ def stats(docs: DataFrame) -> DataFrame:
     d = docs.withColumn("__t", F.coalesce("text", F.lit("")))
     d = d.withColumn("__w", split_words(F.col("__t")))
     lines = F.filter(F.split("__t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    d = d.withColumn("__l", lines).withColumn("__h", _repeated_windows(F.col("__w")))
+    d = d.withColumn("__l", lines).withColumn("__x", F.transform("__w", lambda w: F.xxhash64(w)))
+    d = d.withColumn("__h", _windows(F.col("__x")))
+    # equal windows stand side by side when sorted by hash and place; what is left of the hash there only
+    # orders them, whole hashes are compared
     d = d.withColumn("__s", F.when(F.size(F.array_distinct("__h")) < F.size("__h"), F.sort_array(
-        F.transform("__h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
-    again = F.filter("__s", lambda x, i: (F.get(F.col("__s"), i - 1).h == x.h) | (F.get(F.col("__s"), i + 1).h == x.h))
-    d = d.withColumn("__r", again)
-    covered = F.size(F.array_distinct(F.flatten(F.transform("__r", lambda x: F.array(x.i, x.i + 1, x.i + 2)))))
+        F.transform("__h", lambda h, i: F.shiftleft(h, _PLACE_BITS).bitwiseOR(i.cast("long"))))))
+    place = lambda x: x.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).cast("int")
+    hash_at = lambda i: F.get("__h", place(F.get("__s", i)))
+    same = lambda x, y: F.shiftright(x, _PLACE_BITS) == F.shiftright(y, _PLACE_BITS)
+    again = F.filter("__s", lambda x, i: (same(F.get("__s", i - 1), x) & (hash_at(i - 1) == hash_at(i)))
+                     | (same(F.get("__s", i + 1), x) & (hash_at(i + 1) == hash_at(i))))
+    d = d.withColumn("__r", F.transform(again, place))
+    covered = F.size(F.array_distinct(F.flatten(F.transform("__r", lambda i: F.array(i, i + 1, i + 2)))))
     marks = r"[!-/:-@\[-`{-~]"
     out = d.select(
         *[c for c in docs.columns if c not in _STAT_COLUMNS],
@@ -126,16 +138,16 @@ _KEY = "__key"
 
 def histograms(docs: DataFrame, refs: DataFrame) -> DataFrame:
     """``(__key, n_plain, n_all, cells)`` of the different texts of a language (see `_key`): words of the text and of all
-    its copies together, and over these the count and reference share of each common word. All other words are cell
-    0, of no share. Copies count together, which changes no share."""
-    lang = F.coalesce("lang", F.lit("")).alias("lang")
-    entries = refs.select("lang", F.posexplode(F.arrays_zip("ref_common", "ref_p")).alias("at", "e")) \
-        .select("lang", F.col("e.ref_common").alias("w"), (F.col("at") + 1).alias("cell"), F.col("e.ref_p").alias("q"))
+    its copies together, and over these the count of each common word, by its place in the reference. All other words are
+    cell 0. Copies count together, which changes no share."""
+    lang = F.coalesce("lang", F.lit(""))
+    word = F.xxhash64("lang", "w").alias("word")           # a 64-bit hash stands for a word here
+    entries = refs.select("lang", F.posexplode("ref_common").alias("at", "w")).select(word, (F.col("at") + 1).alias("cell"))
     entries = written(entries, "quality-common")          # Spark knows how small it is: a join without an exchange
-    words = docs.select(lang, _key().alias(_KEY), F.posexplode(_plain_words("text")).alias("place", "w"))
-    counts = words.join(entries, ["lang", "w"], "left").groupBy(_KEY, F.coalesce("cell", F.lit(0)).alias("cell")) \
-        .agg(F.count(F.lit(1)).alias("n"), F.max("q").alias("q"), F.max("place").alias("place"))
-    return counts.groupBy(_KEY).agg(F.sum("n").alias("n_all"), (F.max("place") + 1).alias("n_plain"), F.collect_list(F.struct("cell", "n", "q")).alias("cells"))
+    words = docs.select(lang.alias("lang"), _key().alias(_KEY), F.posexplode(_plain_words("text")).alias("place", "w")).select(_KEY, "place", word)
+    counts = words.join(entries, "word", "left").groupBy(_KEY, F.coalesce("cell", F.lit(0)).alias("cell")) \
+        .agg(F.count(F.lit(1)).alias("n"), F.max("place").alias("place"))
+    return counts.groupBy(_KEY).agg(F.sum("n").alias("n_all"), (F.max("place") + 1).alias("n_plain"), F.collect_list(F.struct("cell", "n")).alias("cells"))
 
 
 def _key() -> Column:
@@ -151,7 +163,7 @@ def verdicts(counted: DataFrame, refs: DataFrame, hists: DataFrame) -> DataFrame
     classes = F.array(*[F.col(f"n_{c}") / F.col("word_chars") for c in CLASSES])
     d = d.withColumn("char_distance", F.when(ready & (F.col("word_chars") >= MIN_CHARS), js_distance(classes, F.col("ref_classes"))))
     share = lambda x: x.n / F.col("n_all")
-    common = F.filter("cells", lambda x: x.cell > 0)
+    common = F.transform(F.filter("cells", lambda x: x.cell > 0), lambda x: F.struct(x.n.alias("n"), F.get("ref_p", x.cell - 1).alias("q")))
     there, rest = _sum(F.transform(common, lambda x: x.q)), F.greatest(F.lit(0.0), 1.0 - _sum(F.transform(common, share)))
     whole = _sum(F.col("ref_p"))
     # a common word that the text lacks has half its reference share in the divergence
