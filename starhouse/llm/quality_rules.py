@@ -144,7 +144,9 @@ def histograms(docs: DataFrame, refs: DataFrame) -> DataFrame:
     word = F.xxhash64("lang", "w").alias("word")           # a 64-bit hash stands for a word here
     entries = refs.select("lang", F.posexplode("ref_common").alias("at", "w")).select(word, (F.col("at") + 1).alias("cell"))
     entries = written(entries, "quality-common")          # Spark knows how small it is: a join without an exchange
-    words = docs.select(lang.alias("lang"), _key().alias(_KEY), F.posexplode(_plain_words("text")).alias("place", "w")).select(_KEY, "place", word)
+    # the key is taken before the words are laid out: beside posexplode it would hash the text once a word
+    listed = docs.select(lang.alias("lang"), _key().alias(_KEY), _plain_words("text").alias("ws"))
+    words = listed.select("lang", _KEY, F.posexplode("ws").alias("place", "w")).select(_KEY, "place", word)
     counts = words.join(entries, "word", "left").groupBy(_KEY, F.coalesce("cell", F.lit(0)).alias("cell")) \
         .agg(F.count(F.lit(1)).alias("n"), F.max("place").alias("place"))
     return counts.groupBy(_KEY).agg(F.sum("n").alias("n_all"), (F.max("place") + 1).alias("n_plain"), F.collect_list(F.struct("cell", "n")).alias("cells"))
