@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..session import staged
 from ..sources.schemas import FAR_FUTURE, EntitySpec
-from .keys import assign_dense_key, default_ranges, sampled
+from .keys import assign_dense_key
 from .scd2 import VERSION_COLS, entity_columns, max_key
 
 Drops = Sequence[tuple[DataFrame, str]]
@@ -77,8 +77,7 @@ def _closed(current: DataFrame, begun: DataFrame, spec: EntitySpec) -> DataFrame
 
 def _numbered(begun: DataFrame, spec: EntitySpec, start: int) -> DataFrame:
     order = ["_drop", "_is_new", spec.key, "hash_key"]
-    ranges = default_ranges(begun.sparkSession)
-    return assign_dense_key(begun, order, spec.sk, start=start, num_partitions=ranges, sample=sampled(begun.select(*order), ranges))
+    return assign_dense_key(begun, order, spec.sk, start=start)
 
 
 def backfill(existing: DataFrame, drops: Drops, spec: EntitySpec, max_sk: int | None = None) -> DataFrame:
