@@ -161,10 +161,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
 
 
 def _one_text(docs: DataFrame, sigs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(cid, text)`` of one row of each wanted class."""
+    """``(cid, text)`` of one row of each wanted class. Rows of one key are the same text and lie together after the join: of
+    several, one is taken there, so that texts are exchanged once."""
     rep = sigs.join(wanted, "cid").groupBy("cid").agg(F.min("rk").alias("rk"))
     keyed = docs.select(row_key("doc_id", "text").alias("rk"), "text")
-    return keyed.join(rep, "rk").select("cid", "text")
+    return keyed.join(rep.hint("merge"), "rk").groupBy("rk").agg(F.first("cid").alias("cid"), F.first("text").alias("text")).select("cid", "text")
 
 
 def _meeting(group: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -239,7 +240,7 @@ def links(docs: DataFrame, sigs: DataFrame, k: int, percent: int) -> DataFrame:
     members = classes.select(F.explode("bands").alias("bucket"), "cid", "n")
     shared = members.groupBy("bucket").agg(F.count("*").alias("m"), F.sum("n").alias("w")).where("m > 1")
     members = written(members.join(shared, "bucket").select("bucket", "cid", "n", "m", "w"), "minhash-members")
-    texts = written(_one_text(docs, sigs, members.select("cid").distinct()).dropDuplicates(["cid"]), "minhash-texts")
+    texts = written(_one_text(docs, sigs, members.select("cid").distinct()), "minhash-texts")
     # the text that others were copied from has the largest buckets: the first pivot of its buckets
     central = members.groupBy("cid").agg(F.sum("m").alias("central"))
     pivots = members.join(central, "cid").groupBy("bucket").agg(F.max(F.struct("central", "cid", "n")).alias("p"))
