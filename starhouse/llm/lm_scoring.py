@@ -5,10 +5,9 @@ each task trains on its own documents (`learn`), and the weights are averaged by
 the model's probability of an unknown word times (c+1) / (N' + V' + 1), c its count in all training documents,
 N' and V' the tokens and kinds of such words there.
 
-Counts cover all training documents. Each task sends (word hash, row, occurrences) for the words outside a
-head list of at most ``HEAD`` frequent words, and its sums for the head. The head list is the most
-frequent words (of a count, all or none) and only says which way a word's count travels: head counts go to every task, the others meet their
-rows in a join on the word, so no hot word is a large group. Words are identified by a 64-bit hash there.
+Counts cover all training documents and are made once, by word. The head list, at most ``HEAD`` of the most frequent words (of a count,
+all or none), goes to every task with its counts. For the words outside it each task sends (word hash, row, occurrences), which meet their
+counts in a join on the word, so no hot word is a large group. Words are identified by a 64-bit hash there.
 
 Defined cases: null text is empty (one end token); rows without training documents score by the untrained
 model; a row is identified by doc_id and text: repeated rows get equal results, and count as often in
@@ -19,6 +18,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -34,6 +34,8 @@ ROUNDS, STRETCH, STREAMS = 3, 200_000, 192
 #: Each task reads its first words, up to this number, several times in few streams, and all others once in many.
 FIRST = 20_000
 CHUNK_CHARS = 2_000_000
+#: A task sends its words' counts on whenever it holds so many.
+COUNTED = 200_000
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -41,8 +43,14 @@ def tokens(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
-def _hash(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word) - 2**63
+def _hashes(words: Iterable[bytes], n: int) -> np.ndarray:
+    """The words' hashes, those of ``xxhash64`` in SQL."""
+    return np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), np.uint64, n).view(np.int64)
+
+
+def _places(words: list[bytes], at: dict[bytes, int]) -> np.ndarray:
+    """The words' places, -1 for others."""
+    return np.fromiter(map(at.get, words, repeat(-1)), dtype=np.int64, count=len(words))
 
 
 def _pieces(texts):
@@ -50,13 +58,18 @@ def _pieces(texts):
 
 
 def frequent(counts: DataFrame, most: int) -> list[bytes]:
-    """The words (w, c) of largest count, by count and word: all those of a count, or none, and ``most`` at most. The least
-    count is found first, from one row for each count, so that no other word reaches the driver."""
+    """The words (w, c) of largest count, by count and word: all those of a count, or none, and ``most`` at most."""
+    return [w for w, _ in _frequent(counts, most)]
+
+
+def _frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """`frequent` words and their counts. The least count is found first, from one row for each count, so that no other word reaches
+    the driver."""
     spread = counts.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
     above = spread.withColumn("n", F.sum("n").over(Window.orderBy(F.desc("c")))).where(F.col("n") <= most)
     least = above.agg(F.min("c")).first()[0]
     rows = [] if least is None else counts.where(F.col("c") >= least).collect()
-    return [bytes(r.w) for r in sorted(rows, key=lambda r: (-r.c, bytes(r.w)))]
+    return sorted(((bytes(r.w), r.c) for r in rows), key=lambda x: (-x[1], x[0]))
 
 
 def learn(model: GRU, sequences: Iterable[list[int]]) -> int:
@@ -79,23 +92,35 @@ def learn(model: GRU, sequences: Iterable[list[int]]) -> int:
     return seen
 
 
-def fit(train: DataFrame) -> tuple[bytes, list[bytes], list[bytes]]:
-    """(weights, vocabulary after UNK and END, head words) from all training documents. The vocabulary and the head are the most frequent
-    words of all. Every task trains on its own documents; ``ROUNDS`` rounds, each over another part of the documents, start from
-    the last round's weights, averaged by tokens."""
-    spark = train.sparkSession
-
+def word_counts(train: DataFrame) -> DataFrame:
+    """(w, c) of all words of the training documents, written."""
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        c: Counter = Counter()
         for batch in batches:
-            texts = batch["text"].tolist()
-            for a, b in _pieces(texts):
-                c = Counter(w for t in texts[a:b] for w in tokens(t))
-                yield pd.DataFrame({"w": list(c), "c": list(c.values())})
+            for t in batch["text"]:
+                c.update(tokens(t))
+                if len(c) >= COUNTED:
+                    yield pd.DataFrame({"w": list(c), "c": list(c.values())})
+                    c.clear()
+        if c:
+            yield pd.DataFrame({"w": list(c), "c": list(c.values())})
+
+    return written(train.select("text").mapInPandas(counted, "w binary, c long").groupBy("w").agg(F.sum("c").alias("c")), "lm-words")
 
-    counts = written(train.select("text").mapInPandas(counted, "w binary, c long").groupBy("w").agg(F.sum("c").alias("c")), "lm-words")
+
+def fit(train: DataFrame) -> tuple[bytes, list[bytes], list[bytes]]:
+    """(weights, vocabulary after UNK and END, head words) from all training documents. The vocabulary and the head are the most frequent
+    words of all."""
+    counts = word_counts(train)
     head = frequent(counts, HEAD)
     drop_written(counts)
-    vocab = head[:VOCAB]
+    return train_model(train, head[:VOCAB]), head[:VOCAB], head
+
+
+def train_model(train: DataFrame, vocab: list[bytes]) -> bytes:
+    """The model's weights. Every task trains on its own documents; ``ROUNDS`` rounds, each over another part of the documents, start from
+    the last round's weights, averaged by tokens."""
+    spark = train.sparkSession
     weights = GRU(len(vocab) + 2).to_bytes()
     part = F.pmod(F.xxhash64(row_key("doc_id", "text"), F.lit(1)), F.lit(ROUNDS))
     for r in range(ROUNDS):
@@ -125,60 +150,47 @@ def fit(train: DataFrame) -> tuple[bytes, list[bytes], list[bytes]]:
         groups = written(parts.mapInPandas(averaged, "weights binary, tokens long"), "lm-averages")
         made = groups.coalesce(1).mapInPandas(averaged, "weights binary, tokens long").collect()
         weights = bytes(made[0].weights) if made else weights
-    return weights, vocab, head
+    return weights
 
 
 def postings(docs: DataFrame, head: list[bytes]) -> DataFrame:
-    """``(wh, rk, tf, c)``: for a word outside the head its row and occurrences, for a head word (rk 0, tf 0)
-    a task's sum; c: occurrences in training rows."""
+    """``(wh, rk, tf)``: the words outside the head, their rows and occurrences there."""
     sent = docs.sparkSession.sparkContext.broadcast(head)
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at = {w: i for i, w in enumerate(sent.value)}
-        sums = np.zeros(len(at), dtype=np.int64)
         for batch in batches:
-            texts, rk, train = batch["text"].tolist(), batch["rk"].to_numpy(), batch["train"].to_numpy(dtype=bool)
+            texts, rk = batch["text"].tolist(), batch["rk"].to_numpy()
             for a, b in _pieces(texts):
                 lists = [tokens(t) for t in texts[a:b]]
                 n = np.array([len(x) for x in lists])
-                if not n.sum():
+                words = list(chain.from_iterable(lists))
+                tail = np.flatnonzero(_places(words, at) < 0)
+                if not len(tail):
                     continue
-                codes, distinct = pd.factorize(np.array([w for x in lists for w in x], dtype=object))
-                of_head = np.array([at.get(w, -1) for w in distinct])
                 doc = np.repeat(np.arange(len(lists)), n)
-                learn = train[a:b][doc]
-                h = of_head[codes]
-                sums += np.bincount(h[(h >= 0) & learn], minlength=len(sums))
-                tail = h < 0
-                if not tail.any():
-                    continue
-                pair, tf = np.unique(doc[tail] * len(distinct) + codes[tail], return_counts=True)
-                doc, code = np.divmod(pair, len(distinct))
-                hashes = np.zeros(len(distinct), dtype=np.int64)
-                for i in np.flatnonzero(of_head < 0):
-                    hashes[i] = _hash(distinct[i])
-                yield pd.DataFrame({"wh": hashes[code], "rk": rk[a:b][doc], "tf": tf, "c": np.where(train[a:b][doc], tf, 0)})
-        some = np.flatnonzero(sums)
-        yield pd.DataFrame({"wh": [_hash(sent.value[i]) for i in some], "rk": 0, "tf": 0, "c": sums[some]})
+                kinds: dict = {}                                  # words outside the head, numbered as they come
+                codes = np.fromiter((kinds.setdefault(words[i], len(kinds)) for i in tail.tolist()), np.int64, len(tail))
+                pair, tf = np.unique(doc[tail] * len(kinds) + codes, return_counts=True)
+                doc, code = np.divmod(pair, len(kinds))
+                yield pd.DataFrame({"wh": _hashes(kinds, len(kinds))[code], "rk": rk[a:b][doc], "tf": tf})
 
-    return docs.select(row_key("doc_id", "text").alias("rk"), "train", "text").mapInPandas(made, "wh long, rk long, tf long, c long")
+    return docs.select(row_key("doc_id", "text").alias("rk"), "text").mapInPandas(made, "wh long, rk long, tf long")
 
 
 def score(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text, boolean train) with n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
-    weights, vocab, head = fit(docs.where("train"))
-    posts = written(postings(docs, head), "lm-postings")
-    counts = written(posts.groupBy("wh").agg(F.sum("c").alias("c")), "lm-counts")
-    ends = docs.where("train").count()
-    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
+    train = docs.where("train")
+    counts = word_counts(train)
+    found = _frequent(counts, HEAD)
+    head, head_counts = [w for w, _ in found], np.array([c for _, c in found], dtype=np.int64)
+    vocab = head[:VOCAB]
+    weights = train_model(train, vocab)
+    ends = train.count()
+    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, kinds = sums.n + ends, sums.v + (ends > 0)
-    head_hash = spark.createDataFrame([(_hash(w), i) for i, w in enumerate(head)], "wh long, i int")
-    head_counts = np.zeros(len(head), dtype=np.int64)
-    for r in counts.join(F.broadcast(head_hash), "wh").collect():      # at most HEAD rows
-        head_counts[r.i] = r.c
-    known = head_counts[:len(vocab)]
-    rest = float(np.log10(total - ends - known.sum() + kinds - (ends > 0) - (known > 0).sum() + 1))
+    rest = float(np.log10(sums.n - head_counts[:len(vocab)].sum() + sums.v - len(vocab) + 1))
     sent = spark.sparkContext.broadcast((weights, head, head_counts, len(vocab), ends))
 
     @F.pandas_udf("n_tokens long, n_tail long, known long, base double, oov double, lm double")
@@ -189,29 +201,27 @@ def score(docs: DataFrame) -> DataFrame:
         logs = np.append(np.log10(counts + 1.0), 0.0)              # the last place: words outside the head
         seen = np.append(counts > 0, False)
         for batch in batches:
-            texts, parts = batch.tolist(), []
+            texts, parts, seqs = batch.tolist(), [], []
             for a, b in _pieces(texts):
                 lists = [tokens(t) for t in texts[a:b]]
                 n = np.array([len(x) for x in lists])
-                flat = [w for x in lists for w in x]
-                codes, distinct = pd.factorize(np.array(flat, dtype=object)) if flat else (np.zeros(0, int), [])
-                h = np.array([at.get(w, -1) for w in distinct], dtype=np.int64)[codes] if flat else np.zeros(0, np.int64)
+                h = _places(list(chain.from_iterable(lists)), at)
                 ids = np.where((h >= 0) & (h < n_vocab), h + 2, UNK)
-                edge = np.concatenate([[0], np.cumsum(n)])
-                seqs = [np.append(ids[x:y], END) for x, y in zip(edge[:-1], edge[1:], strict=True)]
-                add = lambda v: np.bincount(np.repeat(np.arange(len(n)), n), weights=v, minlength=len(n))  # noqa: B023, E731
+                seqs += np.split(np.insert(ids.astype(np.int32), np.cumsum(n), END), np.cumsum(n + 1)[:-1])
+                doc = np.repeat(np.arange(len(n)), n)
+                add = lambda v: np.bincount(doc, weights=v, minlength=len(n))  # noqa: B023, E731
                 parts.append(pd.DataFrame({
                     "n_tokens": n + 1, "n_tail": add(h < 0).astype(np.int64), "known": add(seen[h]).astype(np.int64) + (ends > 0),
-                    "base": add(logs[h]) + np.log10(ends + 1.0), "oov": add(np.where(ids == UNK, logs[h] - rest, 0.0)),
-                    "lm": model.score(seqs) / np.log(10)}))
-            yield pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(
+                    "base": add(logs[h]) + np.log10(ends + 1.0), "oov": add(np.where(ids == UNK, logs[h] - rest, 0.0))}))
+            yield pd.concat(parts, ignore_index=True).assign(lm=model.score(seqs) / np.log(10)) if parts else pd.DataFrame(
                 {"n_tokens": [], "n_tail": [], "known": [], "base": [], "oov": [], "lm": []})
 
     keep = [c for c in docs.columns if c not in ("n_tokens", "n_known", "train_tokens", "base_score", "score")]
     rows = docs.select(*keep, row_key("doc_id", "text").alias("__rk"), scored("text").alias("__s"))
-    tail = posts.where("tf > 0").join(counts.withColumnRenamed("c", "count"), "wh").groupBy("rk").agg(
-        F.sum("tf").alias("tf"), F.sum(F.when(F.col("count") > 0, F.col("tf")).otherwise(0)).alias("known"),
-        F.sum(F.col("tf") * F.log10(F.col("count") + 1.0)).alias("log")).withColumnsRenamed({"rk": "__rk"})
+    rare = counts.where(F.col("c") < int(head_counts[-1])) if found else counts          # the head has all words of a count or none
+    tail = postings(docs, head).join(rare.groupBy(F.xxhash64("w").alias("wh")).agg(F.sum("c").alias("c")), "wh", "left").groupBy("rk").agg(
+        F.sum("tf").alias("tf"), F.sum(F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).alias("known"),
+        F.sum(F.col("tf") * F.log10(F.coalesce("c", F.lit(0)) + 1.0)).alias("log")).withColumnsRenamed({"rk": "__rk"})
     joined = rows.join(tail.select("__rk", F.struct("tf", "known", "log").alias("__t")), "__rk", "left")
     times = F.coalesce(F.col("__t.tf") / F.col("__s.n_tail"), F.lit(1.0))      # rows of equal id and text are summed
     log = F.coalesce(F.col("__t.log") / times, F.lit(0.0))
