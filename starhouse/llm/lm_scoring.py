@@ -6,8 +6,8 @@ the model's probability of an unknown word times (c+1) / (N' + V' + 1), c its co
 N' and V' the tokens and kinds of such words there.
 
 Counts cover all training documents and are made once, by word. The head list, at most ``HEAD`` of the most frequent words (of a count,
-all or none), goes to every task with its counts. For the words outside it each task sends (word hash, row, occurrences), which meet their
-counts in a join on the word, so no hot word is a large group. Words are identified by a 64-bit hash there.
+all or none), goes to every task with its counts. A document's words outside it (hash, occurrences) are written beside its sums,
+in one pass over the texts, and meet their counts in a join on the word, so no hot word is a large group. Words are identified by a 64-bit hash there.
 
 Defined cases: null text is empty (one end token); rows without training documents score by the untrained
 model; a row is identified by doc_id and text: repeated rows get equal results, and count as often in
@@ -22,9 +22,11 @@ from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starhouse.llm.common import chunks, drop_written, row_key, written
 from starhouse.llm.gru import END, GRU, UNK
@@ -153,29 +155,15 @@ def train_model(train: DataFrame, vocab: list[bytes]) -> bytes:
     return weights
 
 
-def postings(docs: DataFrame, head: list[bytes]) -> DataFrame:
-    """``(wh, rk, tf)``: the words outside the head, their rows and occurrences there."""
-    sent = docs.sparkSession.sparkContext.broadcast(head)
-
-    def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at = {w: i for i, w in enumerate(sent.value)}
-        for batch in batches:
-            texts, rk = batch["text"].tolist(), batch["rk"].to_numpy()
-            for a, b in _pieces(texts):
-                lists = [tokens(t) for t in texts[a:b]]
-                n = np.array([len(x) for x in lists])
-                words = list(chain.from_iterable(lists))
-                tail = np.flatnonzero(_places(words, at) < 0)
-                if not len(tail):
-                    continue
-                doc = np.repeat(np.arange(len(lists)), n)
-                kinds: dict = {}                                  # words outside the head, numbered as they come
-                codes = np.fromiter((kinds.setdefault(words[i], len(kinds)) for i in tail.tolist()), np.int64, len(tail))
-                pair, tf = np.unique(doc[tail] * len(kinds) + codes, return_counts=True)
-                doc, code = np.divmod(pair, len(kinds))
-                yield pd.DataFrame({"wh": _hashes(kinds, len(kinds))[code], "rk": rk[a:b][doc], "tf": tf})
-
-    return docs.select(row_key("doc_id", "text").alias("rk"), "text").mapInPandas(made, "wh long, rk long, tf long")
+def _tail(lists: list[list[bytes]], words: list[bytes], h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The kinds of words outside the head (place -1) in each text; their hashes and occurrences there, text by text."""
+    tail = np.flatnonzero(h < 0)
+    kinds: dict = {}                                              # such words, numbered as they come
+    codes = np.fromiter((kinds.setdefault(words[i], len(kinds)) for i in tail.tolist()), np.int64, len(tail))
+    doc = np.repeat(np.arange(len(lists)), [len(x) for x in lists])[tail]
+    pair, tf = np.unique(doc * max(1, len(kinds)) + codes, return_counts=True)
+    doc, code = np.divmod(pair, max(1, len(kinds)))
+    return np.bincount(doc, minlength=len(lists)), _hashes(kinds, len(kinds))[code], tf
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -193,41 +181,52 @@ def score(docs: DataFrame) -> DataFrame:
     rest = float(np.log10(sums.n - head_counts[:len(vocab)].sum() + sums.v - len(vocab) + 1))
     sent = spark.sparkContext.broadcast((weights, head, head_counts, len(vocab), ends))
 
-    @F.pandas_udf("n_tokens long, n_tail long, known long, base double, oov double, lm double")
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, head, counts, n_vocab, ends = sent.value
         model = GRU.from_bytes(weights)
         at = {w: i for i, w in enumerate(head)}
         logs = np.append(np.log10(counts + 1.0), 0.0)              # the last place: words outside the head
-        seen = np.append(counts > 0, False)
         for batch in batches:
-            texts, parts, seqs = batch.tolist(), [], []
+            texts, parts, seqs, tails = batch.column(batch.num_columns - 1).to_pylist(), [], [], []
+            if not texts:
+                continue
             for a, b in _pieces(texts):
                 lists = [tokens(t) for t in texts[a:b]]
                 n = np.array([len(x) for x in lists])
-                h = _places(list(chain.from_iterable(lists)), at)
+                words = list(chain.from_iterable(lists))
+                h = _places(words, at)
                 ids = np.where((h >= 0) & (h < n_vocab), h + 2, UNK)
                 seqs += np.split(np.insert(ids.astype(np.int32), np.cumsum(n), END), np.cumsum(n + 1)[:-1])
+                tails.append(_tail(lists, words, h))
                 doc = np.repeat(np.arange(len(n)), n)
                 add = lambda v: np.bincount(doc, weights=v, minlength=len(n))  # noqa: B023, E731
-                parts.append(pd.DataFrame({
-                    "n_tokens": n + 1, "n_tail": add(h < 0).astype(np.int64), "known": add(seen[h]).astype(np.int64) + (ends > 0),
-                    "base": add(logs[h]) + np.log10(ends + 1.0), "oov": add(np.where(ids == UNK, logs[h] - rest, 0.0))}))
-            yield pd.concat(parts, ignore_index=True).assign(lm=model.score(seqs) / np.log(10)) if parts else pd.DataFrame(
-                {"n_tokens": [], "n_tail": [], "known": [], "base": [], "oov": [], "lm": []})
-
-    keep = [c for c in docs.columns if c not in ("n_tokens", "n_known", "train_tokens", "base_score", "score")]
-    rows = docs.select(*keep, row_key("doc_id", "text").alias("__rk"), scored("text").alias("__s"))
+                n_tail = add(h < 0).astype(np.int64)
+                parts.append((n + 1, n_tail, n - n_tail + (ends > 0), add(logs[h]) + np.log10(ends + 1.0),
+                              add(np.where(ids == UNK, logs[h] - rest, 0.0))))
+            sizes, hashes, tf = (np.concatenate(x) for x in zip(*tails, strict=True))
+            starts = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
+            made = [*(pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)), pa.array(model.score(seqs) / np.log(10)),
+                    pa.ListArray.from_arrays(starts, pa.array(hashes)), pa.ListArray.from_arrays(starts, pa.array(tf, pa.int64()))]
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + made, names=[*batch.schema.names[:-1], *made_names])
+
+    keep = [c for c in docs.columns if c not in ("text", "n_tokens", "n_known", "train_tokens", "base_score", "score")]
+    given = docs.select(*keep, row_key("doc_id", "text").alias("__rk"), "text")
+    made_fields = [T.StructField(c, T.LongType()) for c in ("__n", "__n_tail", "__known")] + [
+        T.StructField(c, T.DoubleType()) for c in ("__base", "__oov", "__lm")] + [
+        T.StructField(c, T.ArrayType(T.LongType())) for c in ("__wh", "__tf")]
+    made_names = [f.name for f in made_fields]
+    rows = written(given.mapInArrow(scored, T.StructType(given.schema.fields[:-1] + made_fields)), "lm-rows")
+    posts = rows.select("__rk", F.inline(F.arrays_zip(F.col("__wh").alias("wh"), F.col("__tf").alias("tf"))))
     rare = counts.where(F.col("c") < int(head_counts[-1])) if found else counts          # the head has all words of a count or none
-    tail = postings(docs, head).join(rare.groupBy(F.xxhash64("w").alias("wh")).agg(F.sum("c").alias("c")), "wh", "left").groupBy("rk").agg(
+    tail = posts.join(rare.groupBy(F.xxhash64("w").alias("wh")).agg(F.sum("c").alias("c")), "wh", "left").groupBy("__rk").agg(
         F.sum("tf").alias("tf"), F.sum(F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).alias("known"),
-        F.sum(F.col("tf") * F.log10(F.coalesce("c", F.lit(0)) + 1.0)).alias("log")).withColumnsRenamed({"rk": "__rk"})
+        F.sum(F.col("tf") * F.log10(F.coalesce("c", F.lit(0)) + 1.0)).alias("log"))
     joined = rows.join(tail.select("__rk", F.struct("tf", "known", "log").alias("__t")), "__rk", "left")
-    times = F.coalesce(F.col("__t.tf") / F.col("__s.n_tail"), F.lit(1.0))      # rows of equal id and text are summed
+    times = F.coalesce(F.col("__t.tf") / F.col("__n_tail"), F.lit(1.0))        # rows of equal id and text are summed
     log = F.coalesce(F.col("__t.log") / times, F.lit(0.0))
     return joined.select(
-        *[c for c in keep if c != "text"], "__s.n_tokens",
-        (F.col("__s.known") + F.coalesce(F.col("__t.known") / times, F.lit(0.0))).cast("long").alias("n_known"),
+        *keep, F.col("__n").alias("n_tokens"),
+        (F.col("__known") + F.coalesce(F.col("__t.known") / times, F.lit(0.0))).cast("long").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("__s.base") + log - F.col("__s.n_tokens") * F.lit(float(np.log10(total + kinds + 1)))).alias("base_score"),
-        (F.col("__s.lm") + F.col("__s.oov") + log).alias("score"))
+        (F.col("__base") + log - F.col("__n") * F.lit(float(np.log10(total + kinds + 1)))).alias("base_score"),
+        (F.col("__lm") + F.col("__oov") + log).alias("score"))
