@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from starhouse.session import delete_path, scratch_path
 
 #: Blank characters of the word rule: space and \t \n \v \f \r, as bytes.split() has them.
 BLANK = r"[\x20\x09-\x0D]"
+#: Bytes of rows that go to a Python worker at once. Arrow buffers, outside the heap, and the worker's copies follow it.
+BATCH_BYTES = 4 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -49,6 +53,15 @@ def drop_written(*frames: DataFrame | None) -> None:
             delete_path(df.sparkSession, path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on whole texts go to Python workers in batches of at most `BATCH_BYTES`: 10,000 texts at once, as rows are
+    counted by default, take tens of MB a task in the JVM's buffers and again in the worker. A smaller limit stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    size = re.fullmatch(r"(\d+)([bkmgt]?)b?", spark.conf.get(name).lower())      # as 67108864b, 64m, 64MB
+    if not size or int(size[1]) << 10 * "bkmgt".index(size[2] or "b") > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def chunks(sizes, limit: int):
     """Consecutive (start, end) ranges whose sizes add up to about ``limit``; one item may exceed it."""
     start, total = 0, 0

@@ -36,6 +36,8 @@ LONGEST = 5
 _WORD = re.compile(r"[^\W\d_]+")
 #: Characters handled together inside a task; bounds the task's memory.
 CHUNK_CHARS = 2_000_000
+#: As many when texts are predicted: each word takes a row of votes.
+PREDICT_CHARS = 500_000
 
 
 def words(text: str | None) -> list[str]:
@@ -88,9 +90,9 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         yield pd.DataFrame({"lang": lang, "n": n, "gram": list(found), "c": list(found.values())})
 
 
-def _pieces(texts: list[str | None]):
+def _pieces(texts: list[str | None], limit: int = CHUNK_CHARS):
     from starhouse.llm.common import chunks
-    return chunks([len(t or "") + 1 for t in texts], CHUNK_CHARS)
+    return chunks([len(t or "") + 1 for t in texts], limit)
 
 
 def fit(labelled: DataFrame, docs_per_lang: int = 2000, max_langs: int = 256,
@@ -99,6 +101,8 @@ def fit(labelled: DataFrame, docs_per_lang: int = 2000, max_langs: int = 256,
     by the parameters: about ``docs_per_lang`` different texts of a language, chosen by their hashes (a text that many
     rows hold counts once), and at most ``max_langs`` languages, those with most different texts; a further language can't
     be predicted."""
+    from starhouse.llm.common import drop_written, small_batches, written
+    small_batches(labelled.sparkSession)
     rows = labelled.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
     sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.countDistinct(F.xxhash64("text")).alias("n"))
              .orderBy(F.desc("n"), "lang").limit(max_langs).collect()}
@@ -112,7 +116,6 @@ def fit(labelled: DataFrame, docs_per_lang: int = 2000, max_langs: int = 256,
     counts = sample.mapInPandas(_counts, "lang string, n int, gram string, c long") \
         .groupBy("n", "gram").agg(*[F.sum(F.when(F.col("lang") == k, F.col("c")).otherwise(0)).alias(f"c{i}")
                                     for i, k in enumerate(langs)])
-    from starhouse.llm.common import drop_written, written
     counts = written(counts, "langid")
     columns = [f"c{i}" for i in range(len(langs))]
     totals = {r["n"]: r for r in counts.groupBy("n").agg(F.count("*").alias("v"), *[F.sum(c).alias(c) for c in columns]).collect()}
@@ -135,13 +138,13 @@ def fit(labelled: DataFrame, docs_per_lang: int = 2000, max_langs: int = 256,
 
 def _predictor(model: Model):
     seen: dict[str, int] = {}
-    store: list[np.ndarray] = []
+    store = np.empty((1024, len(model.langs)), dtype=np.float32)
 
     def rows_of(ws) -> np.ndarray:
         """Vectors of distinct words; those of unseen words are kept for later batches, up to a bound."""
-        if len(store) > 300_000:
+        nonlocal store
+        if len(seen) > 300_000:
             seen.clear()
-            store.clear()
         known, at, out = model.index[0], [], np.empty((len(ws), len(model.langs)), dtype=np.float32)
         for i, w in enumerate(ws):
             row = known.get(w)
@@ -150,8 +153,11 @@ def _predictor(model: Model):
                 continue
             k = seen.get(w)
             if k is None:
-                k = seen[w] = len(store)
-                store.append(model.vector(w))
+                k = len(seen)
+                if k == len(store):
+                    store = np.concatenate([store, np.empty_like(store)])
+                store[k] = model.vector(w)
+                seen[w] = k
             out[i] = store[k]
         if at:
             i, row = np.array(at).T
@@ -180,6 +186,8 @@ def _predictor(model: Model):
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (0 to 1) of each whole text."""
+    from starhouse.llm.common import small_batches
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
@@ -188,7 +196,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         for texts in batches:
             texts = texts.tolist()
             labels, scores = [], []
-            for a, b in _pieces(texts):
+            for a, b in _pieces(texts, PREDICT_CHARS):
                 label, score = predictor(texts[a:b])
                 labels += label
                 scores.append(score)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starhouse.llm.common import chunks, row_key, written
+from starhouse.llm.common import chunks, row_key, small_batches, written
 
 MIN_CHARS = 10
 LAST = 2**63 - 1
@@ -101,7 +101,9 @@ def bitmap(n_lines: int, dropped) -> bytes:
 
 
 def keep_bitmaps(docs: DataFrame) -> DataFrame:
-    """``(rk, n_lines, n_dropped, bitmap)`` by distinct document row that loses lines."""
+    """``(rk, n_lines, n_dropped, bitmap)`` by distinct document row that loses lines. They are written, so that the tasks that
+    make texts of them don't make them as well, with a second Python worker each."""
+    small_batches(docs.sparkSession)
     gone = _marked(docs).where("dropped").groupBy("rk").agg(F.collect_set("pos").alias("gone"))
     sizes = docs.select(row_key("doc_id", "text").alias("rk"),
                         F.size(F.split(F.coalesce("text", F.lit("")), "\n")).alias("n_lines")).groupBy("rk").agg(F.max("n_lines").alias("n_lines"))
@@ -110,11 +112,13 @@ def keep_bitmaps(docs: DataFrame) -> DataFrame:
     def packed(n: pd.Series, gone: pd.Series) -> pd.Series:
         return pd.Series([bitmap(a, b) for a, b in zip(n, gone, strict=True)], dtype=object)
 
-    return gone.join(sizes, "rk").select("rk", "n_lines", F.size("gone").alias("n_dropped"), packed("n_lines", "gone").alias("bitmap"))
+    return written(gone.join(sizes, "rk").select("rk", "n_lines", F.size("gone").alias("n_dropped"), packed("n_lines", "gone").alias("bitmap")), "line-bitmaps")
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """``docs`` with text without the lines that the bitmaps drop, and n_lines, n_dropped."""
+    small_batches(docs.sparkSession)
+
     @F.pandas_udf("string")
     def kept(texts: pd.Series, maps: pd.Series) -> pd.Series:
         out = []
@@ -126,6 +130,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
             out.append(t)
         return pd.Series(out, dtype=object)
 
+    kept = kept.asNondeterministic()        # else a caller's filter on text makes every text twice, in two workers a task
     keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     d = docs.select(*keep).withColumn("__rk", row_key("doc_id", "text")) \
         .join(bitmaps.select(F.col("rk").alias("__rk"), F.col("n_dropped").alias("__d"), "bitmap"), "__rk", "left")

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starhouse.llm.common import chunks, drop_written, row_key, written
+from starhouse.llm.common import chunks, drop_written, row_key, small_batches, written
 from starhouse.llm.graph import components
 
 BANDS, ROWS = 32, 4
@@ -123,6 +123,7 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                     "id": batch["id"].iloc[a:b].array, "no_id": batch["no_id"].iloc[a:b].array, "rk": batch["rk"].iloc[a:b].array, "n": [len(s) for s in sets],
                     "cid": pd.array(cid, dtype="Int64"), "bands": [None if g is None else _band_hashes(g) for g in sig], "sig": [None if g is None else g.tobytes() for g in sig]})
 
+    small_batches(docs.sparkSession)
     # a null among longs would make pandas read them as floats
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id"),
                        row_key("doc_id", "text").alias("rk"), "text")
