@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: 2^24 bits are at most 262,144 rows of 16 bytes.
 SIEVE_BITS = 1 << 24
+#: The largest bitmap that `bits_for` gives: a million rows of 16 bytes.
+MOST_BITS = 1 << 26
 
 
 def _place(key: str, bits: int) -> tuple[Column, Column]:
@@ -27,8 +29,18 @@ def bitmap(batch: DataFrame, key: str, bits: int = SIEVE_BITS) -> DataFrame:
         .groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, _at)")).alias("_mask"))
 
 
+def bits_for(keys: int) -> int:
+    """Bits of which about an eighth are set by ``keys`` keys, within bounds."""
+    return min(MOST_BITS, max(1 << 16, 1 << (8 * keys).bit_length()))
+
+
 def sifted(table: DataFrame, batch: DataFrame, key: str, bits: int = SIEVE_BITS) -> DataFrame:
     """Rows of ``table`` whose key may be among the batch's keys."""
+    return sifted_by(table, bitmap(batch, key, bits), key, bits)
+
+
+def sifted_by(table: DataFrame, marks: DataFrame, key: str, bits: int) -> DataFrame:
+    """Rows of ``table`` whose key may be among those of the bitmap ``marks``."""
     word, at = _place(key, bits)
-    marked = table.withColumns({"_w": word, "_at": at}).join(F.broadcast(bitmap(batch, key, bits)), F.col("_w") == F.col("_word"))
+    marked = table.withColumns({"_w": word, "_at": at}).join(F.broadcast(marks), F.col("_w") == F.col("_word"))
     return marked.where(F.expr("(_mask & shiftleft(1L, _at)) <> 0")).select(*table.columns)

@@ -9,11 +9,14 @@ being read.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import shuffles_freed
 from .verify import Watched, verify
 
 PARQUET_OPTIONS = {"compression": "snappy"}
@@ -102,13 +105,23 @@ class VersionedTable:
         writer = df.write.mode("overwrite").format("parquet").options(**{**PARQUET_OPTIONS, **(options or {})})
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.save(self.version_path(n))
+        with shuffles_freed(self.spark):
+            writer.save(self.version_path(n))
         if verified:
             back = self.spark.read.schema(df.schema).parquet(self.version_path(n))
             verify(watched.fingerprint, back, columns, self.version_path(n))
         self.log.append(n, as_of=as_of)
         return n
 
+    def publish_parts(self, parts: Iterable[DataFrame], as_of: str | None = None) -> int:
+        """Write the frames of ``parts`` one after another as the next version, then commit it."""
+        n = (self.version() or 0) + 1
+        for at, df in enumerate(parts):
+            with shuffles_freed(self.spark):
+                df.write.mode("append" if at else "overwrite").format("parquet").options(**PARQUET_OPTIONS).save(self.version_path(n))
+        self.log.append(n, as_of=as_of)
+        return n
+
     def replace_partitions(self, df: DataFrame, partition_by: list[str],
                            options: dict | None = None) -> int:
         """Replace, in the committed version, exactly the partitions present in ``df``.

@@ -1,9 +1,15 @@
-"""What the star queries keep on disk while they run: one store of a stream's state a task, drops that go as they are read, freed shuffles."""
+"""What the star queries keep on disk while they run: one store of a stream's state a task, drops that go as they are read, freed shuffles,
+a fact built in slices of dates."""
 
 import os
 
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
+from starhouse.operators import gold
+from starhouse.operators.sieve import bits_for
+from starhouse.operators.silver import silver_order_items, silver_orders
+from starhouse.plans import io_queries as Q
 from starhouse.session import SHUFFLE_CLEANUP, scratch_path, shuffles_freed, staged
 from starhouse.sources.bronze import write_bronze
 from starhouse.streaming.fact import write_fact_stream
@@ -71,3 +77,64 @@ def test_shuffle_files_go_with_their_statement(spark):
         assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
     assert spark.conf.get(SHUFFLE_CLEANUP) == was
 
+
+
+def _silver(spark, n=4000):
+    """Silver orders over 50 days, a tenth without a date, some ids twice, and their items."""
+    orders = spark.range(n).select((F.col("id") % (n - 7)).alias("order_id"), (F.col("id") % 3).alias("customer_id"),
+                                   F.expr("CASE WHEN id % 10 < 9 THEN timestamp_ntz'2024-01-01' + make_dt_interval(CAST(id * id % 50 AS INT)) END").alias("order_date"),
+                                   F.lit("O").alias("status"), F.lit("cash").alias("payment_method"), F.lit(1).alias("shipping_cost"), F.col("id").alias("order_total"))
+    items = spark.range(3 * n).select(F.format_string("i%06d", F.col("id") % (3 * n - 5)).alias("order_item_id"), F.expr("id DIV 3").alias("order_id"),
+                                      (F.col("id") % 5).alias("product_id"), F.lit(2).alias("quantity"), F.lit(3).alias("unit_price"), F.lit(10).alias("discount_pct"),
+                                      F.lit(6).alias("subtotal"))
+    return staged(silver_order_items(items, "20250301", AS_OF), "t-items"), staged(silver_orders(orders, AS_OF), "t-orders")
+
+
+def _ids(df):
+    return [(r.sales_key, r.order_date_key, r.customer_natural_key, r.order_natural_key, r.order_item_natural_key) for r in df.collect()]
+
+
+def test_a_fact_in_parts_is_the_whole_fact(spark, monkeypatch):
+    items, orders = _silver(spark)
+    whole = sorted(_ids(gold.fact_sales(items, orders, AS_OF, key_start=5)))
+    assert len(gold.date_slices(orders)) == 1
+    monkeypatch.setattr(gold, "SLICE_ORDERS", 500)
+    monkeypatch.setattr(gold, "MOST_SLICES", 3)
+    slices = gold.date_slices(orders)
+    assert len(slices) == 3 and sum(n for _, n in slices) == 4000 == sum(orders.where(when).count() for when, _ in slices)
+    parts = [_ids(part) for part in gold.fact_parts(items, orders, AS_OF, key_start=5)]
+    assert len(parts) == 3 and [r for part in parts for r in sorted(part)] == whole
+    keys = [r[0] for r in whole]
+    assert keys == list(range(6, 6 + len(keys))) and whole[0][1] is None
+
+
+def test_a_part_exchanges_its_own_items(spark, monkeypatch):
+    items, orders = _silver(spark)
+    monkeypatch.setattr(gold, "SLICE_ORDERS", 500)
+    monkeypatch.setattr(gold, "MOST_SLICES", 3)
+    seen, whole = [], gold.fact_sales
+    monkeypatch.setattr(gold, "fact_sales", lambda i, o, *a, **k: seen.append((i.count(), o.count())) or whole(i, o, *a, **k))
+    for part in gold.fact_parts(items, orders, AS_OF):
+        part.collect()
+    assert all(i <= 3.5 * o for i, o in seen) and sum(o for _, o in seen) == 4000
+
+
+def test_a_large_bitmap_is_bounded_and_few_keys_have_a_small_one(spark):
+    assert bits_for(0) == bits_for(1000) == 1 << 16 and bits_for(10 ** 12) == 1 << 26 and 4 <= bits_for(10 ** 6) / 10 ** 6 <= 17
+
+
+def test_slices_need_dates_that_sort_like_their_keys(spark, monkeypatch):
+    monkeypatch.setattr(gold, "SLICE_ORDERS", 1)
+    day = lambda *days: spark.createDataFrame([(d,) for d in days], "partition_date string")
+    assert [n for _, n in gold.date_slices(day("20240101", "20240102", "20240102", None))] == [1, 1, 2]
+    assert [n for _, n in gold.date_slices(day("20240101", "+100000101", "20240102"))] == [3]
+    assert gold.date_slices(day()) == [(None, 0)]
+
+
+def test_loaded_files_go_and_the_rows_are_all_there(spark, monkeypatch):
+    monkeypatch.setattr(gold, "SLICE_ORDERS", 700)
+    roots = []
+    monkeypatch.setattr(Q, "scratch_path", lambda s, n: roots.append(scratch_path(s, n)) or roots[-1])
+    got = {r.category: (r.n_items, r.net_amount) for r in Q.q_load_bucketed(spark, SF_SMALL).collect()}
+    assert sum(n for n, _ in got.values()) == 6000
+    assert not _files(f"{roots[0]}/files") and _files(f"{roots[0]}/tables")
