@@ -11,6 +11,9 @@ from starhouse.operators.sieve import bits_for
 from starhouse.operators.silver import silver_order_items, silver_orders
 from starhouse.plans import io_queries as Q
 from starhouse.session import SHUFFLE_CLEANUP, scratch_path, shuffles_freed, staged
+from starhouse.sinks import transactions
+from starhouse.sinks.incremental_fact import IncrementalFact
+from starhouse.sinks.transactions import append_new, unseen
 from starhouse.sources.bronze import write_bronze
 from starhouse.streaming.fact import write_fact_stream
 
@@ -79,10 +82,10 @@ def test_shuffle_files_go_with_their_statement(spark):
 
 
 
-def _silver(spark, n=4000):
-    """Silver orders over 50 days, a tenth without a date, some ids twice, and their items."""
+def _silver(spark, n=4000, days=50):
+    """Silver orders over some days, a tenth without a date, some ids twice, and their items."""
     orders = spark.range(n).select((F.col("id") % (n - 7)).alias("order_id"), (F.col("id") % 3).alias("customer_id"),
-                                   F.expr("CASE WHEN id % 10 < 9 THEN timestamp_ntz'2024-01-01' + make_dt_interval(CAST(id * id % 50 AS INT)) END").alias("order_date"),
+                                   F.expr(f"CASE WHEN id % 10 < 9 THEN timestamp_ntz'2024-01-01' + make_dt_interval(CAST(id * id % {days} AS INT)) END").alias("order_date"),
                                    F.lit("O").alias("status"), F.lit("cash").alias("payment_method"), F.lit(1).alias("shipping_cost"), F.col("id").alias("order_total"))
     items = spark.range(3 * n).select(F.format_string("i%06d", F.col("id") % (3 * n - 5)).alias("order_item_id"), F.expr("id DIV 3").alias("order_id"),
                                       (F.col("id") % 5).alias("product_id"), F.lit(2).alias("quantity"), F.lit(3).alias("unit_price"), F.lit(10).alias("discount_pct"),
@@ -138,3 +141,31 @@ def test_loaded_files_go_and_the_rows_are_all_there(spark, monkeypatch):
     got = {r.category: (r.n_items, r.net_amount) for r in Q.q_load_bucketed(spark, SF_SMALL).collect()}
     assert sum(n for n, _ in got.values()) == 6000
     assert not _files(f"{roots[0]}/files") and _files(f"{roots[0]}/tables")
+
+
+def test_a_refresh_in_slices_gives_the_rows_and_keys_of_one(spark, monkeypatch):
+    items, orders = _silver(spark, 900, days=9)
+    orders = orders.where("order_id % 3 <> 1").dropDuplicates(["order_id"])
+    day = F.col("partition_date")
+    want = _ids(gold.fact_sales(items.distinct(), orders.where(day.isNotNull()), AS_OF))
+    monkeypatch.setattr(gold, "SLICE_ORDERS", 100)
+    monkeypatch.setattr(gold, "MOST_SLICES", 2)
+    table = IncrementalFact(spark, scratch_path(spark, "t-slices"), orders.schema, items.schema)
+    table.append_orders(orders)
+    table.append_items(items, "20250301")
+    done = table.refresh(AS_OF)
+    assert done.rows == done.max_key == len(want) and sorted(_ids(table.fact())) == sorted(want)
+
+
+def test_an_appends_rows_are_compared_with_the_held_keys_alone(spark, monkeypatch):
+    path = scratch_path(spark, "t-held")
+    df = spark.createDataFrame([(i, f"d{i % 3}", "x") for i in range(300)] + [(None, "d0", "y")], "order_id bigint, partition_date string, v string")
+    append_new(df.where("order_id < 200"), path, "order_id")
+    kept = unseen(df, path, "order_id", keys_first=True)
+    joins = [line for line in kept._jdf.queryExecution().executedPlan().toString().splitlines() if "LeftAnti" in line]
+    assert joins and all("BroadcastHashJoin" in line for line in joins) and any("append-held" in f for f in kept.inputFiles())
+    assert kept.count() == 101 == unseen(df, path, "order_id").count()
+    real, held = transactions.staged, []
+    monkeypatch.setattr(transactions, "staged", lambda d, n: held.append((n, real(d, n))) or held[-1][1])
+    assert append_new(df, path, "order_id") == 101 and append_new(df, path, "order_id") == 0
+    assert [n for n, _ in held] == ["append-batch", "append-held"] * 2
